@@ -1,0 +1,6 @@
+"""All queries, registered by importing their modules."""
+
+from tidemirror.catalog import merging, reading, shaping  # noqa: F401
+from tidemirror.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

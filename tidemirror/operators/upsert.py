@@ -38,12 +38,9 @@ def one_row_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     Counts are combined before the shuffle, so a repeated key cannot fill one task.
     """
     rest = [c for c in batch.columns if c not in keys]
-    whole = F.struct(*rest) if rest else F.struct(F.lit(1).alias("_none"))
-    once = batch.groupBy(*keys).agg(F.count("*").alias("_n"), F.any_value(whole).alias("_row"))
-    guard = F.when(F.col("_n") > 1, F.raise_error(F.lit("upsert: duplicate key in batch")).cast("int"))
-    # The guard sits in the condition of every value, so pruning cannot drop it.
-    fields = [F.when(guard.isNull(), F.col("_row")[c]).alias(c) for c in rest]
-    return once.select(*keys, *fields)
+    counted = batch.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.any_value(c).alias(c) for c in rest])
+    unique = F.assert_true(F.col("_n") == 1, "upsert: duplicate key in batch")
+    return counted.filter(unique.isNull()).select(*batch.columns)
 
 
 def upsert(

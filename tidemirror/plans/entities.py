@@ -83,6 +83,13 @@ class EntitySpec:
             return self.nested_in[0]
         return "fields" if self.option_of else self.record_key or self.name
 
+    @property
+    def landed_as(self) -> str:
+        """The entity name its pages land under; some entities share pages."""
+        if self.nested_in:
+            return "pipelines"
+        return "deal_fields" if self.option_of else self.name
+
 
 def stored_type(data_type: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(data_type, T.VarcharType) else data_type

@@ -68,7 +68,7 @@ def view_ends(heads: DataFrame, rule: str) -> DataFrame:
     Breaks are found by joining each page to its successor on (view, page), which
     spreads one large view over all tasks where a window per view would not.
     """
-    first_page = F.max(F.when(F.col("page") == 1, F.coalesce("total_pages", F.lit(1))))
+    first_page = F.max(F.when(F.col("ok") & (F.col("page") == 1), F.coalesce("total_pages", F.lit(1))))
     first_empty = F.min(F.when(F.col("ok") & (F.col("n_records") == 0), F.col("page")))
     first_last = F.min(F.when(F.col("ok") & (F.col("page") >= F.coalesce("total_pages", F.lit(1))), F.col("page")))
     end = {
