@@ -22,7 +22,7 @@ class Warehouse:
     buckets: int = 8
 
     def __post_init__(self) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
