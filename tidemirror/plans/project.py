@@ -73,24 +73,36 @@ def project(records: DataFrame, spec: EntitySpec, dimensions: dict[str, DataFram
     ``records`` has the record as struct column ``rec``; its other columns are dropped.
     """
     columns: list[Column] = []
+    raws: list[Column] = []
     rules: list[Q.Rule] = []
     for f in spec.declared:
         value, raw = _value(f, spec)
         columns.append(value.cast(stored_type(f.dataType)).alias(f.name))
-        if raw is not None and _must_read(f.dataType):
-            rules.append(Q.readable(f.name, raw, value))
-        if not f.nullable:
-            rules.append(Q.Rule(f"{f.name}:missing", value.isNull()))
-        if isinstance(f.dataType, T.VarcharType) and f.name not in spec.lookups:
-            rules.append(Q.Rule(f"{f.name}:too_long", F.length(value) > f.dataType.length))
-        if f.name in spec.joined:
-            rules.append(Q.no_null_items(f.name, raw))
-    rows = records.select(*columns, Q.error_list(rules).alias(Q.ERRORS))
+        if raw is not None and (f.name in spec.joined or isinstance(f.dataType, T.NumericType)):
+            raws.append(raw.alias(f"_raw_{f.name}"))
+        rules += _rules(f, spec, raw is not None)
+    # Rules look at the finished columns, so no value is computed twice.
+    rows = records.select(*columns, *raws)
+    rows = rows.select(*spec.declared.names, Q.error_list(rules).alias(Q.ERRORS))
     for column, (dimension, foreign_key) in spec.lookups.items():
         rows = lookup(rows, (dimensions or {}).get(dimension), foreign_key, column)
     return rows.select(*spec.declared.names, Q.ERRORS)
 
 
+def _rules(f: T.StructField, spec: EntitySpec, has_raw: bool) -> list[Q.Rule]:
+    """Rules of one column. Unreadable times become null by design; unreadable numbers are errors."""
+    rules = []
+    if has_raw and f.name in spec.joined:
+        rules.append(Q.no_null_items(f.name, F.col(f"_raw_{f.name}")))
+    if has_raw and isinstance(f.dataType, T.NumericType):
+        rules.append(Q.readable(f.name, F.col(f"_raw_{f.name}"), F.col(f.name)))
+    if not f.nullable:
+        rules.append(Q.required(f.name))
+    if isinstance(f.dataType, T.VarcharType) and f.name not in spec.lookups:
+        rules.append(Q.max_length(f.name, f.dataType.length))
+    return rules
+
+
 def project_children(records: DataFrame, spec: EntitySpec, child: ChildSpec) -> DataFrame:
     """Child rows or relation pairs of the batch, keyed by their parent."""
     parent = N.typed(F.col("rec")[spec.key], "bigint").alias(child.parent_column)
@@ -131,7 +143,3 @@ def _value(f: T.StructField, spec: EntitySpec) -> tuple[Column, Column | None]:
         return N.join_list(raw), raw
     return N.typed(raw, kind), raw
 
-
-def _must_read(data_type: T.DataType) -> bool:
-    """Unreadable times become null by rule; unreadable numbers are errors."""
-    return isinstance(data_type, T.NumericType)
