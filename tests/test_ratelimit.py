@@ -75,7 +75,13 @@ def test_dense_hot_key_over_many_levels(spark):
     assert got == brute_force(hot + cold, 3, 2)
 
 
-def test_null_key_and_empty_input(spark):
+@pytest.mark.parametrize("fanout", [2, 64])
+def test_a_missing_key_is_a_key_of_its_own(spark, fanout):
+    events = at(0, 1, 30, 61, 125, who=None) + [(10 + i, w, t) for i, w, t in at(0, 1, 2)]
+    assert run(spark, events, limit=1, fanout=fanout, window_seconds=10) == brute_force(events, 1, 10)
+
+
+def test_empty_input(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert rate_limit(empty, "who", "ts", "id").count() == 0
 

@@ -90,16 +90,22 @@ def rate_limit(
         .agg(F.max("_own").alias("_own"), F.max("_prev").alias("_prev"))
     )
     opened = F.when(F.col("_own") <= F.col("_t"), F.col("_own")).otherwise(F.col("_prev"))
-    placed = timed.withColumn("_slot", slot).join(by_slot, [key, "_slot"], "left").withColumn("_open", opened)
+    slots = by_slot.select(F.col(key).alias("_key"), F.col("_slot").alias("_in"), "_own", "_prev")
+    # A missing key is a key like any other, hence the null-safe comparisons.
+    same_slot = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slot") == F.col("_in"))
+    placed = timed.withColumn("_slot", slot).join(slots, same_slot, "left").withColumn("_open", opened)
 
     rank = F.row_number().over(Window.partitionBy(key, "_open").orderBy("_t", tie))
     first = (
         placed.select(key, "_open", "_t", tie)
         .withColumn("_rank", rank)
         .filter(F.col("_rank") <= limit)
-        .select(key, "_t", tie, "_rank")
+        .select(F.col(key).alias("_key"), F.col("_t").alias("_at"), F.col(tie).alias("_tie"), "_rank")
     )
-    return timed.join(first, [key, "_t", tie], "left").select(
+    same_event = (
+        F.col(key).eqNullSafe(F.col("_key")) & (F.col("_t") == F.col("_at")) & (F.col(tie) == F.col("_tie"))
+    )
+    return timed.join(first, same_event, "left").select(
         *events.columns,
         F.col("_rank").isNotNull().alias("allowed"),
         F.coalesce(F.lit(limit) - F.col("_rank"), F.lit(0)).alias("remaining"),
