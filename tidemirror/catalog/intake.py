@@ -129,9 +129,9 @@ def campaign_lookup(spark, sf):
 """)
 def classify_outcome(spark, sf):
     posts = rate_limit(requests(spark, sf), "user_id", "ts", "event_id", limit=LIMIT, window_seconds=WINDOW_SECONDS)
-    slug = V.text_field(V.payload(F.col("body")), V.SLUG_FIELD)
-    found = V.find_campaign(posts.withColumn("slug", slug), campaigns(spark, sf))
-    told = V.outcome(F.col("body"), F.col("allowed"), F.col("campaign"), F.col("list_id"))
+    parsed = posts.select("event_id", "allowed", V.payload(F.col("body")).alias("value"))
+    found = V.find_campaign(parsed.withColumn("slug", V.text_field(F.col("value"), V.SLUG_FIELD)), campaigns(spark, sf))
+    told = V.outcome(F.col("value"), F.col("allowed"), F.col("campaign"), F.col("list_id"))
     return found.select("event_id", told.alias("outcome"))
 
 

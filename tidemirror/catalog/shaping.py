@@ -42,7 +42,8 @@ def parse_timestamp(spark, sf):
         error=F.date_format("ts", "yyyy"),
     )
     text = F.when(F.col("value") < 1, F.concat(F.lit("1700"), F.substring(iso, 5, 30))).otherwise(text)
-    return table(spark, sf, "events").select("event_id", N.parse_ts(text).alias("at"))
+    told = table(spark, sf, "events").select("event_id", text.alias("raw"))
+    return told.select("event_id", N.parse_ts("raw").alias("at"))
 
 
 @query("""
@@ -52,7 +53,8 @@ def parse_date_only(spark, sf):
     iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'23:59:59.9'Z'")
     slash = F.date_format("o_orderdate", "MM/dd/yyyy HH:mm:ss")
     text = F.when(F.col("o_orderstatus") == "O", iso).when(F.col("o_orderstatus") == "P", slash).otherwise("2024-02-30")
-    return table(spark, sf, "orders").select("o_orderkey", N.parse_date(text).cast("string").alias("day"))
+    told = table(spark, sf, "orders").select("o_orderkey", text.alias("raw"))
+    return told.select("o_orderkey", N.parse_date("raw").cast("string").alias("day"))
 
 
 @query("""
@@ -68,7 +70,8 @@ def to_bit(spark, sf):
         purchase=F.when(F.col("value") >= 50, "1").otherwise("1.0"),
         error=F.lit(None),
     )
-    return table(spark, sf, "events").select("event_id", N.to_bit(raw).alias("flag"))
+    told = table(spark, sf, "events").select("event_id", raw.alias("raw"))
+    return told.select("event_id", N.to_bit("raw").alias("flag"))
 
 
 @query("""
@@ -79,7 +82,8 @@ def to_bit(spark, sf):
 def truthy_bit(spark, sf):
     """The props' number, an empty text, or nothing at all."""
     body = F.when(F.col("event_type") == "signup", '{"k":""}').when(F.col("event_type") == "view", "{}").otherwise(F.col("props"))
-    return table(spark, sf, "events").select("event_id", N.truthy_bit(F.from_json(body, "k VARIANT")["k"]).alias("flag"))
+    told = table(spark, sf, "events").select("event_id", F.from_json(body, "k VARIANT").alias("rec"))
+    return told.select("event_id", N.truthy_bit("rec.k").alias("flag"))
 
 
 @query("""
@@ -90,11 +94,11 @@ def truthy_bit(spark, sf):
 def default_if_missing(spark, sf):
     told = F.concat(F.lit('{"x":'), F.when(F.col("value") > 20, "true").otherwise("false"), F.lit("}"))
     body = F.when(F.col("event_type") == "click", "{}").when(F.col("event_type") == "view", '{"x":null}').otherwise(told)
-    value = F.from_json(body, "x VARIANT")["x"]
-    return table(spark, sf, "events").select(
+    told = table(spark, sf, "events").select("event_id", F.from_json(body, "x VARIANT").alias("rec"))
+    return told.select(
         "event_id",
-        N.default_if_missing(value, False).alias("is_deleted"),
-        N.default_if_missing(value, True).alias("is_active"),
+        N.default_if_missing("rec.x", False).alias("is_deleted"),
+        N.default_if_missing("rec.x", True).alias("is_active"),
     )
 
 
@@ -113,7 +117,8 @@ def flatten_json_fields(spark, sf):
     )
     body = F.concat(F.rtrim("props", F.lit("}")), added)
     fields = {"k": "bigint", "is_one": "bit", "day": "date", "amount": "double"}
-    flat = table(spark, sf, "events").select("event_id", *N.flatten_json_fields(body, fields))
+    told = table(spark, sf, "events").select("event_id", body.alias("body"))
+    flat = told.select("event_id", *N.flatten_json_fields("body", fields))
     return flat.withColumn("day", F.col("day").cast("string"))
 
 
@@ -124,7 +129,8 @@ def first_element(spark, sf):
     contacts = F.when(F.col("o_orderstatus") == "F", F.array().cast("array<struct<id:bigint>>")).otherwise(
         F.array(F.struct(F.col("o_custkey").alias("id")), F.struct(F.col("o_orderkey").alias("id")))
     )
-    return table(spark, sf, "orders").select("o_orderkey", N.first_element(contacts, "id").alias("contact_id"))
+    deals = table(spark, sf, "orders").select("o_orderkey", contacts.alias("contacts"))
+    return deals.select("o_orderkey", N.first_element("contacts", "id").alias("contact_id"))
 
 
 @query("""
@@ -138,7 +144,8 @@ def join_list(spark, sf):
             F.array("c_mktsegment", "c_name")
         )
     )
-    return table(spark, sf, "customer").select("c_custkey", N.join_list(items).alias("tags"))
+    people = table(spark, sf, "customer").select("c_custkey", items.alias("items"))
+    return people.select("c_custkey", N.join_list("items").alias("tags"))
 
 
 @query("""

@@ -1,7 +1,9 @@
-"""Column functions that turn raw source values into typed ones.
+"""Turn raw source values into typed ones.
 
-All take the raw value as text (or VARIANT where a missing key and an explicit
-null differ) and never raise on bad input.
+Each function takes the raw value as a column name or SQL expression, as text (or
+VARIANT where a missing key and an explicit null differ), and gives a column. None
+raises on bad input. Wide projections call these dozens of times, which is why they
+hand Spark one SQL text each instead of a tree of single calls.
 """
 
 from __future__ import annotations
@@ -25,69 +27,64 @@ OTHER_FORMATS = (
     "yyyy-MM-dd hh:mm a",
 )
 
-# A full ISO date must lead: a bare cast would complete "2024" or "2024-03".
-_ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}"
+# A full date, then a time; sub-seconds and the offset fall outside the group, so
+# they are dropped without a conversion. A bare cast would complete "2024" or "2024-03".
+_ISO = (
+    "^ *([0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:[T ][0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?)?)"
+    "(?:[.,][0-9]+)? *(?:Z|UTC|GMT|[+-][0-9]{2}(?::?[0-9]{2})?)? *$"
+)
 
 
-def parse_ts(raw: Column) -> Column:
+def parse_ts(raw: str) -> Column:
     """Lenient timestamp: offset dropped unconverted, sub-seconds cut, range checked."""
-    text = F.trim(raw)
-    iso = F.when(text.rlike(_ISO_DATE), text.try_cast("timestamp_ntz"))
-    other = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in OTHER_FORMATS]
-    return bound_ts(F.coalesce(iso, *other))
-
-
-def bound_ts(value: Column) -> Column:
-    """Cut a timestamp to whole seconds; null outside the accepted range."""
-    micros = (F.date_part(F.lit("SECOND"), value) % 1 * 1_000_000).cast("int")
-    whole = F.timestamp_add("MICROSECOND", -micros, value)
-    low = F.lit(MIN_TIMESTAMP).cast("timestamp_ntz")
-    high = F.lit(MAX_TIMESTAMP).cast("timestamp_ntz")
-    return F.when(whole.between(low, high), whole)
+    return F.expr(_ts(raw))
 
 
-def parse_date(raw: Column) -> Column:
-    return parse_ts(raw).cast("date")
+def parse_date(raw: str) -> Column:
+    return F.expr(f"CAST({_ts(raw)} AS DATE)")
 
 
-def to_bit(raw: Column) -> Column:
+def to_bit(raw: str) -> Column:
     """Null stays null, a true text is true, anything else is false."""
-    return F.when(raw.isNotNull(), F.lower(raw).isin(*TRUE_TEXTS))
+    return F.expr(_bit(raw))
 
 
-def truthy_bit(value: Column) -> Column:
+def truthy_bit(value: str) -> Column:
     """VARIANT to bit: missing, null, false, zero and empty are false, the rest true."""
-    empty = ("null", "false", "0", '""', "[]", "{}")
-    return F.coalesce(~F.to_json(value).isin(*empty), F.lit(False))
+    return F.expr(f"""coalesce(to_json({value}) NOT IN ('null', 'false', '0', '""', '[]', '{{}}'), false)""")
 
 
-def default_if_missing(value: Column, default: bool, sql_type: str = "boolean") -> Column:
+def default_if_missing(value: str, default: bool, sql_type: str = "boolean") -> Column:
     """VARIANT to typed value: the default for a missing key, null for an explicit null."""
-    typed = F.try_variant_get(value, "$", sql_type)
-    return F.when(value.isNull(), F.lit(default).cast(sql_type)).otherwise(typed)
+    typed_value = f"try_variant_get({value}, '$', '{sql_type}')"
+    return F.expr(f"CASE WHEN {value} IS NULL THEN CAST('{default}' AS {sql_type}) ELSE {typed_value} END")
 
 
-def join_list(items: Column, separator: str = ",") -> Column:
+def join_list(items: str, separator: str = ",") -> Column:
     """Text of a list; a null or empty list gives an empty text."""
-    return F.concat_ws(separator, F.coalesce(items, F.array().cast("array<string>")))
+    return F.expr(f"concat_ws('{separator}', {items})")
 
 
-def first_element(items: Column, field: str) -> Column:
+def first_element(items: str, field: str) -> Column:
     """One field of a list's first struct, null for a missing or empty list."""
-    return F.get(items, F.lit(0)).getField(field)
+    return F.expr(_first(items, field))
 
 
-def flatten_json_fields(raw: Column, fields: dict[str, str]) -> list[Column]:
+def first_typed(items: str, field: str, sql_type: str) -> Column:
+    return typed(_first(items, field), sql_type)
+
+
+def flatten_json_fields(raw: str, fields: dict[str, str]) -> list[Column]:
     """Typed columns out of a JSON object with dynamic keys.
 
-    ``fields`` maps each key to BIT or a Spark type. The object is read once as a
-    map of texts, which keeps the spelling of numbers and booleans.
+    ``fields`` maps each key to BIT or a Spark type. The object is read as a map of
+    texts, which keeps the spelling of numbers and booleans.
     """
-    found = F.from_json(raw, "map<string,string>")
-    return [typed(F.element_at(found, name), kind).alias(name) for name, kind in fields.items()]
+    found = f"from_json({raw}, 'map<string,string>')"
+    return [typed(f"{found}['{name}']", kind).alias(name) for name, kind in fields.items()]
 
 
-def typed(raw: Column, sql_type: str) -> Column:
+def typed(raw: str, sql_type: str) -> Column:
     """Text to ``sql_type`` by the rules above; null where it cannot be read."""
     kind = sql_type.lower()
     if kind in ("bit", "boolean"):
@@ -97,8 +94,26 @@ def typed(raw: Column, sql_type: str) -> Column:
     if kind == "date":
         return parse_date(raw)
     if kind == "string":
-        return raw
+        return F.expr(raw)
     if kind in ("bigint", "int"):
         # A JSON number such as 5.0 is no integer text; its fraction is cut.
-        return F.coalesce(raw.try_cast(kind), raw.try_cast("decimal(38,6)").try_cast(kind))
-    return raw.try_cast(sql_type)
+        cut = f"try_cast(try_cast({raw} AS DECIMAL(38,6)) AS {kind})"
+        return F.expr(f"coalesce(try_cast({raw} AS {kind}), {cut})")
+    return F.expr(f"try_cast({raw} AS {sql_type})")
+
+
+def _ts(raw: str) -> str:
+    iso = f"try_cast(regexp_extract({raw}, '{_ISO}', 1) AS TIMESTAMP_NTZ)"
+    other = [f"CAST(try_to_timestamp(trim({raw}), '{form}') AS TIMESTAMP_NTZ)" for form in OTHER_FORMATS]
+    found = f"coalesce({', '.join([iso, *other])})"
+    low, high = f"TIMESTAMP_NTZ '{MIN_TIMESTAMP}'", f"TIMESTAMP_NTZ '{MAX_TIMESTAMP}'"
+    return f"CASE WHEN {found} BETWEEN {low} AND {high} THEN {found} END"
+
+
+def _bit(raw: str) -> str:
+    texts = ", ".join(f"'{text}'" for text in TRUE_TEXTS)
+    return f"CASE WHEN {raw} IS NOT NULL THEN lower({raw}) IN ({texts}) END"
+
+
+def _first(items: str, field: str) -> str:
+    return f"get({items}, 0).`{field}`"

@@ -87,9 +87,12 @@ def find_campaign(requests: DataFrame, campaigns: DataFrame, slug: str = "slug")
     return requests.join(known, F.col(slug) == F.col("campaign"), "left")
 
 
-def outcome(body: Column, allowed: Column, campaign: Column, list_id: Column, rules=LEAD_RULES) -> Column:
-    """What becomes of a request: the first check that applies."""
-    value = payload(body)
+def outcome(value: Column, allowed: Column, campaign: Column, list_id: Column, rules=LEAD_RULES) -> Column:
+    """What becomes of a request: the first check that applies.
+
+    ``value`` is its parsed payload; being looked at many times, it should be a column
+    of its own.
+    """
     slug = text_field(value, SLUG_FIELD)
     kind = F.schema_of_variant(value)
     return (

@@ -23,7 +23,6 @@ from tidemirror.plans.project import envelope_type, project, project_children, u
 from tidemirror.sources.pages import (
     active_ids,
     page_heads,
-    parse_pages,
     read_pages,
     view_ends,
 )
@@ -131,7 +130,7 @@ def load_entity(job: Job, spec: EntitySpec, watermark: datetime | None = None) -
 def _load(job: Job, spec: EntitySpec, watermark, done: Outcome) -> None:
     house, views = job.warehouse, job.views.get(spec.name)
     pages = _pages_of(job.pages, spec, views)
-    ends = view_ends(page_heads(parse_pages(pages, spec.page_key)), spec.scan)
+    ends = view_ends(page_heads(pages, spec.page_key), spec.scan)
     # One row per configured view of this entity.
     state = ends.agg(F.count("*").alias("views"), F.count_if(~F.col("is_complete")).alias("broken")).first()
     whole = state["broken"] == 0 and state["views"] >= len(views or [None])
@@ -165,7 +164,7 @@ def _load(job: Job, spec: EntitySpec, watermark, done: Outcome) -> None:
 
 def _changed(read: DataFrame, spec: EntitySpec, watermark: datetime) -> DataFrame:
     """Records changed after the watermark, and those that do not say when they changed."""
-    at = parse_ts(F.col("rec")[spec.date_field])
+    at = parse_ts(f"rec.`{spec.date_field}`")
     return read.filter(at.isNull() | (at > F.lit(str(watermark)).cast("timestamp_ntz")))
 
 

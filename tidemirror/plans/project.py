@@ -79,7 +79,7 @@ def project(records: DataFrame, spec: EntitySpec, dimensions: dict[str, DataFram
         value, raw = _value(f, spec)
         columns.append(value.cast(stored_type(f.dataType)).alias(f.name))
         if raw is not None and (f.name in spec.joined or isinstance(f.dataType, T.NumericType)):
-            raws.append(raw.alias(f"_raw_{f.name}"))
+            raws.append(F.expr(raw).alias(f"_raw_{f.name}"))
         rules += _rules(f, spec, raw is not None)
     # Rules look at the finished columns, so no value is computed twice.
     rows = records.select(*columns, *raws)
@@ -105,17 +105,17 @@ def _rules(f: T.StructField, spec: EntitySpec, has_raw: bool) -> list[Q.Rule]:
 
 def project_children(records: DataFrame, spec: EntitySpec, child: ChildSpec) -> DataFrame:
     """Child rows or relation pairs of the batch, keyed by their parent."""
-    parent = N.typed(F.col("rec")[spec.key], "bigint").alias(child.parent_column)
+    parent = N.typed(f"rec.`{spec.key}`", "bigint").alias(child.parent_column)
     items = records.select(parent, F.explode(F.col("rec")[child.array]).alias("_item"))
     if child.item_column:
-        item = N.typed(F.col("_item"), "bigint").alias(child.item_column)
+        item = N.typed("_item", "bigint").alias(child.item_column)
         return items.select(child.parent_column, item)
     columns = []
     for f in _child_fields(child):
         if f.name == child.parent_column:
             columns.append(F.col(f.name))
             continue
-        raw = F.col("_item")[child.sources.get(f.name, f.name)]
+        raw = f"_item.`{child.sources.get(f.name, f.name)}`"
         columns.append(N.typed(raw, stored_type(f.dataType).simpleString()).alias(f.name))
     return items.select(*columns)
 
@@ -124,17 +124,16 @@ def _child_fields(child: ChildSpec) -> T.StructType:
     return T.StructType.fromDDL(child.ddl)
 
 
-def _value(f: T.StructField, spec: EntitySpec) -> tuple[Column, Column | None]:
-    """A column's value and the raw text it was read from, if any."""
+def _value(f: T.StructField, spec: EntitySpec) -> tuple[Column, str | None]:
+    """A column's value and the SQL of the raw value it was read from, if any."""
     name = f.name
     kind = stored_type(f.dataType).simpleString()
     if name in spec.lookups or name in spec.always_null:
         return F.lit(None), None
     if name in spec.first_of:
         array, item_field = spec.first_of[name]
-        raw = N.first_element(F.col("rec")[array], item_field)
-        return N.typed(raw, kind), raw
-    raw = F.col("rec")[CUSTOM][name] if name.startswith("cf_") else F.col("rec")[spec.sources.get(name, name)]
+        return N.first_typed(f"rec.`{array}`", item_field, kind), f"get(rec.`{array}`, 0).`{item_field}`"
+    raw = f"rec.{CUSTOM}['{name}']" if name.startswith("cf_") else f"rec.`{spec.sources.get(name, name)}`"
     if name in spec.defaults:
         return N.default_if_missing(raw, spec.defaults[name], kind), None
     if name in spec.truthy:
@@ -142,4 +141,3 @@ def _value(f: T.StructField, spec: EntitySpec) -> tuple[Column, Column | None]:
     if name in spec.joined:
         return N.join_list(raw), raw
     return N.typed(raw, kind), raw
-

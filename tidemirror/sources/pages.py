@@ -14,7 +14,7 @@ An empty page always ends a scan, and so does a page that is missing or unreadab
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemirror.operators.upsert import latest_per_key
@@ -36,29 +36,27 @@ def landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE_SCHEMA).json(path)
 
 
-def parse_pages(pages: DataFrame, record_key: str, record_type: str = _HEAD) -> DataFrame:
-    """Read each envelope once: ``records``, ``total_pages`` and whether it is usable.
+def page_heads(pages: DataFrame, record_key: str) -> DataFrame:
+    """Per landed page: whether it is usable, how many records it holds, how many pages there are.
 
-    A body that is no JSON object, or an empty object, counts as a failed page.
-    Pages of an entity without views belong to view 0.
+    A body that is no JSON object, or an empty object, counts as a failed page. Records
+    are read with a single field, which is all that counting them needs.
     """
-    envelope = f"STRUCT<`{record_key}`: ARRAY<{record_type}>, meta: STRUCT<total_pages: INT>>"
-    return (
-        pages.withColumn("_env", F.from_json("body", envelope))
-        .withColumn("ok", F.coalesce(F.size(F.json_object_keys("body")) > 0, F.lit(False)))
-        .select(
-            "entity",
-            F.coalesce("view_id", F.lit(0)).alias("view_id"),
-            "page",
-            "ok",
-            F.col("_env.meta.total_pages").alias("total_pages"),
-            F.coalesce(F.col(f"_env.`{record_key}`"), F.array().cast(f"array<{record_type}>")).alias("records"),
-        )
+    envelope = f"STRUCT<`{record_key}`: ARRAY<{_HEAD}>, meta: STRUCT<total_pages: INT>, _corrupt: STRING>"
+    read = pages.withColumn("_env", F.from_json("body", envelope, {"columnNameOfCorruptRecord": "_corrupt"}))
+    filled = F.col("body").rlike(r'^\s*\{\s*"') & F.col("_env._corrupt").isNull()
+    return read.select(
+        *_view(),
+        "page",
+        F.coalesce(filled, F.lit(False)).alias("ok"),
+        F.col("_env.meta.total_pages").alias("total_pages"),
+        F.coalesce(F.size(F.col(f"_env.`{record_key}`")), F.lit(0)).alias("n_records"),
     )
 
 
-def page_heads(parsed: DataFrame) -> DataFrame:
-    return parsed.select(*VIEW, "page", "ok", "total_pages", F.size("records").alias("n_records"))
+def _view() -> list[Column]:
+    """The view columns; pages of an entity without views belong to view 0."""
+    return [F.col("entity"), F.coalesce("view_id", F.lit(0)).alias("view_id")]
 
 
 def view_ends(heads: DataFrame, rule: str) -> DataFrame:
@@ -103,7 +101,7 @@ def view_ends(heads: DataFrame, rule: str) -> DataFrame:
 
 def page_completeness(pages: DataFrame, record_key: str, rule: str) -> DataFrame:
     """One row per view: expected, seen and failed pages, and whether the scan is whole."""
-    ends = view_ends(page_heads(parse_pages(pages, record_key)), rule)
+    ends = view_ends(page_heads(pages, record_key), rule)
     return ends.select(
         *VIEW,
         F.col("end_page").alias("expected_pages"),
@@ -125,16 +123,17 @@ def read_pages(
     ``ends`` is small by construction, one row per configured view, so it is broadcast;
     joining the pages on the view instead would send a large view to one task.
     """
-    parsed = parse_pages(pages, record_key, record_type)
     if ends is None:
-        ends = view_ends(page_heads(parse_pages(pages, record_key)), rule)
+        ends = view_ends(page_heads(pages, record_key), rule)
+    # Every page up to the end of the unbroken run is usable.
     last = F.least("run_end", F.coalesce("end_page", "run_end"))
     limits = ends.select(F.col("entity").alias("_entity"), F.col("view_id").alias("_view"), last.alias("_last"))
     same_view = (F.col("entity") == F.col("_entity")) & (F.col("view_id") == F.col("_view"))
+    envelope = f"STRUCT<`{record_key}`: ARRAY<{record_type}>>"
     return (
-        parsed.filter("ok")
+        pages.select(*_view(), "page", "body")
         .join(F.broadcast(limits), same_view & (F.col("page") <= F.col("_last")), "left_semi")
-        .select(*VIEW, "page", F.posexplode("records").alias("pos", "rec"))
+        .select(*VIEW, "page", F.posexplode(F.from_json("body", envelope)[record_key]).alias("pos", "rec"))
     )
 
 
@@ -167,7 +166,7 @@ def active_ids(
     if needs_view and not views:
         pages = pages.filter(F.lit(False))
     wanted = pages.filter(F.col("view_id").isin(views)) if views else pages
-    ends = view_ends(page_heads(parse_pages(wanted, record_key)), rule)
+    ends = view_ends(page_heads(wanted, record_key), rule)
     whole = (
         ends.groupBy("entity")
         .agg(F.count_if("is_complete").alias("complete"), F.count("*").alias("landed"))
