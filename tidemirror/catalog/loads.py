@@ -329,7 +329,7 @@ def records(spark, sf, name: str, rows: str, version: int):
         record = F.struct(F.lit(spec.option_of).alias("name"), F.array(record).alias("choices"))
     # One-page lists are landed in pages too, since these tables grow.
     scan = P.FIRST_PAGE if spec.scan == P.SINGLE else spec.scan
-    view = F.lit(1) if spec.needs_view else None
+    view = 1 if spec.needs_view else None
     served = table(spark, sf, source.table).filter(rows)
     pages = land(served, spec.landed_as, spec.page_key, source.key, record, view, scan == P.UNTIL_EMPTY)
     return unwrap(P.read_pages(pages, spec.page_key, envelope_type(spec), scan), spec)

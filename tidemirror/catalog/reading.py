@@ -27,7 +27,7 @@ def contact_record():
     FROM customer
 """)
 def ingest_pages_explode(spark, sf):
-    pages = land(table(spark, sf, "customer"), "contacts", "contacts", "c_custkey", contact_record(), F.lit(7))
+    pages = land(table(spark, sf, "customer"), "contacts", "contacts", "c_custkey", contact_record(), 7)
     record = "STRUCT<id: BIGINT, display_name: STRING, job_title: STRING, balance: DOUBLE>"
     read = P.read_pages(pages, "contacts", record, P.FIRST_PAGE)
     return read.select("entity", "page", "pos", "rec.*")

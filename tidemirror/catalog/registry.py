@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemirror.session import shared_dir
+from tidemirror.sources.pages import landed
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -38,30 +42,40 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def land(
-    rows: DataFrame, entity: str, record_key: str, key: str, record: Column, view=None, empty_end: bool = False
+    rows: DataFrame,
+    entity: str,
+    record_key: str,
+    key: str,
+    record: Column,
+    view: Column | int | None = None,
+    empty_end: bool = False,
 ) -> DataFrame:
-    """Rows as landed pages, at most 100 records of a unique key range per page.
+    """Rows written as page files and read back, at most 100 records of a unique key range per page.
 
     A null record takes its place but is not served. ``empty_end`` adds the page
     without records that ends a scan whose pages do not say how many there are.
     """
-    view = F.lit(None).cast("bigint") if view is None else view.cast("bigint")
+    spark = rows.sparkSession
+    several = isinstance(view, Column)
     placed = rows.select(
-        view.alias("view_id"),
+        (view if several else F.lit(view)).cast("bigint").alias("view_id"),
         F.expr(f"cast({key} div {PAGE_SIZE} + 1 as int)").alias("page"),
         F.struct(F.col(key).alias("_key"), record.alias("_rec")).alias("_one"),
     )
-    # One row per view: a handful of views is what a source has.
-    totals = placed.groupBy("view_id").agg(F.max("page").alias("total_pages"))
     paged = placed.groupBy("view_id", "page").agg(F.array_sort(F.collect_list("_one")).alias("_all"))
+    if several:
+        # One row per view: a handful of views is what a source has.
+        totals = placed.groupBy("view_id").agg(F.max("page").alias("total_pages"))
+        paged = paged.join(F.broadcast(totals), "view_id")
+    else:
+        paged = paged.withColumn("total_pages", placed.select(F.max("page")).scalar())
     records = F.filter(F.transform("_all", lambda one: one["_rec"]), lambda rec: rec.isNotNull())
-    same_view = F.col("view_id").eqNullSafe(F.col("_view"))
-    whole = paged.join(F.broadcast(totals.withColumnRenamed("view_id", "_view")), same_view).select(
-        "view_id",
-        "page",
-        F.to_json(F.struct(records.alias(record_key), F.struct("total_pages").alias("meta"))).alias("body"),
-    )
+    body = F.to_json(F.struct(records.alias(record_key), F.struct("total_pages").alias("meta")))
+    pages = paged.select(F.lit(entity).alias("entity"), "view_id", "page", body.alias("body"))
     if empty_end:
-        last = totals.select("view_id", (F.col("total_pages") + 1).alias("page"), F.lit(f'{{"{record_key}":[]}}').alias("body"))
-        whole = whole.unionByName(last)
-    return whole.select(F.lit(entity).alias("entity"), "view_id", "page", "body")
+        none = F.lit(f'{{"{record_key}":[]}}').alias("body")
+        last = placed.agg((F.max("page") + 1).alias("page"))
+        pages = pages.unionByName(last.select(F.lit(entity).alias("entity"), F.lit(view).cast("bigint").alias("view_id"), "page", none))
+    path = f"{shared_dir(spark)}/pages-{uuid4().hex}"
+    pages.write.parquet(path)
+    return landed(spark, path, "parquet")

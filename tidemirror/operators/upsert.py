@@ -53,6 +53,7 @@ def upsert(
     batch_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     version: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Merge ``batch`` into ``target`` and mark each row with its ``_action``.
 
@@ -64,12 +65,15 @@ def upsert(
 
     When the caller counted the batch and it is small, the target is read in place
     and never shuffled. Otherwise both sides meet in one full outer join, which also
-    needs no shuffle of a target that is bucketed by the key.
+    needs no shuffle of a target that is bucketed by the key. ``buckets``, the number
+    of the target's buckets, makes the rows leave either plan placed by bucket.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     batch = latest_per_key(batch, keys, order) if order else one_row_per_key(batch, keys)
     if batch_rows is not None and batch_rows <= broadcast_rows and version is None:
-        return _upsert_small(target, batch, keys, run_ts)
+        return _upsert_small(target, batch, keys, run_ts, buckets)
+    if buckets:
+        batch = batch.repartition(buckets, *keys)
     return _upsert_join(target, batch, keys, run_ts, version)
 
 
@@ -100,7 +104,7 @@ def _upsert_join(target, batch, keys, run_ts, version):
     return joined.select(*keys, *values, *stamps, action.alias(ACTION))
 
 
-def _upsert_small(target, batch, keys, run_ts):
+def _upsert_small(target, batch, keys, run_ts, buckets):
     """Same result as the join, with only the batch's keys sent to the target's tasks."""
     columns = [c for c in target.columns if c not in keys and c not in (CREATED, UPDATED)]
     ids = F.broadcast(batch.select(*keys))
@@ -116,6 +120,8 @@ def _upsert_small(target, batch, keys, run_ts):
     changed = batch.join(F.broadcast(matched), keys, "left").select(
         *keys, *columns, created.alias(CREATED), now.alias(UPDATED), action.alias(ACTION)
     )
+    if buckets:
+        changed = changed.repartition(buckets, *keys)
     stamps = [CREATED, UPDATED] if run_ts else []
     layout = [*keys, *columns, *stamps, ACTION]
     return kept.select(*layout).unionByName(changed.select(*layout))

@@ -88,7 +88,7 @@ def ensure_tables(warehouse: Warehouse, version: str = "empty") -> None:
             if not warehouse.exists(child.table):
                 warehouse.replace(_empty_child(warehouse, child), child.table, version, child.parent_column)
     if not warehouse.exists(AUDIT_TABLE):
-        warehouse.replace(C.audit_rows(warehouse.spark, [], C.AUDIT_SCHEMA), AUDIT_TABLE, version)
+        warehouse.append(C.audit_rows(warehouse.spark, [], C.AUDIT_SCHEMA), AUDIT_TABLE)
 
 
 def run(job: Job, entity: str | None = None) -> DataFrame:
@@ -107,8 +107,7 @@ def run(job: Job, entity: str | None = None) -> DataFrame:
     outcomes = C.audit_rows(spark, rows, C.OUTCOME_SCHEMA)
     if job.steps:
         outcomes = outcomes.unionByName(run_steps(spark, job.steps))
-    audit = C.append_audit(job.warehouse.read(AUDIT_TABLE), outcomes)
-    job.warehouse.replace(audit, AUDIT_TABLE, job.version)
+    job.warehouse.append(outcomes.select(*job.warehouse.read(AUDIT_TABLE).columns), AUDIT_TABLE)
     return outcomes
 
 
@@ -180,10 +179,12 @@ def _last_copies(read: DataFrame, spec: EntitySpec, views: list[int] | None) ->
 def _merge(job: Job, spec: EntitySpec, good: DataFrame, done: Outcome) -> None:
     house = job.warehouse
     target = align(house.read(spec.name), spec.table_schema)
-    merged = upsert(target, good, spec.key, run_ts=str(job.run_ts), batch_rows=done.extracted)
+    merged = upsert(
+        target, good, spec.key, run_ts=str(job.run_ts), batch_rows=done.extracted, buckets=house.buckets
+    )
     counts = Observation()
     version = house.write_version(
-        merged.observe(counts, *action_metrics()).drop(ACTION), spec.name, job.version, spec.key
+        merged.observe(counts, *action_metrics()).drop(ACTION), spec.name, job.version, spec.key, placed=True
     )
     house.publish(spec.name, version)
     done.inserted, done.updated = counts.get["inserted"], counts.get["updated"]
@@ -240,7 +241,7 @@ def _reconcile(job: Job, spec: EntitySpec, whole: bool, views, loaded: DataFrame
     for table, rows in result.kept_children.items():
         done.cascade_deleted += result.deleted_children[table].count()
         house.publish(table, house.write_version(rows, table, version, children[table][1]))
-    house.publish(spec.name, house.write_version(result.kept, spec.name, version, spec.key))
+    house.publish(spec.name, house.write_version(result.kept, spec.name, version, spec.key, placed=True))
 
 
 def _empty_child(warehouse: Warehouse, child: ChildSpec) -> DataFrame:

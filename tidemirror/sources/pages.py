@@ -31,9 +31,9 @@ VIEW = ["entity", "view_id"]
 _HEAD = "STRUCT<id: STRING>"
 
 
-def landed(spark: SparkSession, path: str) -> DataFrame:
-    """Page files as JSON lines, laid out or not by ``entity=/view_id=``."""
-    return spark.read.schema(PAGE_SCHEMA).json(path)
+def landed(spark: SparkSession, path: str, file_format: str = "json") -> DataFrame:
+    """Page files (JSON lines or Parquet), laid out or not by ``entity=/view_id=``."""
+    return spark.read.schema(PAGE_SCHEMA).format(file_format).load(path)
 
 
 def page_heads(pages: DataFrame, record_key: str) -> DataFrame:

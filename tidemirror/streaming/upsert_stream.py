@@ -42,8 +42,8 @@ def upsert_stream(
             return
         rows = prepare(batch) if prepare else batch
         base = warehouse.read(table)
-        merged = upsert(base, rows, key, order=order, version=version)
-        warehouse.replace(merged.drop(ACTION).select(*columns), table, name, key)
+        merged = upsert(base, rows, key, order=order, version=version, buckets=warehouse.buckets)
+        warehouse.replace(merged.drop(ACTION).select(*columns), table, name, key, placed=True)
 
     return (
         changes.writeStream.foreachBatch(apply)

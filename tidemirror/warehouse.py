@@ -42,16 +42,31 @@ class Warehouse:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    def write_version(self, df: DataFrame, table: str, version: str, key: str | None = None) -> str:
-        """Write, but do not publish; writing a version again replaces it."""
+    def write_version(
+        self, df: DataFrame, table: str, version: str, key: str | None = None, placed: bool = False
+    ) -> str:
+        """Write, but do not publish; writing a version again replaces it.
+
+        Rows are first brought together by bucket, or every task would write a file
+        for each bucket. ``placed`` says they already are.
+        """
         name = f"{self.name(table)}__{_safe(version)}"
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if key and not placed:
+            df = df.repartition(self.buckets, key)
         writer = df.write.mode("overwrite").option("path", f"{self.root}/{table}/{_safe(version)}")
         if key:
             writer = writer.bucketBy(self.buckets, key).sortBy(key)
         writer.saveAsTable(name)
         return name
 
+    def append(self, df: DataFrame, table: str) -> None:
+        """Add rows to a table that only grows."""
+        name = f"{self.name(table)}__rows"
+        df.write.mode("append").option("path", f"{self.root}/{table}/rows").saveAsTable(name)
+        if not self.exists(table):
+            self.publish(table, name)
+
     def publish(self, table: str, version_name: str) -> None:
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ('version' = '{version_name}') "
@@ -62,8 +77,10 @@ class Warehouse:
         """Name of the published version."""
         return self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('version')").first()["value"]
 
-    def replace(self, df: DataFrame, table: str, version: str, key: str | None = None) -> DataFrame:
-        self.publish(table, self.write_version(df, table, version, key))
+    def replace(
+        self, df: DataFrame, table: str, version: str, key: str | None = None, placed: bool = False
+    ) -> DataFrame:
+        self.publish(table, self.write_version(df, table, version, key, placed))
         return self.read(table)
 
 
