@@ -1,11 +1,10 @@
 """The rate limit against a plain loop, on every fanout, and on a stream."""
 
+import random
 from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 
 from tidemirror.operators.ratelimit import rate_limit
 from tidemirror.streaming.ratelimit_stream import rate_limit_stream
@@ -55,30 +54,30 @@ def test_keys_do_not_share_windows(spark):
     assert [got[i][0] for i in (0, 1, 10, 11)] == [True, False, True, False]
 
 
-EVENTS = st.lists(
-    st.tuples(st.sampled_from("ab"), st.one_of(st.integers(0, 400), st.floats(0, 400, width=16))), min_size=1, max_size=60
-)
-
-
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(events=EVENTS, fanout=st.sampled_from([2, 3, 64]), limit=st.integers(1, 3))
-def test_every_fanout_agrees_with_the_loop(spark, events, fanout, limit):
-    rows = [(i, who, START + timedelta(microseconds=int(s * 1_000_000))) for i, (who, s) in enumerate(events)]
-    got = run(spark, rows, limit=limit, window_seconds=10, fanout=fanout)
-    assert got == brute_force(rows, limit, 10)
+@pytest.mark.parametrize("size, limit, seed", [(1, 1, 1), (6, 2, 2), (6, 3, 3), (20, 1, 4), (40, 2, 5), (10_000, 3, 6)])
+def test_every_group_size_agrees_with_the_loop(spark, size, limit, seed):
+    """From every key too busy for a group, over several levels, to one group per key."""
+    draw = random.Random(seed)
+    rows = []
+    for i in range(80):
+        seconds = draw.choice([draw.randrange(400), draw.uniform(0, 400), 100 * draw.randrange(5)])
+        rows.append((i, draw.choice("aab"), START + timedelta(microseconds=int(seconds * 1_000_000))))
+    got = run(spark, rows, limit=limit, window_seconds=40, group_rows=size)
+    assert got == brute_force(rows, limit, 40)
 
 
 def test_dense_hot_key_over_many_levels(spark):
+    """The hot key fills every window, so it goes up level by level, two windows at a time."""
     hot = [(i, "hot", START + timedelta(milliseconds=137 * i)) for i in range(6000)]
     cold = [(10_000 + i, f"c{i % 7}", START + timedelta(seconds=11 * i)) for i in range(70)]
-    got = run(spark, hot + cold, limit=3, window_seconds=2, fanout=4)
+    got = run(spark, hot + cold, limit=3, window_seconds=2, group_rows=64)
     assert got == brute_force(hot + cold, 3, 2)
 
 
-@pytest.mark.parametrize("fanout", [2, 64])
-def test_a_missing_key_is_a_key_of_its_own(spark, fanout):
+@pytest.mark.parametrize("size", [1, 8, 10_000])
+def test_a_missing_key_is_a_key_of_its_own(spark, size):
     events = at(0, 1, 30, 61, 125, who=None) + [(10 + i, w, t) for i, w, t in at(0, 1, 2)]
-    assert run(spark, events, limit=1, fanout=fanout, window_seconds=10) == brute_force(events, 1, 10)
+    assert run(spark, events, limit=1, group_rows=size, window_seconds=10) == brute_force(events, 1, 10)
 
 
 def test_empty_input(spark):

@@ -10,18 +10,31 @@ followed to the chunk's last opening, and only those entry points, found in the
 chunk's first window length, are passed up. The same step on the entry points
 covers ``fanout`` times the span, until one chunk covers everything; then the
 real openings are handed back down level by level.
+
+How many times one window length of a key holds is counted first, and the fanout is
+set so that no group exceeds ``group_rows``. Keys too busy even for that have their
+openings found window after window, each by one minimum over that window's times.
 """
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemirror.session import checkpointed, shared_dir
+
 MICROS = 1_000_000
 
+# Most event times one grouped task takes in (three 8-byte numbers each), and the
+# widest step between levels.
+GROUP_ROWS = 2_000_000
+FANOUT = 64
+
 
 def follow(times: np.ndarray, exits: np.ndarray) -> np.ndarray:
     """Index of each node's successor: the first node at or after its exit time."""
@@ -59,7 +72,7 @@ def rate_limit(
     *,
     limit: int = 10,
     window_seconds: int = 60,
-    fanout: int = 64,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """``events`` with ``allowed`` and ``remaining``.
 
@@ -68,12 +81,8 @@ def rate_limit(
     width = window_seconds * MICROS
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
     timed = events.withColumn("_t", F.timestamp_diff("MICROSECOND", epoch, F.col(ts)))
-    bounds = timed.agg(F.min("_t").alias("low"), F.max("_t").alias("high")).first()
-    origin = bounds["low"] or 0
-    windows = ((bounds["high"] or 0) - origin) // width + 1
-    starts = _openings(timed, key, origin, windows, width, fanout)
-
-    slot = F.floor((F.col("_t") - F.lit(origin)) / F.lit(width)).cast("bigint")
+    slot = F.floor(F.col("_t") / F.lit(width)).cast("bigint")
+    starts = _openings(timed, key, slot, width, group_rows)
     # Openings are at least one width apart: at most one per slot, so an event's
     # window was opened in its own slot or in the one before.
     by_slot = (
@@ -112,32 +121,78 @@ def rate_limit(
     )
 
 
-def _openings(timed: DataFrame, key: str, origin: int, windows: int, width: int, fanout: int) -> DataFrame:
+def _openings(timed: DataFrame, key: str, slot: Column, width: int, group_rows: int) -> DataFrame:
     """Event times that open a window: ``(key, _t)``."""
-    key_field = T.StructField(key, timed.schema[key].dataType)
-    longs = [T.StructField(n, T.LongType()) for n in ("_chunk", "_t", "_exit")]
-    node_schema = T.StructType([key_field, *longs])
-    enter_schema = T.StructType([key_field, *longs[:2]])
-
+    busy = timed.groupBy(key, slot.alias("_slot")).agg(F.count("*").alias("_n"))
+    seen = busy.agg(F.min("_slot").alias("low"), F.max("_slot").alias("high"), F.max("_n").alias("most")).first()
     # Equal times act alike, so only distinct ones travel; they combine before the shuffle.
     times = timed.select(key, "_t").distinct()
-    first_chunk = F.floor((F.col("_t") - F.lit(origin)) / F.lit(width * fanout)).cast("bigint")
-    nodes = times.select(key, first_chunk.alias("_chunk"), "_t", (F.col("_t") + F.lit(width)).alias("_exit"))
+    if seen["most"] is None:
+        return times
+    low, high = seen["low"], seen["high"]
+    if seen["most"] * 2 <= group_rows:
+        return _openings_by_chunk(times, key, low, high, width, min(FANOUT, group_rows // seen["most"]))
+    # At most two keys in group_rows rows are this busy.
+    too_busy = busy.filter(F.col("_n") * 2 > group_rows).select(F.col(key).alias("_key")).distinct()
+    dense = checkpointed(timed.sparkSession, too_busy)
+    is_dense = F.col(key).eqNullSafe(F.col("_key"))
+    by_chunk = _openings_by_chunk(times.join(dense, is_dense, "left_anti"), key, low, high, width, 2)
+    crowded = times.join(dense, is_dense, "left_semi")
+    return by_chunk.unionByName(_openings_by_slot(crowded, dense, key, slot, low, high, width))
+
+
+def _openings_by_slot(times, dense, key, slot, low, high, width) -> DataFrame:
+    """Openings of busy keys, one window length of time after the other.
+
+    Each step reads one slot's times only and combines them to a minimum per key
+    before any shuffle. The state between steps is one row per busy key.
+    """
+    spark = times.sparkSession
+    path = f"{shared_dir(spark)}/busy-{uuid4().hex}"
+    times.withColumn("_slot", slot).write.partitionBy("_slot").parquet(path)
+    stored = spark.read.schema(T.StructType([*times.schema, T.StructField("_slot", T.LongType())])).parquet(path)
+    state = dense.withColumn("_free", F.lit(None).cast("bigint")).withColumn("_t", F.lit(None).cast("bigint"))
+    steps = []
+    for at in range(low, high + 1):
+        free = state.select("_key", "_free")
+        first = (
+            stored.filter(F.col("_slot") == at)
+            .join(free, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_t") >= F.coalesce("_free", F.col("_t"))))
+            .groupBy(F.col("_key").alias("_opener"))
+            .agg(F.min("_t").alias("_t"))
+        )
+        after = free.join(first, F.col("_key").eqNullSafe(F.col("_opener")), "left")
+        state = checkpointed(
+            spark, after.select("_key", F.coalesce(F.col("_t") + F.lit(width), "_free").alias("_free"), "_t")
+        )
+        steps.append(state.filter("_t is not null").select(F.col("_key").alias(key), "_t"))
+    opened = steps[0]
+    for one in steps[1:]:
+        opened = opened.unionByName(one)
+    return opened
 
+
+def _openings_by_chunk(times, key, low, high, width, fanout) -> DataFrame:
+    key_field = T.StructField(key, times.schema[key].dataType)
+    longs = [T.StructField(n, T.LongType()) for n in ("_chunk", "_t", "_exit")]
+    node_schema = T.StructType([key_field, *longs])
+    enter_schema = T.StructType([key_field, *longs[:2]])
+    origin, windows = low * width, high - low + 1
+    nodes = _chunk_of(times, origin, width * fanout).select(
+        key, "_chunk", "_t", (F.col("_t") + F.lit(width)).alias("_exit")
+    )
     levels = [nodes]
     span = fanout
     while span < windows:
         levels.append(_entry_points(levels[-1], key, origin, width, span, fanout, node_schema))
         span *= fanout
 
-    opened = levels[-1].groupBy(key, "_chunk").applyInPandas(
-        lambda group: _visited(group, None, key, fanout), enter_schema
-    )
+    opened = levels[-1].groupBy(key, "_chunk").applyInPandas(lambda group: _visited(group, None, key), enter_schema)
     for below in reversed(levels[:-1]):
         opened = (
             below.groupBy(key, "_chunk")
             .cogroup(_chunk_of(opened, origin, width * span // fanout).groupBy(key, "_chunk"))
-            .applyInPandas(lambda group, enter: _visited(group, enter, key, fanout), enter_schema)
+            .applyInPandas(lambda group, enter: _visited(group, enter, key), enter_schema)
         )
         span //= fanout
     return opened.select(key, "_t")
@@ -171,7 +226,7 @@ def _entry_points(nodes, key, origin, width, span, fanout, schema) -> DataFrame:
     return nodes.groupBy(key, "_chunk").applyInPandas(summarize, schema)
 
 
-def _visited(group: pd.DataFrame, enter: pd.DataFrame | None, key: str, fanout: int) -> pd.DataFrame:
+def _visited(group: pd.DataFrame, enter: pd.DataFrame | None, key: str) -> pd.DataFrame:
     """Nodes of one chunk on the real chain, given where the chain enters it."""
     if enter is not None and enter.empty:
         return group[[key, "_chunk", "_t"]].iloc[:0]
