@@ -76,6 +76,17 @@ def rate_limit_batch(spark, sf):
     return rate_limit(events, "user_id", "ts", "event_id", limit=LIMIT, window_seconds=WINDOW_SECONDS)
 
 
+@query("""
+    SELECT event_id, CASE WHEN event_type = 'error' THEN 'unknown' ELSE '10.0.0.' || user_id END AS client FROM events
+""")
+def client_key(spark, sf):
+    """The rate limit's key, from a forwarding header with one or two addresses or none."""
+    address = F.concat(F.lit("10.0.0."), F.col("user_id").cast("string"))
+    header = F.when(F.col("event_type") == "click", F.concat(F.lit(" "), address, F.lit(" , 172.16.0.1")))
+    header = header.when(F.col("event_type") != "error", address)
+    return table(spark, sf, "events").select("event_id", V.client_key(header).alias("client"))
+
+
 @query("SELECT event_id, event_type = 'view' AS is_bot FROM events")
 def bot_filter(spark, sf):
     posts = requests(spark, sf)
