@@ -130,11 +130,15 @@ def test_failed_rows_and_empty_sweeps_delete_nothing(spark, house):
     assert (contacts.failed, contacts.reconcile) == (2, R.LOAD_FAILED)
 
 
-def test_relations_of_emptied_teams_go(spark, house):
-    run(job(spark, house, source([deal(1)]), 10), "teams")
-    teams = [(None, 1, envelope("teams", [{"id": 3, "name": "T", "user_ids": []}, {"id": 6, "name": "E", "user_ids": [9]}]))]
-    run(job(spark, house, source([deal(1)], teams=teams), 20), "teams")
-    assert {tuple(r) for r in house.read("team_users").select("team_id", "user_id").collect()} == {(6, 9)}
+def test_relations_of_emptied_teams_go_and_others_keep_their_keys(spark, house):
+    page = lambda *teams: [(None, 1, envelope("teams", [{"id": i, "name": "T", "user_ids": u} for i, u in teams]))]
+    run(job(spark, house, source([deal(1)], teams=page((3, [4, 5]), (6, []), (7, [8]))), 10), "teams")
+    before = {(r["team_id"], r["user_id"]): r["id"] for r in house.read("team_users").collect()}
+    assert set(before) == {(3, 4), (3, 5), (7, 8)}
+    load_entity(job(spark, house, source([deal(1)], teams=page((3, []), (6, [9]))), 20), REGISTRY["teams"])
+    after = {(r["team_id"], r["user_id"]): r["id"] for r in house.read("team_users").collect()}
+    assert set(after) == {(6, 9), (7, 8)}
+    assert after[(7, 8)] == before[(7, 8)] and after[(6, 9)] > max(before.values())
 
 
 def test_steps_are_audited_and_unknown_entities_refused(spark, house):

@@ -29,9 +29,9 @@ def test_no_python_and_no_cross_join(spark, sf, name):
 @pytest.mark.parametrize("name", PYTHON)
 def test_python_runs_on_the_keys_and_times_only(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
-    assert "FlatMapGroupsInPandas" in text
+    assert "FlatMapGroupsInArrow" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert not re.search(r"FlatMapGroupsInPandas.*body", text)
+    assert not re.search(r"FlatMapGroupsInArrow.*body", text)
 
 
 def test_incremental_filter_reaches_the_files(spark, sf):

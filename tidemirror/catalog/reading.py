@@ -130,8 +130,8 @@ def dedup_multi_view(spark, sf):
     def copies(rows, view, change):
         return rows.select(
             F.lit(view).cast("bigint").alias("view_id"),
-            (F.floor(F.col("o_orderkey") / 100) + 1).alias("page"),
-            F.pmod("o_orderkey", F.lit(100)).alias("pos"),
+            F.expr("o_orderkey div 100 + 1").alias("page"),
+            F.col("o_orderkey").alias("pos"),
             F.col("o_orderkey").alias("id"),
             (F.col("o_totalprice") + change).alias("amount"),
             F.col("o_orderpriority").alias("priority"),

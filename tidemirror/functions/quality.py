@@ -49,7 +49,11 @@ def check(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows without the error list, and the quarantined rows with it."""
+    """Good rows without the error list, and the quarantined rows with it.
+
+    Both parts read ``checked``, so rows of a wide projection should be written first;
+    filtered in the same plan, its many aliases also make the optimizer slow.
+    """
     bad = F.size(ERRORS) > 0
     return checked.filter(~bad).drop(ERRORS), checked.filter(bad)
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,12 +187,12 @@ def _openings_by_chunk(times, key, low, high, width, fanout) -> DataFrame:
         levels.append(_entry_points(levels[-1], key, origin, width, span, fanout, node_schema))
         span *= fanout
 
-    opened = levels[-1].groupBy(key, "_chunk").applyInPandas(lambda group: _visited(group, None, key), enter_schema)
+    opened = levels[-1].groupBy(key, "_chunk").applyInArrow(lambda group: _visited(group, None, key), enter_schema)
     for below in reversed(levels[:-1]):
         opened = (
             below.groupBy(key, "_chunk")
             .cogroup(_chunk_of(opened, origin, width * span // fanout).groupBy(key, "_chunk"))
-            .applyInPandas(lambda group, enter: _visited(group, enter, key), enter_schema)
+            .applyInArrow(lambda group, enter: _visited(group, enter, key), enter_schema)
         )
         span //= fanout
     return opened.select(key, "_t")
@@ -207,30 +207,31 @@ def _entry_points(nodes, key, origin, width, span, fanout, schema) -> DataFrame:
     """Per chunk: the nodes an incoming chain can reach first, each with its last exit."""
     length = span * width
 
-    def summarize(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_t")
-        times = group["_t"].to_numpy()
-        reached = last_exits(times, group["_exit"].to_numpy())
-        begins = origin + int(group["_chunk"].iloc[0]) * length
+    def summarize(group: pa.Table) -> pa.Table:
+        times, exits = _nodes(group)
+        chunk = group["_chunk"][0].as_py()
+        reached = last_exits(times, exits)
         # A chain leaves the chunks before at most one width into this one.
-        n = min(len(times), int(np.searchsorted(times, begins + width, side="left")) + 1)
-        return pd.DataFrame(
-            {
-                key: group[key].iloc[:n],
-                "_chunk": group["_chunk"].iloc[:n] // fanout,
-                "_t": times[:n],
-                "_exit": reached[:n],
-            }
-        )
+        n = min(len(times), int(follow(times, np.array([origin + chunk * length + width]))[0]) + 1)
+        columns = [group[key].slice(0, n), np.full(n, chunk // fanout), times[:n], reached[:n]]
+        return pa.table(columns, names=[key, "_chunk", "_t", "_exit"])
+
+    return nodes.groupBy(key, "_chunk").applyInArrow(summarize, schema)
+
 
-    return nodes.groupBy(key, "_chunk").applyInPandas(summarize, schema)
+def _nodes(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Times in order, each with its exit."""
+    times, exits = group["_t"].to_numpy(), group["_exit"].to_numpy()
+    order = np.argsort(times)
+    return times[order], exits[order]
 
 
-def _visited(group: pd.DataFrame, enter: pd.DataFrame | None, key: str) -> pd.DataFrame:
+def _visited(group: pa.Table, enter: pa.Table | None, key: str) -> pa.Table:
     """Nodes of one chunk on the real chain, given where the chain enters it."""
-    if enter is not None and enter.empty:
-        return group[[key, "_chunk", "_t"]].iloc[:0]
-    group = group.sort_values("_t")
-    at = None if enter is None else int(enter["_t"].iloc[0])
-    path = chain(group["_t"].to_numpy(), group["_exit"].to_numpy(), at)
-    return group[[key, "_chunk", "_t"]].iloc[path]
+    columns = [key, "_chunk", "_t"]
+    if enter is not None and not enter.num_rows:
+        return group.select(columns).slice(0, 0)
+    times, exits = _nodes(group)
+    path = chain(times, exits, None if enter is None else enter["_t"][0].as_py())
+    same = group.slice(0, len(path))
+    return pa.table([same[key], same["_chunk"], times[path]], names=columns)

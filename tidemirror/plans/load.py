@@ -17,7 +17,7 @@ from tidemirror.operators.align import align, ensure_columns
 from tidemirror.operators.children import replace_children, replace_relations
 from tidemirror.operators.reconcile import APPLIED, reconcile
 from tidemirror.operators.reports import run_steps
-from tidemirror.operators.upsert import ACTION, action_metrics, latest_per_key, surrogate_keys, upsert
+from tidemirror.operators.upsert import ACTION, CREATED, action_metrics, latest_per_key, surrogate_keys, upsert
 from tidemirror.plans.entities import REGISTRY, ChildSpec, EntitySpec, select_entities, stored_type
 from tidemirror.plans.project import envelope_type, project, project_children, unwrap
 from tidemirror.sources.pages import (
@@ -202,20 +202,21 @@ def _view_order(views: list[int] | None):
 
 
 def _replace_child(job: Job, spec: EntitySpec, child: ChildSpec, records: DataFrame) -> None:
-    house = job.warehouse
+    """Old rows that stay keep their surrogate keys; the batch's rows are numbered after them."""
+    house, parent = job.warehouse, child.parent_column
     old = house.read(child.table)
     new = project_children(records, spec, child)
-    if child.replace == "all":
-        parents = records.select(F.col(f"rec.{spec.key}").cast("bigint").alias(child.parent_column))
-        pairs = new.distinct() if child.unique else new
-        merged = replace_relations(old.drop(child.surrogate), pairs, parents, child.parent_column)
-        stamped = merged.withColumn("etl_created_at", F.coalesce("etl_created_at", F.lit(job.run_ts).cast("timestamp_ntz")))
-        house.replace(surrogate_keys(stamped, list(child.unique)), child.table, job.version, child.parent_column)
-        return
+    if child.unique:
+        new = new.dropDuplicates(list(child.unique))
     top = old.agg(F.max(child.surrogate)).first()[0] or 0
     numbered = surrogate_keys(new, new.columns, start=top, column=child.surrogate)
-    merged = replace_children(old, numbered, child.parent_column, run_ts=str(job.run_ts))
-    house.replace(merged.select(*old.columns), child.table, job.version, child.parent_column)
+    if child.replace == "all":
+        parents = records.select(F.col(f"rec.{spec.key}").cast("bigint").alias(parent))
+        stamped = numbered.withColumn(CREATED, F.lit(str(job.run_ts)).cast("timestamp_ntz"))
+        merged = replace_relations(old, stamped, parents, parent)
+    else:
+        merged = replace_children(old, numbered, parent, run_ts=str(job.run_ts))
+    house.replace(merged.select(*old.columns), child.table, job.version, parent)
 
 
 def _reconcile(job: Job, spec: EntitySpec, whole: bool, views, loaded: DataFrame, done: Outcome) -> None:
