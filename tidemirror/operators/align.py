@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -12,13 +11,13 @@ def align(df: DataFrame, schema: T.StructType, extra: bool = False) -> DataFrame
 
     ``extra`` keeps columns the schema does not know, after the others.
     """
-    have = set(df.columns)
-    known = [
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
-    ]
-    names = set(schema.names)
-    more = [F.col(c) for c in df.columns if c not in names] if extra else []
-    return df.select(*known, *more)
+    have, names = set(df.columns), set(schema.names)
+    known = []
+    for f in schema:
+        value = f"`{f.name}`" if f.name in have else "NULL"
+        known.append(f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`")
+    more = [f"`{c}`" for c in df.columns if c not in names] if extra else []
+    return df.selectExpr(*known, *more)
 
 
 def evolve(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -81,27 +81,22 @@ def _upsert_join(target, batch, keys, run_ts, version):
     columns = [c for c in target.columns if c not in keys and c not in (CREATED, UPDATED)]
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     b = batch.withColumn("_in_batch", F.lit(True)).alias("b")
-    joined = t.join(b, keys, "full_outer")
-    taken = F.col("b._in_batch").isNotNull()
+    taken = "b._in_batch IS NOT NULL"
     if version:
-        older = F.col(f"b.{version}") < F.col(f"t.{version}")
-        taken = taken & ~F.coalesce(older, F.lit(False))
-    action = (
-        F.when(taken & F.col("t._in_target").isNull(), INSERT).when(taken, UPDATE).otherwise(KEEP)
-    )
-    values = [F.when(taken, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in columns]
-    stamps = []
+        taken += f" AND NOT coalesce(b.`{version}` < t.`{version}`, false)"
+    # Whole rows are chosen column by column; as SQL texts, wide tables plan quickly.
+    values = [f"CASE WHEN {taken} THEN b.`{c}` ELSE t.`{c}` END AS `{c}`" for c in columns]
     if run_ts:
-        now = F.lit(run_ts).cast("timestamp_ntz")
+        now = f"TIMESTAMP_NTZ '{run_ts}'"
         old = CREATED in target.columns
-        created = F.col(f"t.{CREATED}") if old else F.lit(None).cast("timestamp_ntz")
-        updated = F.col(f"t.{UPDATED}") if old else F.lit(None).cast("timestamp_ntz")
-        inserted = F.col("t._in_target").isNull()
-        stamps = [
-            F.when(inserted, now).otherwise(created).alias(CREATED),
-            F.when(taken, now).otherwise(updated).alias(UPDATED),
+        created, updated = (f"t.{CREATED}", f"t.{UPDATED}") if old else ["CAST(NULL AS TIMESTAMP_NTZ)"] * 2
+        values += [
+            f"CASE WHEN t._in_target IS NULL THEN {now} ELSE {created} END AS {CREATED}",
+            f"CASE WHEN {taken} THEN {now} ELSE {updated} END AS {UPDATED}",
         ]
-    return joined.select(*keys, *values, *stamps, action.alias(ACTION))
+    inserted = f"{taken} AND t._in_target IS NULL"
+    action = f"CASE WHEN {inserted} THEN '{INSERT}' WHEN {taken} THEN '{UPDATE}' ELSE '{KEEP}' END AS {ACTION}"
+    return t.join(b, keys, "full_outer").selectExpr(*[f"`{k}`" for k in keys], *values, action)
 
 
 def _upsert_small(target, batch, keys, run_ts, buckets):
