@@ -1,12 +1,15 @@
-"""The rate limit against a plain loop, on every fanout, and on a stream."""
+"""The rate limit against a plain loop, for every group size, and on a stream."""
 
 import random
+import subprocess
+import sys
 from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark import cloudpickle
 
-from tidemirror.operators.ratelimit import rate_limit
+from tidemirror.operators.ratelimit import chain, rate_limit
 from tidemirror.streaming.ratelimit_stream import rate_limit_stream
 
 START = datetime(2024, 1, 1)
@@ -105,3 +108,9 @@ def test_stream_agrees_with_batch(spark, tmp_path, files):
     query.awaitTermination()
     got = {r["id"]: (r["allowed"], r["remaining"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == brute_force(events, 2, 60)
+
+
+def test_executors_need_no_installed_package(tmp_path):
+    code = "import pickle, sys; f = pickle.loads(sys.stdin.buffer.read()); import numpy as np; print(f(np.array([0, 5, 9]), np.array([5, 10, 14]), None))"
+    done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(chain), cwd=tmp_path, capture_output=True, check=True)
+    assert done.stdout.split() == [b"[0,", b"1]"]

@@ -18,16 +18,21 @@ openings found window after window, each by one minimum over that window's times
 
 from __future__ import annotations
 
+import sys
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemirror.session import checkpointed, shared_dir
 
+# Executors get these functions themselves and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MICROS = 1_000_000
 
 # Most event times one grouped task takes in (three 8-byte numbers each), and the

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+# Executors get this function itself and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE = "window_start BIGINT, used INT"
 MICROS = 1_000_000
 
