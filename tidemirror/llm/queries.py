@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemirror.llm import bpe, quality_rules, secret_scan
+from tidemirror.llm import bpe, embedding_dedup, minhash_dedup, mixing, quality_rules, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,3 +68,21 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(secret_scan.listing(secret_scan.base_spans()).cast("binary"), 256).alias("base_sha256"),
         secret_scan.listing(F.col("spans")).alias("spans"),
     )
+
+
+@query()
+def op5_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return minhash_dedup.near_duplicates(documents(spark, sf))
+
+
+@query()
+def op8_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """The links and the near-duplicate class of every embedding."""
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query()
+def op3_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.mix_sources(documents(spark, sf))
