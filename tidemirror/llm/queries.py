@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemirror.llm import bpe, embedding_dedup, minhash_dedup, mixing, quality_rules, secret_scan
+from tidemirror.llm import bpe, embedding_dedup, line_dedup, minhash_dedup, mixing, quality_rules, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,9 @@ def op8_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op3_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mixing.mix_sources(documents(spark, sf))
+
+
+@query()
+def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without later copies of repeated runs of lines."""
+    return line_dedup.dedup_lines(documents(spark, sf).select("doc_id", "text"))
