@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemirror.llm import bpe, embedding_dedup, line_dedup, minhash_dedup, mixing, quality_rules, secret_scan
+from tidemirror.llm import bpe, embedding_dedup, language_id, line_dedup, minhash_dedup, mixing, quality_rules, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,17 @@ def op3_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without later copies of repeated runs of lines."""
     return line_dedup.dedup_lines(documents(spark, sf).select("doc_id", "text"))
+
+
+def held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
+@query()
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = documents(spark, sf).select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where(~F.coalesce(held_out(), F.lit(False))))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
