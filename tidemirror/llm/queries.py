@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemirror.llm import bpe, embedding_dedup, language_id, line_dedup, minhash_dedup, mixing, quality_rules, secret_scan
+from tidemirror.llm import bpe, embedding_dedup, language_id, line_dedup, minhash_dedup, mixing, quality_classifier, quality_rules, secret_scan, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +106,16 @@ def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "text"), model).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query()
+def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without later copies of repeated spans of sentences."""
+    return substring_dedup.dedup_spans(documents(spark, sf))
+
+
+@query()
+def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents sampled towards those labelled good and not toxic."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    return quality_classifier.resample(documents(spark, sf), labels.where("quality = 1 AND toxic = 0"))
