@@ -6,12 +6,16 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
+from tidemirror.operators import control as C
 from tidemirror.operators import reconcile as R
 from tidemirror.operators.upsert import upsert
+from tidemirror.plans import load as L
 from tidemirror.plans.entities import REGISTRY, select_entities
 from tidemirror.plans.load import AUDIT_TABLE, Job, ensure_tables, load_entity, run
 from tidemirror.sources.pages import PAGE_SCHEMA
-from tidemirror.warehouse import Warehouse
+from tidemirror.warehouse import BUCKET, Pending, Warehouse
 
 VIEWS = {"deals": [30, 10], "contacts": [1], "sales_accounts": [1], "leads": [1]}
 
@@ -52,14 +56,12 @@ def source(deals, more_deals=(), deal_total=1, **changes):
 
 @pytest.fixture()
 def house(spark, tmp_path):
-    name = "run_" + tmp_path.name.replace("-", "_")
-    yield Warehouse(spark, str(tmp_path / "house"), name, buckets=2)
-    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    return Warehouse(spark, str(tmp_path / "house"), "run", buckets=2)
 
 
-def job(spark, house, rows, day, **options):
+def job(spark, house, rows, day, sweep=False, **options):
     pages = spark.createDataFrame(rows, PAGE_SCHEMA)
-    return Job(house, pages, datetime(2024, 1, day, 2), VIEWS, **options)
+    return Job(house, pages, datetime(2024, 1, day, 2), VIEWS, sweep_pages=pages if sweep else None, **options)
 
 
 def outcomes(df):
@@ -88,10 +90,11 @@ def test_first_and_next_run(spark, house):
 
     # Deal 1 unchanged and not read again, deal 2 gone, deal 3 changed, deal 4 new.
     changed = [deal(1), deal(3, "2024-01-11T00:00:00Z", name="new", products=[]), deal(4, "2024-01-12T00:00:00Z")]
-    second = outcomes(run(job(spark, house, source(changed), 20), "deals"))
+    second = outcomes(run(job(spark, house, source(changed), 20, sweep=True), "deals"))
     row = second["deals"]
     assert (row["records_extracted"], row["records_inserted"], row["records_updated"]) == (2, 1, 1)
     assert (row["records_deleted"], row["records_cascade_deleted"]) == (1, 1)
+    assert (row["records_active"], row["reconcile"]) == (3, R.APPLIED)
     ids = {r["id"]: r for r in house.read("deals").collect()}
     assert set(ids) == {1, 3, 4}
     assert ids[3]["name"] == "new"
@@ -105,11 +108,11 @@ def test_first_and_next_run(spark, house):
 
 def test_incomplete_pages_neither_delete_nor_move_the_watermark(spark, house):
     run(job(spark, house, source([deal(1), deal(2)]), 10), "deals")
-    broken = outcomes(run(job(spark, house, source([deal(1, "2024-01-11T00:00:00Z")], deal_total=2), 20), "deals"))["deals"]
+    broken = outcomes(run(job(spark, house, source([deal(1, "2024-01-11T00:00:00Z")], deal_total=2), 20, sweep=True), "deals"))["deals"]
     assert (broken["execution_status"], broken["records_updated"], broken["records_deleted"]) == ("ERROR", 1, 0)
     assert house.read("deals").count() == 2
     # The same change is read again by the next run.
-    again = outcomes(run(job(spark, house, source([deal(1, "2024-01-11T00:00:00Z")]), 21), "deals"))["deals"]
+    again = outcomes(run(job(spark, house, source([deal(1, "2024-01-11T00:00:00Z")]), 21, sweep=True), "deals"))["deals"]
     assert (again["execution_status"], again["records_updated"], again["records_deleted"]) == ("SUCCESS", 1, 1)
 
 
@@ -126,6 +129,7 @@ def test_failed_rows_and_empty_sweeps_delete_nothing(spark, house):
     done = load_entity(empty, REGISTRY["users"])
     assert (done.reconcile, done.deleted) == (R.EMPTY, 0)
     assert house.read("users").count() == 2
+    ensure_tables(house, [REGISTRY["contacts"]])
     contacts = load_entity(job(spark, house, source([deal(1)]), 21), REGISTRY["contacts"])
     assert (contacts.failed, contacts.reconcile) == (2, R.LOAD_FAILED)
 
@@ -152,23 +156,154 @@ def test_steps_are_audited_and_unknown_entities_refused(spark, house):
 
 def test_new_columns_are_added_to_existing_tables(spark, house):
     narrow = spark.createDataFrame([(1, "old", "mine")], "id BIGINT, name STRING, extra STRING")
-    house.replace(narrow, "products", "old", "id")
-    ensure_tables(house)
+    house.replace(narrow, "products", "id")
+    ensure_tables(house, [REGISTRY["products"]])
     row = house.read("products").first()
     assert (row["name"], row["price"], row["extra"]) == ("old", None, "mine")
+    # A load changes the columns it knows and leaves the others.
+    assert load_entity(job(spark, house, source([], products=[(None, 1, envelope("products", [{"id": 1, "name": "new"}]))]), 9), REGISTRY["products"]).error is None
+    row = house.read("products").first()
+    assert (row["name"], row["extra"]) == ("new", "mine")
+
+
+def test_widening_twice_keeps_every_row(spark, house):
+    house.replace(spark.range(1000), "t", "id")
+    for name in ("a", "b"):
+        house.widen("t", T.StructType([T.StructField(name, T.StringType())]))
+    got = house.read("t")
+    assert got.columns == ["id", "a", "b"] and got.count() == 1000
+
+
+def test_a_repeated_run_changes_nothing(spark, house):
+    same = job(spark, house, source([deal(1), deal(2)]), 10)
+    first, again = outcomes(run(same, "users")), outcomes(run(same, "users"))
+    assert first["users"]["records_inserted"] == again["users"]["records_inserted"] == 2
+    assert house.read("users").count() == 2
+    assert house.read(AUDIT_TABLE).filter("entity_name = 'users'").count() == 1
+
+
+def test_the_same_load_twice_does_not_duplicate(spark, house):
+    """As after a crash between the publication and the audit row."""
+    same = job(spark, house, source([deal(1), deal(2)]), 10)
+    ensure_tables(house, [REGISTRY["deals"]])
+    for _ in range(2):
+        assert load_entity(same, REGISTRY["deals"]).error is None
+    assert house.read("deals").count() == 2 and house.read("deal_products").count() == 2
+
 
+def test_a_crash_between_two_publications_is_repaired_by_the_next_run(spark, house, monkeypatch):
+    run(job(spark, house, source([deal(1)]), 10), "deals")
+    changed = [deal(1, "2024-01-11T00:00:00Z", name="new", products=[{"id": 5, "product_id": 6}])]
+    publish, done = Pending.commit, []
+
+    def once(self):
+        done.append(self.table)
+        if len(done) == 2:
+            raise RuntimeError("killed")
+        publish(self)
+
+    monkeypatch.setattr(Pending, "commit", once)
+    broken = outcomes(run(job(spark, house, source(changed), 20), "deals"))["deals"]
+    assert (broken["execution_status"], broken["error_message"]) == ("ERROR", "killed")
+    monkeypatch.setattr(Pending, "commit", publish)
+    assert {r["source_line_id"] for r in house.read("deal_products").collect()} == {901}
+    run(job(spark, house, source(changed), 21), "deals")
+    assert [r["name"] for r in house.read("deals").collect()] == ["new"]
+    assert [r["source_line_id"] for r in house.read("deal_products").collect()] == [5]
+
+
+def test_an_incremental_landing_without_a_sweep_deletes_nothing(spark, house):
+    run(job(spark, house, source([deal(1), deal(2), deal(3)]), 10), "deals")
+    row = outcomes(run(job(spark, house, source([deal(2, "2024-01-11T00:00:00Z", name="x")]), 20), "deals"))["deals"]
+    assert (row["execution_status"], row["records_updated"], row["records_deleted"], row["reconcile"]) == ("SUCCESS", 1, 0, R.NO_SWEEP)
+    assert house.read("deals").count() == 3
 
-def test_merge_does_not_shuffle_a_published_table(spark, house):
-    house.replace(spark.range(100).withColumn("v", F.lit(1)), "t", "v1", "id")
-    batch = spark.range(50).withColumn("v", F.lit(2))
-    plan = upsert(house.read("t"), batch)._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan and "FullOuter" in plan
-    assert plan.count("Exchange hashpartitioning") == 1
+
+def test_a_full_load_reconciles_against_what_it_read(spark, house):
+    run(job(spark, house, source([deal(1), deal(2)]), 10), "deals")
+    row = outcomes(run(job(spark, house, source([deal(2)]), 20, force_full=True), "deals"))["deals"]
+    assert (row["records_deleted"], row["records_cascade_deleted"], row["records_active"]) == (1, 1, 1)
+    assert [r["id"] for r in house.read("deals").collect()] == [2]
+
+
+def test_a_table_that_may_not_lose_rows_is_left_alone(spark, house):
+    run(job(spark, house, source([deal(1), deal(2)]), 10), "deals")
+    row = outcomes(run(job(spark, house, source([deal(2)]), 20, force_full=True, deletable={"users"}), "deals"))["deals"]
+    assert (row["records_deleted"], row["reconcile"]) == (0, R.NOT_ALLOWED)
+
+
+def test_nested_copies_and_option_lists(spark, house):
+    stage = lambda name: {"id": 2, "name": name, "deal_pipeline_id": 1}
+    twice = envelope("deal_pipelines", [{"id": 1, "name": "P", "deal_stages": [stage("old"), stage("new")]}])
+    lists = [{"name": "forecast_category", "choices": [{"id": i, "value": v}]} for i, v in ((1, "first"), (2, "second"))]
+    rows = source([], pipelines=[(None, 1, twice)], deal_fields=[(None, 1, envelope("fields", lists))])
+    ensure_tables(house, [REGISTRY[n] for n in ("stages", "forecast_categories")])
+    for name in ("stages", "forecast_categories"):
+        assert load_entity(job(spark, house, rows, 10), REGISTRY[name]).error is None
+    assert [r["name"] for r in house.read("stages").collect()] == ["new"]
+    assert [r["name"] for r in house.read("forecast_categories").collect()] == ["first"]
+
+
+def test_unreadable_times_are_counted(spark, house):
+    ensure_tables(house, [REGISTRY["tasks"]])
+    tasks = [{"id": 1, "due_date": "soon"}, {"id": 2, "due_date": "15 Jan 2024"}, {"id": 3, "due_date": ""}]
+    pages = [(None, 1, envelope("tasks", tasks)), (None, 2, envelope("tasks", []))]
+    done = load_entity(job(spark, house, source([], tasks=pages), 10), REGISTRY["tasks"])
+    assert (done.unreadable, done.failed, done.inserted) == (1, 0, 3)
+
+
+def test_counters_and_messages_have_no_cap(spark, house):
+    done = L.Outcome("deals", datetime(2024, 1, 1), extracted=3_000_000_000, error="x" * 100_000)
+    row = C.audit_rows(spark, [done.row()], C.OUTCOME_SCHEMA).first()
+    assert row["records_extracted"] == 3_000_000_000 and len(row["error_message"]) == 100_000
+
+
+def test_a_merge_reads_and_writes_touched_buckets_only(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"), buckets=16)
+    house.replace(spark.range(100).withColumn("v", F.lit(1)), "t", "id")
+    before = house.manifest("t")
+    batch = spark.createDataFrame([(3, 2), (1000, 2)], "id BIGINT, v INT")
+    plans = []
+
+    def merge(part, changed):
+        merged = upsert(part, changed, [BUCKET, "id"])
+        plans.append((merged._jdf.queryExecution().executedPlan().toString(), part))
+        return merged
+
+    change = house.change("t", batch, merge)
+    assert house.manifest("t") == before and house.read("t").filter("v = 2").isEmpty()
+    change.commit()
+    after = house.manifest("t")
+    assert {b for b in after.folders if after.folders[b] != before.folders.get(b)} == change.touched
+    assert len(change.touched) <= 2
+    text, part = plans[0]
+    assert "FullOuter" in text and "SortAggregate" not in text
+    # Either side is shuffled once, and the batch's keys for the check.
+    assert text.count("Exchange hashpartitioning") <= 3
+    assert house.read("t").count() == 101 and house.read("t").filter("v = 2").count() == 2
 
 
 def test_a_failed_write_leaves_the_published_version(spark, house):
-    house.replace(spark.range(3), "t", "v1", "id")
+    house.replace(spark.range(3), "t", "id")
     broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
     with pytest.raises(Exception, match="no"):
-        house.replace(broken, "t", "v2", "id")
-    assert house.read("t").count() == 3 and house.current("t").endswith("__v1")
+        house.replace(broken, "t", "id")
+    assert house.read("t").count() == 3 and house.versions("t") == [1]
+
+
+def test_the_second_of_two_writers_fails(spark, house):
+    house.replace(spark.range(3), "t", "id")
+    changes = [house.change("t", spark.range(n, n + 1), lambda part, new: part.unionByName(new)) for n in (10, 20)]
+    changes[0].commit()
+    with pytest.raises(RuntimeError, match="another writer"):
+        changes[1].commit()
+    assert house.read("t").count() == 4
+
+
+def test_expired_versions_take_only_their_own_folders(spark, house):
+    house.replace(spark.range(50), "t", "id")
+    for n in (60, 61, 62):
+        house.change("t", spark.range(n, n + 1), lambda part, new: part.unionByName(new)).commit()
+    assert house.expire("t", keep=1) > 0
+    assert house.versions("t") == [4] and house.read("t").count() == 53
+    assert house.expire("t", keep=1) == 0

@@ -14,6 +14,13 @@ TIMES = [
     ("20240305", datetime(2024, 3, 5)),
     ("Mar 5 2024", datetime(2024, 3, 5)),
     ("2024-03-05 10:11 PM", datetime(2024, 3, 5, 22, 11)),
+    ("15 Jan 2024", datetime(2024, 1, 15)),
+    ("January 15, 2024", datetime(2024, 1, 15)),
+    ("Mon, 15 Jan 2024 10:00:00 GMT", datetime(2024, 1, 15, 10)),
+    ("2024/01/15", datetime(2024, 1, 15)),
+    ("15/01/2024", datetime(2024, 1, 15)),
+    ("20240115T101112", datetime(2024, 1, 15, 10, 11, 12)),
+    ("Jan 15 2024 3:04 PM", datetime(2024, 1, 15, 15, 4)),
     (None, None),
     ("", None),
     ("garbage", None),

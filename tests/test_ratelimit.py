@@ -1,15 +1,12 @@
-"""The rate limit against a plain loop, for every group size, and on a stream."""
+"""The rate limit against a plain loop, and on a stream."""
 
 import random
-import subprocess
-import sys
 from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark import cloudpickle
 
-from tidemirror.operators.ratelimit import chain, rate_limit
+from tidemirror.operators.ratelimit import open_windows, rate_limit, successors
 from tidemirror.streaming.ratelimit_stream import rate_limit_stream
 
 START = datetime(2024, 1, 1)
@@ -57,30 +54,60 @@ def test_keys_do_not_share_windows(spark):
     assert [got[i][0] for i in (0, 1, 10, 11)] == [True, False, True, False]
 
 
-@pytest.mark.parametrize("size, limit, seed", [(1, 1, 1), (6, 2, 2), (6, 3, 3), (20, 1, 4), (40, 2, 5), (10_000, 3, 6)])
-def test_every_group_size_agrees_with_the_loop(spark, size, limit, seed):
-    """From every key too busy for a group, over several levels, to one group per key."""
+@pytest.mark.parametrize("limit, seed", [(1, 1), (2, 2), (3, 3)])
+def test_random_events_agree_with_the_loop(spark, limit, seed):
     draw = random.Random(seed)
     rows = []
     for i in range(80):
         seconds = draw.choice([draw.randrange(400), draw.uniform(0, 400), 100 * draw.randrange(5)])
         rows.append((i, draw.choice("aab"), START + timedelta(microseconds=int(seconds * 1_000_000))))
-    got = run(spark, rows, limit=limit, window_seconds=40, group_rows=size)
-    assert got == brute_force(rows, limit, 40)
+    assert run(spark, rows, limit=limit, window_seconds=40) == brute_force(rows, limit, 40)
 
 
-def test_dense_hot_key_over_many_levels(spark):
-    """The hot key fills every window, so it goes up level by level, two windows at a time."""
+def test_dense_hot_key(spark):
+    """The hot key fills every window and spreads over all partitions of the sort."""
     hot = [(i, "hot", START + timedelta(milliseconds=137 * i)) for i in range(6000)]
     cold = [(10_000 + i, f"c{i % 7}", START + timedelta(seconds=11 * i)) for i in range(70)]
-    got = run(spark, hot + cold, limit=3, window_seconds=2, group_rows=64)
+    got = run(spark, hot + cold, limit=3, window_seconds=2)
     assert got == brute_force(hot + cold, 3, 2)
 
 
-@pytest.mark.parametrize("size", [1, 8, 10_000])
-def test_a_missing_key_is_a_key_of_its_own(spark, size):
+def test_rounds_grow_with_the_digits_of_the_windows(spark):
+    """Ten times the windows add a few jobs, not ten times as many."""
+
+    def jobs(n):
+        spark.sparkContext.setJobGroup(f"rounds-{n}", "count")
+        run(spark, at(*range(n)), limit=1, window_seconds=1)
+        found = spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds-{n}")
+        spark.sparkContext.setJobGroup("other", "")
+        return len(found)
+
+    few, many = jobs(30), jobs(300)
+    assert many <= 2 * few
+
+
+def test_successor_is_the_first_time_one_window_later(spark):
+    times = [0, 1, 5, 9, 10, 11, 30]
+    df = spark.createDataFrame([("k", t) for t in times] + [("j", 12)], "who STRING, _t BIGINT")
+    got = {(r["who"], r["_t"]): r["_next"] for r in successors(df, "who", 10).collect()}
+    assert got == {("k", t): min(x for x in times if x >= t + 10) for t in times if t + 10 <= 30}
+
+
+def test_a_missing_key_is_a_key_of_its_own(spark):
     events = at(0, 1, 30, 61, 125, who=None) + [(10 + i, w, t) for i, w, t in at(0, 1, 2)]
-    assert run(spark, events, limit=1, group_rows=size, window_seconds=10) == brute_force(events, 1, 10)
+    assert run(spark, events, limit=1, window_seconds=10) == brute_force(events, 1, 10)
+
+
+def test_carried_windows_go_on_and_end(spark):
+    first, second = at(0, 3, 4), [(10 + i, w, t) for i, w, t in at(5, 9, 10, 11)]
+    df = [spark.createDataFrame(e, SCHEMA) for e in (first, second)]
+    carried = open_windows(df[0], "who", "ts", limit=4, window_seconds=10)
+    assert [tuple(r)[2] for r in carried.collect()] == [3]
+    got = rate_limit(df[1], "who", "ts", "id", limit=4, window_seconds=10, carried=carried).collect()
+    want = brute_force(first + second, 4, 10)
+    assert {r["id"]: (r["allowed"], r["remaining"]) for r in got} == {i: want[i] for i, _, _ in second}
+    late = spark.createDataFrame([(99, "z", START + timedelta(hours=1))], SCHEMA)
+    assert [r["who"] for r in open_windows(late, "who", "ts", window_seconds=10, carried=carried).collect()] == ["z"]
 
 
 def test_empty_input(spark):
@@ -97,20 +124,6 @@ def test_stream_agrees_with_batch(spark, tmp_path, files):
     for n, part in sorted(per_file.items()):
         spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    query = (
-        rate_limit_stream(stream, "who", "ts", "id", limit=2, window_seconds=60)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", str(tmp_path / "checkpoint"))
-        .option("path", str(tmp_path / "out"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    rate_limit_stream(stream, "who", "ts", "id", root=str(tmp_path), limit=2, window_seconds=60).awaitTermination()
     got = {r["id"]: (r["allowed"], r["remaining"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == brute_force(events, 2, 60)
-
-
-def test_executors_need_no_installed_package(tmp_path):
-    code = "import pickle, sys; f = pickle.loads(sys.stdin.buffer.read()); import numpy as np; print(f(np.array([0, 5, 9]), np.array([5, 10, 14]), None))"
-    done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(chain), cwd=tmp_path, capture_output=True, check=True)
-    assert done.stdout.split() == [b"[0,", b"1]"]

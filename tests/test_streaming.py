@@ -35,12 +35,10 @@ def rows_of(pages):
 
 @pytest.fixture()
 def house(spark, tmp_path):
-    name = "stream_" + tmp_path.name.replace("-", "_")
-    house = Warehouse(spark, str(tmp_path / "house"), name, buckets=2)
+    house = Warehouse(spark, str(tmp_path / "house"), buckets=2)
     start = spark.createDataFrame([(1, "p1", 1.0, None), (9, "p9", 9.0, None)], "id BIGINT, name STRING, price DOUBLE, u STRING")
-    house.replace(start.select("id", "name", "price", F.col("u").cast("timestamp_ntz").alias("updated_at")), "products", "v0", "id")
-    yield house
-    spark.sql(f"DROP DATABASE {name} CASCADE")
+    house.replace(start.select("id", "name", "price", F.col("u").cast("timestamp_ntz").alias("updated_at")), "products", "id")
+    return house
 
 
 def run(spark, house, tmp_path, **options):
@@ -55,9 +53,9 @@ def run(spark, house, tmp_path, **options):
 def test_pages_are_merged_file_by_file_and_only_once(spark, house, tmp_path):
     land(spark, str(tmp_path / "pages"), [product(1, 2.0, 3), product(1, 1.5, 2), product(2, 5.0, 2)])
     assert run(spark, house, tmp_path) == {1: 2.0, 2: 5.0, 9: 9.0}
-    version = house.current("products")
+    version = house.versions("products")
     assert run(spark, house, tmp_path) == {1: 2.0, 2: 5.0, 9: 9.0}
-    assert house.current("products") == version
+    assert house.versions("products") == version
     land(spark, str(tmp_path / "pages"), [product(2, 6.0, 4), product(3, 7.0, 4)])
     assert run(spark, house, tmp_path) == {1: 2.0, 2: 6.0, 3: 7.0, 9: 9.0}
 
@@ -84,12 +82,12 @@ def test_stream_gives_what_one_batch_gives(spark, house, tmp_path):
 def test_a_replayed_micro_batch_is_skipped(spark, house, tmp_path):
     land(spark, str(tmp_path / "pages"), [product(1, 2.0, 3)])
     run(spark, house, tmp_path)
-    version = house.current("products")
+    version = house.versions("products")
     # As if the job had died after publishing but before the commit was written.
     for name in ("0", ".0.crc"):
         (tmp_path / "checkpoint" / "commits" / name).unlink()
     assert run(spark, house, tmp_path)[1] == 2.0
-    assert house.current("products") == version
+    assert house.versions("products") == version
 
 
 def test_dedup_takes_the_last_place_within_a_batch(spark):

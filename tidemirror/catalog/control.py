@@ -144,12 +144,13 @@ def fact_deal_products(spark, sf):
     return fact.withColumns({c: F.col(c).cast("double") for c in amounts})
 
 
-@query("""
-    SELECT * FROM (VALUES ('snapshot', 'SUCCESS', 0), ('broken', 'ERROR', 1), ('fact', 'SUCCESS', 0))
-        AS s(entity_name, execution_status, has_error)
+@query(f"""
+    SELECT 'snapshot' AS entity_name, 'SUCCESS' AS execution_status, 0 AS has_error, (SELECT count(*) FROM orders) AS rows_written
+    UNION ALL SELECT 'broken', 'ERROR', 1, 0
+    UNION ALL SELECT 'fact', 'SUCCESS', 0, (SELECT count(*) FROM ({_FACT}) JOIN orders ON o_orderkey = deal_id)
 """)
 def post_step_audit(spark, sf):
-    """Steps over the tables; a failing one is told and does not stop the next."""
+    """Steps over the tables and the rows each wrote; a failing one is told and does not stop the next."""
     root = f"{shared_dir(spark)}/steps-{uuid4().hex}"
     steps = [
         ("snapshot", lambda: B.write_snapshot(table(spark, sf, "orders"), "1999-07-01", f"{root}/snapshot")),
@@ -157,4 +158,7 @@ def post_step_audit(spark, sf):
         ("fact", lambda: fact_deal_products(spark, sf).write.parquet(f"{root}/fact")),
     ]
     done = B.run_steps(spark, steps)
-    return done.select("entity_name", "execution_status", F.col("error_message").isNotNull().cast("int").alias("has_error"))
+    written = [spark.read.parquet(f"{root}/{name}").agg(F.lit(name).alias("entity_name"), F.count("*").alias("rows_written")) for name in ("snapshot", "fact")]
+    told = done.join(written[0].unionByName(written[1]), "entity_name", "left")
+    has_error = F.col("error_message").isNotNull().cast("int").alias("has_error")
+    return told.select("entity_name", "execution_status", has_error, F.coalesce("rows_written", F.lit(0)).alias("rows_written"))

@@ -76,6 +76,22 @@ def rate_limit_batch(spark, sf):
     return rate_limit(events, "user_id", "ts", "event_id", limit=LIMIT, window_seconds=WINDOW_SECONDS)
 
 
+@query("""
+    WITH RECURSIVE w AS (
+        SELECT min(ts) AS opened FROM events
+        UNION ALL
+        SELECT * FROM (SELECT (SELECT min(ts) FROM events WHERE ts >= w.opened + INTERVAL 60 SECOND) AS opened FROM w)
+        WHERE opened IS NOT NULL),
+    placed AS (SELECT event_id, ts, opened FROM events e ASOF JOIN w ON e.ts >= w.opened)
+    SELECT event_id, n <= 1 AS allowed, 0 AS remaining
+    FROM (SELECT *, row_number() OVER (PARTITION BY opened ORDER BY ts, event_id) AS n FROM placed)
+""")
+def rate_limit_hot_key(spark, sf):
+    """Every event under one key, one a minute."""
+    events = table(spark, sf, "events").select("event_id", "ts", F.lit("all").alias("client"))
+    return rate_limit(events, "client", "ts", "event_id", limit=1, window_seconds=60).drop("ts", "client")
+
+
 @query("""
     SELECT event_id, CASE WHEN event_type = 'error' THEN 'unknown' ELSE '10.0.0.' || user_id END AS client FROM events
 """)

@@ -1,25 +1,28 @@
-"""Every entity from landed pages through its spec to an upserted table.
+"""Every entity from landed pages through a real load to its published table, read back.
 
 Each entity borrows a table of growing size. ``fields`` are the JSON fields of a
-record as SQL over that table, ``expect`` the typed columns the spec must give.
-``$v`` is 1 in the copy loaded first and 2 in the changed copy.
+record as SQL over that table, ``expect`` the typed columns the spec must give; columns
+named in neither get a value made from their name and the key. ``$v`` is 1 in the copy
+loaded first and 2 in the changed copy.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
+from datetime import datetime
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import functions as F
 
 from tidemirror.catalog.registry import CHANGED_SINCE, FIRST_TS, LOADED_UNTIL, RUN_TS, land, query, table
-from tidemirror.functions import quality as Q
-from tidemirror.operators.align import align
-from tidemirror.operators.children import replace_children, replace_relations
-from tidemirror.operators.upsert import ACTION, upsert
+from tidemirror.operators import control as C
 from tidemirror.plans.entities import REGISTRY
-from tidemirror.plans.project import envelope_type, project, project_children, unwrap
+from tidemirror.plans.load import AUDIT_TABLE, Job, ensure_tables, load_entity, run
+from tidemirror.session import shared_dir
 from tidemirror.sources import pages as P
+from tidemirror.warehouse import Warehouse
 
 
 @dataclass(frozen=True)
@@ -86,7 +89,8 @@ SOURCES: dict[str, Source] = {
             "deal_stage_id": "o_orderkey",
             "is_deleted": "if(o_orderstatus = 'F', true, null)",
             "contacts": "if(o_orderstatus = 'O', array(), array(named_struct('id', o_custkey)))",
-            "products": "array(named_struct('id', o_orderkey, 'product_id', o_custkey, 'total', o_totalprice))",
+            "products": "array(named_struct('id', o_orderkey, 'product_id', o_custkey, 'total', o_totalprice, "
+            "'name', o_orderpriority, 'quantity', 2, 'unit_price', '1.5', 'discount', 0.25, 'description', 'line $v'))",
         },
         custom={
             "cf_icp_confirmado": "case o_orderstatus when 'F' then 'SÍ' when 'O' then 'no' end",
@@ -103,12 +107,14 @@ SOURCES: dict[str, Source] = {
             "stage_updated_time": _DAY_TS,
             "probability": "50",
             "updated_at": "CAST(o_orderdate AS TIMESTAMP) + INTERVAL 86398 SECOND",
+            "deal_pipeline_id": "o_custkey",
+            "deal_stage_id": "o_orderkey",
             "pipeline_name": "(SELECT c_name FROM customer WHERE c_custkey = o_custkey)",
             "is_deleted": "o_orderstatus = 'F'",
             "has_products": "false",
             "contact_id": "CASE WHEN o_orderstatus <> 'O' THEN o_custkey END",
             "cf_icp_confirmado": "CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END",
-            "cf_acv": "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE)",
+            "cf_acv": "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)",
             "cf_nro_de_meses": "12",
             "cf_fecha_fin_contrato": "strftime(o_orderdate, '%Y-%m-%d')",
             "cf_pais": "o_orderpriority",
@@ -161,6 +167,7 @@ SOURCES: dict[str, Source] = {
             "annual_revenue": "s_acctbal",
             "number_of_employees": "s_nationkey",
             "created_at": "'2024-03-05'",
+            "updated_at": "NULL",
             "is_deleted": "false",
             "cf_segmento": "'A'",
         },
@@ -201,7 +208,7 @@ SOURCES: dict[str, Source] = {
         key="event_id",
         **_BY_VALUE,
         fields={**_EVENT_FIELDS, "location": "event_type", "from_date": _DAY, "end_date": "''", "time_zone": "'UTC'"},
-        expect={**_EVENT_EXPECT, "location": "event_type", "from_date": _DAY_TS, "time_zone": "'UTC'"},
+        expect={**_EVENT_EXPECT, "location": "event_type", "from_date": _DAY_TS, "end_date": "NULL", "time_zone": "'UTC'"},
     ),
     "sales_activities": Source(
         table="events",
@@ -252,7 +259,7 @@ SOURCES: dict[str, Source] = {
         fields={
             "id": "p_partkey",
             "name": "concat(p_name, ' ', '$v')",
-            "user_ids": "if(p_size >= 40, array(), array(p_partkey, p_size, p_size))",
+            "user_ids": "if(p_size >= 40 AND $v = 2, array(), array(p_partkey, p_size, p_size))",
         },
         expect={"id": "p_partkey", "name": "p_name || ' ' || v"},
     ),
@@ -309,54 +316,116 @@ SOURCES: dict[str, Source] = {
 }
 
 
-def _record(source: Source, version: int):
-    def text(sql: str) -> str:
-        return sql.replace("$v", str(version))
+FIRST, AGAIN = (datetime.fromisoformat(t) for t in (FIRST_TS, RUN_TS))
+# Before any change of the borrowed tables.
+LONG_AGO = datetime(1970, 1, 2)
+
+
+def _filled(name: str) -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """Record fields, custom fields and expected columns, with a value for every column of the spec."""
+    spec, source = REGISTRY[name], SOURCES[name]
+    fields, custom, expect = dict(source.fields), dict(source.custom), dict(source.expect)
+    # Read from the text, since the SQL is wanted before there is a session.
+    for i, (column, kind, length) in enumerate(re.findall(r"(\w+) ([A-Z_]+)(?:\((\d+)[\d,]*\))?(?: NOT NULL)?(?:,|\s*$)", spec.ddl)):
+        if column in expect:
+            continue
+        if column in spec.defaults:
+            expect[column] = str(spec.defaults[column]).lower()
+            continue
+        if column in spec.lookups or column in spec.always_null or column in spec.first_of:
+            expect[column] = "NULL"
+            continue
+        if kind in ("STRING", "VARCHAR"):
+            most = length or 1000
+            value, want = f"left(concat('{column} ', {source.key}), {most})", f"left('{column} ' || {source.key}, {most})"
+        elif kind == "TIMESTAMP_NTZ":
+            value, want = "'Tue, 05 Mar 2024 10:11:12 GMT'", _DAY_TS
+        elif kind == "DATE":
+            value, want = "'25/12/2023'", "'2023-12-25'"
+        elif kind == "BOOLEAN":
+            value, want = "'yes'", "true"
+        else:
+            value, want = f"cast({source.key} + {i} as string)", f"{source.key} + {i}"
+        (custom if column.startswith("cf_") else fields)[spec.sources.get(column, column)] = value
+        expect[column] = want
+    return fields, custom, expect
 
-    parts = [F.expr(text(sql)).alias(name) for name, sql in source.fields.items()]
-    if source.custom:
-        parts.append(F.struct(*[F.expr(sql).alias(n) for n, sql in source.custom.items()]).alias("custom_field"))
+
+def _record(name: str, version: int):
+    fields, custom, _ = _filled(name)
+
+    def made(sql: str, alias: str):
+        return F.expr(sql.replace("$v", str(version))).alias(alias)
+
+    parts = [made(sql, alias) for alias, sql in fields.items()]
+    if custom:
+        parts.append(F.struct(*[made(sql, alias) for alias, sql in custom.items()]).alias("custom_field"))
     return F.struct(*parts)
 
 
-def records(spark, sf, name: str, rows: str, version: int):
-    """Records of an entity, landed as pages and read back by its scan rule."""
+def landing(spark, sf, name: str, rows: str, version: int):
+    """An entity's records, landed as pages for its scan rule.
+
+    Nested records come twice in one parent, a stale copy first; an option list is followed
+    by a second one of the same name, which does not count.
+    """
     spec, source = REGISTRY[name], SOURCES[name]
-    record = _record(source, version)
+    record, wrap = _record(name, version), None
     if spec.nested_in:
-        record = F.struct(F.array(record).alias(spec.nested_in[1]))
+        stale = record.withField("name", F.lit("stale"))
+        record = F.struct(F.array(stale, record).alias(spec.nested_in[1]))
     if spec.option_of:
-        record = F.struct(F.lit(spec.option_of).alias("name"), F.array(record).alias("choices"))
-    # One-page lists are landed in pages too, since these tables grow.
-    scan = P.FIRST_PAGE if spec.scan == P.SINGLE else spec.scan
-    view = 1 if spec.needs_view else None
+
+        def wrap(choices):
+            field = lambda c: F.struct(F.lit(spec.option_of).alias("name"), c.alias("choices"))
+            return F.array(field(choices), field(F.transform(choices, lambda c: c.withField("value", F.lit("other")))))
+
     served = table(spark, sf, source.table).filter(rows)
-    pages = land(served, spec.landed_as, spec.page_key, source.key, record, view, scan == P.UNTIL_EMPTY)
-    return unwrap(P.read_pages(pages, spec.page_key, envelope_type(spec), scan), spec)
+    view = 1 if spec.needs_view else None
+    return land(
+        served, spec.landed_as, spec.page_key, source.key, record, view, spec.scan == P.UNTIL_EMPTY, spec.scan == P.SINGLE, wrap
+    )
 
 
-def rows_of(spark, sf, name: str, rows: str, version: int):
-    dimensions = {}
+def house_for(spark, name: str) -> Warehouse:
+    mark = uuid4().hex
+    return Warehouse(spark, f"{shared_dir(spark)}/load-{name}-{mark}", f"load_{name}", buckets=8)
+
+
+def loaded(spark, sf, name: str) -> Warehouse:
+    """The known rows in a full load, then the changed ones in an incremental load, as a run does it."""
+    spec, source, house = REGISTRY[name], SOURCES[name], house_for(spark, name)
+    ensure_tables(house, [spec])
     if name == "deals":
         people = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
-        dimensions = {"pipelines": people}
-    good, _ = Q.split(project(records(spark, sf, name, rows, version), REGISTRY[name], dimensions))
-    return good
+        house.replace(people, "pipelines", "id")
+    views = {name: [1]} if spec.needs_view else {}
+    for rows, version, at, mode in ((source.known, 1, FIRST, C.FULL), (source.changed, 2, AGAIN, C.INCREMENTAL)):
+        done = load_entity(Job(house, landing(spark, sf, name, rows, version), at, views), spec, mode, LONG_AGO)
+        if done.error not in (None, "incomplete pages"):
+            raise RuntimeError(f"{name}: {done.error}")
+    return house
+
+
+def action():
+    """What the last load did to a row, by its bookkeeping times."""
+    now = F.lit(RUN_TS).cast("timestamp_ntz")
+    return F.when(F.col("etl_created_at") == now, "INSERT").when(F.col("etl_updated_at") == now, "UPDATE").otherwise("KEEP").alias("_action")
+
+
+def shown(df):
+    """Dates and decimals as their texts, so that no digit is lost in a comparison."""
+    return [F.col(c).cast("string" if t == "date" or t.startswith("decimal") else t).alias(c) for c, t in df.dtypes]
 
 
 def load(spark, sf, name: str):
-    spec, source = REGISTRY[name], SOURCES[name]
-    first = F.lit(FIRST_TS).cast("timestamp_ntz")
-    known = align(rows_of(spark, sf, name, source.known, 1), spec.table_schema)
-    known = known.withColumn("etl_created_at", first).withColumn("etl_updated_at", first)
-    merged = upsert(known, rows_of(spark, sf, name, source.changed, 2), spec.key, run_ts=RUN_TS)
-    plain = {"date": "string", "decimal(18,2)": "double"}
-    shown = [F.col(c).cast(plain.get(t, t)).alias(c) for c, t in merged.dtypes if c in source.expect]
-    return merged.select(*shown, "etl_created_at", "etl_updated_at", ACTION)
+    rows = loaded(spark, sf, name).read(name)
+    return rows.select(*shown(rows), action())
 
 
-def load_sql(source: Source) -> str:
-    columns = ", ".join(f"{sql} AS {name}" for name, sql in source.expect.items())
+def load_sql(name: str) -> str:
+    source, (_, _, expect) = SOURCES[name], _filled(name)
+    columns = ", ".join(f"{sql} AS {column}" for column, sql in expect.items())
     return f"""
         SELECT {columns},
                CASE WHEN _known THEN TIMESTAMP '{FIRST_TS}' ELSE TIMESTAMP '{RUN_TS}' END AS etl_created_at,
@@ -368,19 +437,18 @@ def load_sql(source: Source) -> str:
     """
 
 
-for _name, _source in SOURCES.items():
-    query(load_sql(_source), f"load_{_name}")(partial(load, name=_name))
+for _name in SOURCES:
+    query(load_sql(_name), f"load_{_name}")(partial(load, name=_name))
 
 
 @query(f"""
-    SELECT o_orderkey AS source_line_id, o_orderkey AS deal_id, o_custkey AS product_id, o_totalprice AS total_price
+    SELECT o_orderkey AS source_line_id, o_orderkey AS deal_id, o_custkey AS product_id, o_orderpriority AS product_name,
+           2.0::DOUBLE AS quantity, 1.5::DOUBLE AS unit_price, o_totalprice AS total_price, 0.25::DOUBLE AS discount,
+           'line ' || CASE WHEN {_BY_DATE["changed"]} THEN '2' ELSE '1' END AS description
     FROM orders WHERE {_BY_DATE["known"]} OR {_BY_DATE["changed"]}
 """)
 def load_deal_products(spark, sf):
-    source, child = SOURCES["deals"], REGISTRY["deals"].children[0]
-    old = project_children(records(spark, sf, "deals", source.known, 1), REGISTRY["deals"], child)
-    new = project_children(records(spark, sf, "deals", source.changed, 2), REGISTRY["deals"], child)
-    return replace_children(old, new, "deal_id").select("source_line_id", "deal_id", "product_id", "total_price")
+    return loaded(spark, sf, "deals").read("deal_products").drop("id", "etl_created_at", "etl_updated_at")
 
 
 @query("""
@@ -389,13 +457,55 @@ def load_deal_products(spark, sf):
 """)
 def load_team_users(spark, sf):
     """Teams of the changed copy whose list is empty lose the members they had."""
-    source, spec = SOURCES["teams"], REGISTRY["teams"]
-    changed = records(spark, sf, "teams", source.changed, 2)
-    old = project_children(records(spark, sf, "teams", source.known, 1), spec, spec.children[0]).distinct()
-    old = old.unionByName(parents_of(changed).select("team_id", F.col("team_id").alias("user_id"))).distinct()
-    new = project_children(changed, spec, spec.children[0])
-    return replace_relations(old, new, parents_of(changed), "team_id")
+    return loaded(spark, sf, "teams").read("team_users").select("team_id", "user_id")
+
+
+_PARTS = "SELECT p_partkey AS id, p_name || ' {v}' AS name FROM part"
 
 
-def parents_of(changed):
-    return changed.select(F.col("rec.id").cast("bigint").alias("team_id"))
+def parts_job(spark, sf, house, rows: str, version: int, at: datetime, **options) -> Job:
+    return Job(house, landing(spark, sf, "products", rows, version), at, **options)
+
+
+@query(f"""
+    SELECT p.*, 1 AS audited, 1 AS inserting_runs FROM ({_PARTS.format(v=1)}) p
+""")
+def load_run_twice(spark, sf):
+    """The same run started twice, as a scheduler does after a timeout; the table is that of one run."""
+    house = house_for(spark, "twice")
+    job = parts_job(spark, sf, house, "p_size > 0", 1, FIRST)
+    for _ in range(2):
+        run(job, "products")
+    audit = house.read(AUDIT_TABLE).filter("entity_name = 'products'")
+    told = audit.agg(F.count("*").cast("int").alias("audited"), F.count_if(F.col("records_inserted") > 0).cast("int").alias("inserting_runs"))
+    # One row.
+    return house.read("products").select("id", "name").crossJoin(F.broadcast(told))
+
+
+@query("""
+    SELECT p_partkey AS id, p_name || CASE WHEN p_size >= 45 THEN ' 2' ELSE ' 1' END AS name,
+           CASE WHEN p_size >= 45 THEN 'UPDATE' ELSE 'KEEP' END AS _action, 'skipped_no_sweep' AS reconcile, 0 AS deleted
+    FROM part
+""")
+def load_incremental_landing(spark, sf):
+    """Only changed rows are landed and no sweep is given, so nothing may be deleted."""
+    house, spec = house_for(spark, "landing"), REGISTRY["products"]
+    ensure_tables(house, [spec])
+    load_entity(parts_job(spark, sf, house, "p_size > 0", 1, FIRST), spec)
+    done = load_entity(parts_job(spark, sf, house, "p_size >= 45", 2, AGAIN), spec, C.INCREMENTAL, LONG_AGO)
+    return house.read("products").select("id", "name", action(), F.lit(done.reconcile).alias("reconcile"), F.lit(done.deleted).alias("deleted"))
+
+
+@query("""
+    SELECT p_partkey AS id, p_name || ' 2' AS name, 'applied' AS reconcile,
+           (SELECT count(*) FROM part WHERE p_size >= 45) AS deleted, (SELECT count(*) FROM part WHERE p_size < 45) AS active
+    FROM part WHERE p_size < 45
+""")
+def load_full_reconcile(spark, sf):
+    """A full load deletes what it no longer finds, against the ids it just read."""
+    house, spec = house_for(spark, "full"), REGISTRY["products"]
+    ensure_tables(house, [spec])
+    load_entity(parts_job(spark, sf, house, "p_size > 0", 1, FIRST), spec)
+    done = load_entity(parts_job(spark, sf, house, "p_size < 45", 2, AGAIN, force_full=True), spec)
+    told = {"reconcile": done.reconcile, "deleted": done.deleted, "active": done.active}
+    return house.read("products").select("id", "name", *[F.lit(v).alias(k) for k, v in told.items()])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from tidemirror.catalog.registry import CHANGED_SINCE, FIRST_TS, LOADED_UNTIL, RUN_TS, query, table
@@ -9,6 +11,8 @@ from tidemirror.operators import reconcile as R
 from tidemirror.operators.children import cascade, replace_children, replace_relations
 from tidemirror.operators.lookup import lookup
 from tidemirror.operators.upsert import ACTION, action_counts, surrogate_keys, upsert
+from tidemirror.session import shared_dir
+from tidemirror.warehouse import BUCKET, Warehouse
 
 _TARGET = f"SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{LOADED_UNTIL}'"
 
@@ -58,11 +62,53 @@ def upsert_merge(spark, sf):
     return upsert(target(spark, sf), batch(spark, sf), "o_orderkey")
 
 
+def published(spark, rows, name: str, key: str, buckets: int = 16) -> Warehouse:
+    """Rows as a published table of a warehouse of its own."""
+    house = Warehouse(spark, f"{shared_dir(spark)}/merge-{uuid4().hex}", "merging", buckets=buckets)
+    house.replace(rows, name, key)
+    return house
+
+
+def stamped(rows, at: str = FIRST_TS):
+    first = F.lit(at).cast("timestamp_ntz")
+    return rows.withColumn("etl_created_at", first).withColumn("etl_updated_at", first)
+
+
+def merge_stamped(part, changed):
+    return upsert(part, changed, [BUCKET, "o_orderkey"], run_ts=RUN_TS)
+
+
 @query(_MERGED)
 def upsert_merge_small_batch(spark, sf):
-    """The same merge with the batch's keys broadcast, after counting them."""
-    changed = batch(spark, sf)
-    return upsert(target(spark, sf), changed, "o_orderkey", batch_rows=changed.count())
+    """The same merge into a published table, of which only the touched buckets are rewritten."""
+    house = published(spark, stamped(target(spark, sf)), "orders", "o_orderkey")
+    house.change("orders", batch(spark, sf), merge_stamped).commit()
+    now = F.lit(RUN_TS).cast("timestamp_ntz")
+    action = F.when(F.col("etl_created_at") == now, "INSERT").when(F.col("etl_updated_at") == now, "UPDATE").otherwise("KEEP")
+    return house.read("orders").withColumn(ACTION, action).drop("etl_created_at", "etl_updated_at")
+
+
+_FEW = "o_orderkey % 1000 = 7"
+
+
+@query(f"""
+    SELECT o_orderkey, CASE WHEN {_FEW} THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+           true AS rewritten_if_touched
+    FROM orders
+""")
+def merge_touched_buckets(spark, sf):
+    """A few changed orders: exactly the buckets their keys fall into get a new folder."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    few = orders.filter(_FEW).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    house = published(spark, orders, "orders", "o_orderkey", buckets=64)
+    before = house.manifest("orders")
+    house.change("orders", few, lambda part, changed: upsert(part, changed, [BUCKET, "o_orderkey"])).commit()
+    after = house.manifest("orders")
+    rewritten = {b for b in after.folders if after.folders[b] != before.folders.get(b)}
+    buckets = house.placed(after, few).select(BUCKET).distinct().withColumn("touched", F.lit(True))
+    rows = house.placed(after, house.read("orders")).join(F.broadcast(buckets), BUCKET, "left")
+    same = F.coalesce("touched", F.lit(False)) == F.col(BUCKET).isin(*rewritten)
+    return rows.select("o_orderkey", "o_totalprice", same.alias("rewritten_if_touched"))
 
 
 @query(

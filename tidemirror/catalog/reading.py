@@ -86,28 +86,28 @@ def page_completeness(spark, sf):
 
 
 @query("""
-    WITH p AS (SELECT CASE o_orderstatus WHEN 'O' THEN 1 ELSE 2 END AS view_id, o_orderkey // 100 + 1 AS page
-               FROM orders WHERE o_orderstatus IN ('O', 'P')),
+    WITH p AS (SELECT o_orderkey % 3 AS view_id, o_orderkey // 100 + 1 AS page FROM orders),
          v AS (SELECT view_id, max(page) AS total, count(DISTINCT page) AS seen FROM p GROUP BY view_id)
     SELECT 'deals' AS entity, o_orderkey AS id FROM orders
-    WHERE o_orderstatus IN ('O', 'P') AND o_orderkey <> 0 AND (SELECT bool_and(total = seen) AND count(*) = 2 FROM v)
+    WHERE o_orderkey <> 0 AND (SELECT bool_and(total = seen) AND count(*) = 3 FROM v)
 """)
 def active_id_sweep(spark, sf):
-    """Open and pending orders are served by one view each; finished ones by none."""
-    open_deals = table(spark, sf, "orders").filter("o_orderstatus in ('O', 'P')")
-    view = F.when(F.col("o_orderstatus") == "O", 1).otherwise(2)
-    pages = land(open_deals, "deals", "deals", "o_orderkey", F.struct(F.col("o_orderkey").alias("id")), view)
-    return P.active_ids(pages, "deals", P.FIRST_PAGE, [1, 2], needs_view=True)
+    """All orders, in three views."""
+    record = F.struct(F.col("o_orderkey").alias("id"))
+    pages = land(table(spark, sf, "orders"), "deals", "deals", "o_orderkey", record, F.col("o_orderkey") % 3)
+    return P.active_ids(pages, "deals", P.FIRST_PAGE, [0, 1, 2], needs_view=True)
 
 
 @query(f"""
     WITH {_NATION_PAGES}
     SELECT 'contacts' AS entity, c_custkey AS id FROM customer
     WHERE c_custkey <> 0 AND (SELECT bool_and(is_complete) FROM c)
+    UNION ALL SELECT 'whole_contacts', c_custkey FROM customer WHERE c_custkey <> 0
 """)
 def active_id_sweep_incomplete(spark, sf):
-    """All or nothing: one nation's missing page withholds every id."""
-    return P.active_ids(_nation_pages(spark, sf), "contacts", P.FIRST_PAGE)
+    """All or nothing for each entity: a missing page of one withholds all its ids, and none of the other's."""
+    whole = land(table(spark, sf, "customer"), "whole_contacts", "contacts", "c_custkey", contact_record(), 7)
+    return P.active_ids(_nation_pages(spark, sf).unionByName(whole), "contacts", P.FIRST_PAGE)
 
 
 @query(f"""

@@ -49,17 +49,22 @@ def land(
     record: Column,
     view: Column | int | None = None,
     empty_end: bool = False,
+    single: bool = False,
+    wrap: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Rows written as page files and read back, at most 100 records of a unique key range per page.
 
     A null record takes its place but is not served. ``empty_end`` adds the page
     without records that ends a scan whose pages do not say how many there are.
+    ``single`` makes every page the only one of a view of its own; ``wrap`` turns the
+    records of a page into what the page lists.
     """
     spark = rows.sparkSession
     several = isinstance(view, Column)
+    number = F.expr(f"cast({key} div {PAGE_SIZE} + 1 as int)")
     placed = rows.select(
-        (view if several else F.lit(view)).cast("bigint").alias("view_id"),
-        F.expr(f"cast({key} div {PAGE_SIZE} + 1 as int)").alias("page"),
+        (number if single else view if several else F.lit(view)).cast("bigint").alias("view_id"),
+        (F.lit(1) if single else number).alias("page"),
         F.struct(F.col(key).alias("_key"), record.alias("_rec")).alias("_one"),
     )
     paged = placed.groupBy("view_id", "page").agg(F.array_sort(F.collect_list("_one")).alias("_all"))
@@ -70,6 +75,7 @@ def land(
     else:
         paged = paged.withColumn("total_pages", placed.select(F.max("page")).scalar())
     records = F.filter(F.transform("_all", lambda one: one["_rec"]), lambda rec: rec.isNotNull())
+    records = wrap(records) if wrap else records
     body = F.to_json(F.struct(records.alias(record_key), F.struct("total_pages").alias("meta")))
     pages = paged.select(F.lit(entity).alias("entity"), "view_id", "page", body.alias("body"))
     if empty_end:

@@ -22,23 +22,11 @@ def _file_stream(spark, sf, name):
 @query(ORACLES["rate_limit_batch"])
 def rate_limit_stream(spark, sf):
     root = f"{shared_dir(spark)}/rate-limit-{uuid4().hex}"
-    out = limited(
-        _file_stream(spark, sf, "events"),
-        "user_id",
-        "ts",
-        "event_id",
-        limit=intake.LIMIT,
-        window_seconds=intake.WINDOW_SECONDS,
-    )
-    stream = (
-        out.writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .option("path", f"{root}/out")
-        .trigger(availableNow=True)
-        .start()
-    )
-    stream.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    events = _file_stream(spark, sf, "events").select("user_id", "ts", "event_id")
+    limited(
+        events, "user_id", "ts", "event_id", root=root, limit=intake.LIMIT, window_seconds=intake.WINDOW_SECONDS
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch")
 
 
 @query(f"""
@@ -49,7 +37,7 @@ def stream_upsert(spark, sf):
     """Changed orders as a file stream, merged into the published table."""
     mark = uuid4().hex
     house = Warehouse(spark, f"{shared_dir(spark)}/stream-upsert-{mark}", f"stream_{mark}")
-    house.replace(merging.target(spark, sf), "orders", "loaded", "o_orderkey")
+    house.replace(merging.target(spark, sf), "orders", "o_orderkey")
 
     def changed(rows):
         recent = rows.filter(F.col("o_orderdate") >= F.lit(CHANGED_SINCE).cast("timestamp_ntz"))

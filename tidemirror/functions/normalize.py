@@ -18,14 +18,26 @@ TRUE_TEXTS = ("true", "1", "si", "sí", "yes")
 MIN_TIMESTAMP = "1753-01-01 00:00:00"
 MAX_TIMESTAMP = "9999-12-31 00:00:00"
 
-# Accepted besides ISO 8601. Month comes first in the slash form.
-OTHER_FORMATS = (
-    "MM/dd/yyyy",
-    "MM/dd/yyyy HH:mm:ss",
-    "yyyyMMdd",
-    "MMM d yyyy",
-    "yyyy-MM-dd hh:mm a",
+# Accepted besides ISO 8601: what a text looks like, and how its date is read. Month comes
+# first in the slash form, unless it would exceed 12.
+OTHER_DATES = (
+    ("^(?:1[3-9]|2[0-9]|3[01])/", "d/M/yyyy"),
+    ("^[0-9]{1,2}/", "M/d/yyyy"),
+    ("^[0-9]{4}/", "yyyy/M/d"),
+    ("^[0-9]{4}-", "yyyy-M-d"),
+    ("^[0-9]{8}T", "yyyyMMdd''T''HHmmss"),
+    ("^[0-9]{8}", "yyyyMMdd"),
+    ("^[A-Za-z]{3} ", "MMM d[,] yyyy"),
+    ("^[A-Za-z]+ ", "MMMM d[,] yyyy"),
+    ("^[0-9]{1,2} [A-Za-z]{3} ", "d MMM yyyy"),
+    ("^[0-9]{1,2} [A-Za-z]+ ", "d MMMM yyyy"),
 )
+# Their time of day, with and without a half of the day; brackets mark what may be missing.
+_HALF_DAY, _DAY = " h:mm[:ss] a", "[ H:mm[:ss]]"
+
+# Dropped before those: a day of the week in front, and after a time its sub-seconds and zone.
+_WEEKDAY = "^ *(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,? +"
+_ZONE = "(:[0-9]{2})(?:[.,][0-9]+)? *(?:Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2})? *$"
 
 # A full date, then a time; sub-seconds and the offset fall outside the group, so
 # they are dropped without a conversion. A bare cast would complete "2024" or "2024-03".
@@ -104,8 +116,15 @@ def typed(raw: str, sql_type: str) -> Column:
 
 def _ts(raw: str) -> str:
     iso = f"try_cast(regexp_extract({raw}, '{_ISO}', 1) AS TIMESTAMP_NTZ)"
-    other = [f"CAST(try_to_timestamp(trim({raw}), '{form}') AS TIMESTAMP_NTZ)" for form in OTHER_FORMATS]
-    found = f"coalesce({', '.join([iso, *other])})"
+    plain = f"trim(regexp_replace(regexp_replace(r, '{_WEEKDAY}', ''), '{_ZONE}', '$1'))"
+    date = " ".join(f"WHEN p RLIKE '{shape}' THEN '{form}'" for shape, form in OTHER_DATES)
+    # One reading per text: its shape decides the format.
+    form = f"concat(CASE {date} END, if(p RLIKE '[AaPp][Mm]$', '{_HALF_DAY}', '{_DAY}'))"
+    # As functions of a list's items, the rare spellings stay out of the generated code,
+    # which a row of many times would otherwise make too long to compile.
+    read = f"CAST(try_to_timestamp(p, {form}) AS TIMESTAMP_NTZ)"
+    other = f"get(transform(transform(array({raw}), r -> {plain}), p -> {read}), 0)"
+    found = f"coalesce({iso}, {other})"
     low, high = f"TIMESTAMP_NTZ '{MIN_TIMESTAMP}'", f"TIMESTAMP_NTZ '{MAX_TIMESTAMP}'"
     return f"CASE WHEN {found} BETWEEN {low} AND {high} THEN {found} END"
 

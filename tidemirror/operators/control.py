@@ -13,12 +13,16 @@ ERROR = "ERROR"
 # Columns of the audit table.
 AUDIT_SCHEMA = """
     entity_name STRING, last_execution_date TIMESTAMP_NTZ, execution_status STRING,
-    records_extracted INT, records_inserted INT, records_updated INT, records_failed INT,
-    error_message STRING, execution_duration_seconds INT
+    records_extracted BIGINT, records_inserted BIGINT, records_updated BIGINT, records_failed BIGINT,
+    error_message STRING, execution_duration_seconds BIGINT
 """
 
 # Run totals also need the delete counts, which the audit table does not keep.
-OUTCOME_SCHEMA = AUDIT_SCHEMA + ", records_deleted INT, records_cascade_deleted INT, kind STRING"
+# Sweep figures and the outcome of the reconcile tell why rows were deleted or not.
+OUTCOME_SCHEMA = AUDIT_SCHEMA + """,
+    records_deleted BIGINT, records_cascade_deleted BIGINT, kind STRING,
+    records_active BIGINT, pages_read BIGINT, reconcile STRING
+"""
 
 # Fixed value: the zone audit times are shown in.
 REPORT_ZONE = "America/Santiago"

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension up to this many rows is broadcast; a larger one is left to the optimizer.
-BROADCAST_ROWS = 1_000_000
-
 
 def lookup(
     rows: DataFrame,
@@ -17,16 +14,13 @@ def lookup(
     *,
     key: str = "id",
     value: str = "name",
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``column`` from the dimension; null when unmatched or without a dimension.
 
-    The dimension's size is checked before it is broadcast.
+    Whether the dimension is broadcast is left to the optimizer, which knows its bytes.
     """
     if dimension is None:
         return rows.withColumn(column, F.lit(None).cast("string"))
     pairs = dimension.select(F.col(key).alias("_dim_key"), F.col(value).alias(column))
-    if pairs.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        pairs = F.broadcast(pairs)
     found = rows.drop(column).join(pairs, F.col(foreign_key) == F.col("_dim_key"), "left")
     return found.drop("_dim_key")

@@ -3,70 +3,28 @@
 A key's first event opens a window; the first event at least one window length
 after that opens the next. In each window the first ``limit`` events are allowed.
 
-Whether an event opens a window depends on all earlier events of its key, yet no
-task ever sees a key as a whole. Time is cut into chunks of ``fanout`` window
-lengths. Inside one chunk every event time that could be the first opening is
-followed to the chunk's last opening, and only those entry points, found in the
-chunk's first window length, are passed up. The same step on the entry points
-covers ``fanout`` times the span, until one chunk covers everything; then the
-real openings are handed back down level by level.
-
-How many times one window length of a key holds is counted first, and the fanout is
-set so that no group exceeds ``group_rows``. Keys too busy even for that have their
-openings found window after window, each by one minimum over that window's times.
+Whether an event opens a window depends on all earlier events of its key, yet no task
+ever sees a key as a whole, and the work does not depend on how many windows there are:
+one sort over all keys gives every event time its successor, the first time that is at
+least one window length later. From each key's first time the successors are followed by
+doubling: a round joins the jumps with themselves, so that they reach twice as far, and
+adds where the openings known so far jump to. The rounds are as many as the binary digits
+of the longest chain.
 """
 
 from __future__ import annotations
 
-import sys
-from uuid import uuid4
-
-import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tidemirror.session import checkpointed, shared_dir
 
-# Executors get these functions themselves and need no installed package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from tidemirror.session import checkpointed
 
 MICROS = 1_000_000
+OPENED, USED = "_opened", "_used"
 
-# Most event times one grouped task takes in (three 8-byte numbers each), and the
-# widest step between levels.
-GROUP_ROWS = 2_000_000
-FANOUT = 64
-
-
-def follow(times: np.ndarray, exits: np.ndarray) -> np.ndarray:
-    """Index of each node's successor: the first node at or after its exit time."""
-    return np.searchsorted(times, exits, side="left")
 
-
-def last_exits(times: np.ndarray, exits: np.ndarray) -> np.ndarray:
-    """Exit time reached by following each node to the end of its chain."""
-    here = np.arange(len(times))
-    step = follow(times, exits)
-    jump = np.where(step < len(times), step, here)
-    while True:
-        further = jump[jump]
-        if np.array_equal(further, jump):
-            return exits[jump]
-        jump = further
-
-
-def chain(times: np.ndarray, exits: np.ndarray, enter: int | None) -> list[int]:
-    """Nodes on the chain that starts at the first node at or after ``enter``."""
-    step = follow(times, exits)
-    at = 0 if enter is None else int(np.searchsorted(times, enter, side="left"))
-    found = []
-    while at < len(times):
-        found.append(at)
-        at = int(step[at])
-    return found
+def micros(ts: str | Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts) if isinstance(ts, str) else ts)
 
 
 def rate_limit(
@@ -77,48 +35,23 @@ def rate_limit(
     *,
     limit: int = 10,
     window_seconds: int = 60,
-    group_rows: int = GROUP_ROWS,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """``events`` with ``allowed`` and ``remaining``.
 
-    ``ts`` is a TIMESTAMP_NTZ; ``tie`` is unique per event and orders equal times.
+    ``ts`` is a TIMESTAMP_NTZ; ``tie`` is unique per event and orders equal times. ``carried``
+    (see ``open_windows``) has the windows that earlier events left open.
     """
-    width = window_seconds * MICROS
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    timed = events.withColumn("_t", F.timestamp_diff("MICROSECOND", epoch, F.col(ts)))
-    slot = F.floor(F.col("_t") / F.lit(width)).cast("bigint")
-    starts = _openings(timed, key, slot, width, group_rows)
-    # Openings are at least one width apart: at most one per slot, so an event's
-    # window was opened in its own slot or in the one before.
-    by_slot = (
-        starts.select(
-            F.col(key),
-            F.inline(
-                F.array(
-                    F.struct(slot.alias("_slot"), F.col("_t").alias("_own"), F.lit(None).cast("bigint").alias("_prev")),
-                    F.struct((slot + 1).alias("_slot"), F.lit(None).cast("bigint").alias("_own"), F.col("_t").alias("_prev")),
-                )
-            ),
-        )
-        .groupBy(key, "_slot")
-        .agg(F.max("_own").alias("_own"), F.max("_prev").alias("_prev"))
-    )
-    opened = F.when(F.col("_own") <= F.col("_t"), F.col("_own")).otherwise(F.col("_prev"))
-    slots = by_slot.select(F.col(key).alias("_key"), F.col("_slot").alias("_in"), "_own", "_prev")
+    timed = _timed(events, key, ts, carried)
+    placed = _in_windows(timed, key, window_seconds * MICROS)
+    rank = F.row_number().over(Window.partitionBy(key, "_open").orderBy("_t", "_at", tie))
+    first = placed.select(key, "_open", "_t", "_at", tie, OPENED, USED).withColumn("_rank", rank).filter(F.col("_rank") <= limit)
+    before = F.when(F.col("_open") == F.col(OPENED), F.col(USED)).otherwise(0)
     # A missing key is a key like any other, hence the null-safe comparisons.
-    same_slot = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slot") == F.col("_in"))
-    placed = timed.withColumn("_slot", slot).join(slots, same_slot, "left").withColumn("_open", opened)
-
-    rank = F.row_number().over(Window.partitionBy(key, "_open").orderBy("_t", tie))
-    first = (
-        placed.select(key, "_open", "_t", tie)
-        .withColumn("_rank", rank)
-        .filter(F.col("_rank") <= limit)
-        .select(F.col(key).alias("_key"), F.col("_t").alias("_at"), F.col(tie).alias("_tie"), "_rank")
-    )
-    same_event = (
-        F.col(key).eqNullSafe(F.col("_key")) & (F.col("_t") == F.col("_at")) & (F.col(tie) == F.col("_tie"))
+    first = first.withColumn("_rank", (F.col("_rank") + before).cast("int")).filter(F.col("_rank") <= limit).select(
+        F.col(key).alias("_key"), F.col("_at").alias("_own"), F.col(tie).alias("_tie"), "_rank"
     )
+    same_event = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_at") == F.col("_own")) & (F.col(tie) == F.col("_tie"))
     return timed.join(first, same_event, "left").select(
         *events.columns,
         F.col("_rank").isNotNull().alias("allowed"),
@@ -126,117 +59,89 @@ def rate_limit(
     )
 
 
-def _openings(timed: DataFrame, key: str, slot: Column, width: int, group_rows: int) -> DataFrame:
-    """Event times that open a window: ``(key, _t)``."""
-    busy = timed.groupBy(key, slot.alias("_slot")).agg(F.count("*").alias("_n"))
-    seen = busy.agg(F.min("_slot").alias("low"), F.max("_slot").alias("high"), F.max("_n").alias("most")).first()
-    # Equal times act alike, so only distinct ones travel; they combine before the shuffle.
-    times = timed.select(key, "_t").distinct()
-    if seen["most"] is None:
-        return times
-    low, high = seen["low"], seen["high"]
-    if seen["most"] * 2 <= group_rows:
-        return _openings_by_chunk(times, key, low, high, width, min(FANOUT, group_rows // seen["most"]))
-    # At most two keys in group_rows rows are this busy.
-    too_busy = busy.filter(F.col("_n") * 2 > group_rows).select(F.col(key).alias("_key")).distinct()
-    dense = checkpointed(timed.sparkSession, too_busy)
-    is_dense = F.col(key).eqNullSafe(F.col("_key"))
-    by_chunk = _openings_by_chunk(times.join(dense, is_dense, "left_anti"), key, low, high, width, 2)
-    crowded = times.join(dense, is_dense, "left_semi")
-    return by_chunk.unionByName(_openings_by_slot(crowded, dense, key, slot, low, high, width))
-
-
-def _openings_by_slot(times, dense, key, slot, low, high, width) -> DataFrame:
-    """Openings of busy keys, one window length of time after the other.
-
-    Each step reads one slot's times only and combines them to a minimum per key
-    before any shuffle. The state between steps is one row per busy key.
+def open_windows(
+    events: DataFrame, key: str, ts: str, *, limit: int = 10, window_seconds: int = 60, carried: DataFrame | None = None
+) -> DataFrame:
+    """``key``, ``_opened`` and ``_used`` of every key's last window, leaving out those that are over.
+
+    A window is over when the newest event of all is at least one window length past its
+    opening. Keys of ``carried`` without an event are carried on.
+    """
+    width = window_seconds * MICROS
+    timed = _timed(events, key, ts, carried)
+    placed = _in_windows(timed, key, width)
+    counted = placed.groupBy(key, "_open").agg(F.count("*").alias("n"), F.max(OPENED).alias(OPENED), F.max(USED).alias(USED))
+    used = F.col("n") + F.when(F.col("_open") == F.col(OPENED), F.col(USED)).otherwise(0)
+    last = counted.groupBy(key).agg(F.max_by(F.struct(F.col("_open").alias(OPENED), F.least(used, F.lit(limit)).cast("int").alias(USED)), "_open").alias("w"))
+    now = last.select(key, "w.*")
+    if carried is not None:
+        seen = now.select(F.col(key).alias("_key"))
+        now = now.unionByName(carried.join(seen, F.col(key).eqNullSafe(F.col("_key")), "left_anti"))
+    newest = timed.select(F.max("_at")).scalar()
+    return now.filter(F.col(OPENED) + F.lit(width) > F.coalesce(newest, F.col(OPENED)))
+
+
+def _timed(events: DataFrame, key: str, ts: str, carried: DataFrame | None) -> DataFrame:
+    """Events with their own time ``_at`` and the time ``_t`` they count at: never before a carried opening."""
+    timed = events.withColumn("_at", micros(ts))
+    if carried is None:
+        none = F.lit(None).cast("bigint")
+        return timed.withColumns({"_t": F.col("_at"), OPENED: none, USED: F.lit(None).cast("int")})
+    open_now = carried.select(F.col(key).alias("_key"), OPENED, USED)
+    timed = timed.join(open_now, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    return timed.withColumn("_t", F.greatest("_at", OPENED))
+
+
+def _in_windows(timed: DataFrame, key: str, width: int) -> DataFrame:
+    """Events with ``_open``, the opening of their window."""
+    times = timed.select(key, "_t").union(timed.select(key, OPENED).filter(f"{OPENED} IS NOT NULL")).distinct()
+    starts = _openings(times, key, width)
+    slot = F.floor(F.col("_t") / F.lit(width)).cast("bigint")
+    # Openings are at least one width apart: at most one per slot, so an event's
+    # window was opened in its own slot or in the one before.
+    none = F.lit(None).cast("bigint")
+    own = F.struct(slot.alias("_in"), F.col("_t").alias("_own"), none.alias("_prev"))
+    following = F.struct((slot + 1).alias("_in"), none.alias("_own"), F.col("_t").alias("_prev"))
+    by_slot = starts.select(F.col(key).alias("_key"), F.inline(F.array(own, following)))
+    slots = by_slot.groupBy("_key", "_in").agg(F.max("_own").alias("_own"), F.max("_prev").alias("_prev"))
+    same_slot = F.col(key).eqNullSafe(F.col("_key")) & (slot == F.col("_in"))
+    opened = F.when(F.col("_own") <= F.col("_t"), F.col("_own")).otherwise(F.col("_prev"))
+    return timed.join(slots, same_slot, "left").withColumn("_open", opened).drop("_key", "_in", "_own", "_prev")
+
+
+def successors(times: DataFrame, key: str, width: int) -> DataFrame:
+    """``(key, _t, _next)``: the first time of the key at least ``width`` later; times without one are left out.
+
+    Times and the moments windows end are sorted together over all tasks. Within a partition
+    a moment's successor is the next time of its key; for the last ones of a partition it is
+    the first time of the partitions after it, of which one row each is looked at.
     """
     spark = times.sparkSession
-    path = f"{shared_dir(spark)}/busy-{uuid4().hex}"
-    times.withColumn("_slot", slot).write.partitionBy("_slot").parquet(path)
-    stored = spark.read.schema(T.StructType([*times.schema, T.StructField("_slot", T.LongType())])).parquet(path)
-    state = dense.withColumn("_free", F.lit(None).cast("bigint")).withColumn("_t", F.lit(None).cast("bigint"))
-    steps = []
-    for at in range(low, high + 1):
-        free = state.select("_key", "_free")
-        first = (
-            stored.filter(F.col("_slot") == at)
-            .join(free, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_t") >= F.coalesce("_free", F.col("_t"))))
-            .groupBy(F.col("_key").alias("_opener"))
-            .agg(F.min("_t").alias("_t"))
-        )
-        after = free.join(first, F.col("_key").eqNullSafe(F.col("_opener")), "left")
-        state = checkpointed(
-            spark, after.select("_key", F.coalesce(F.col("_t") + F.lit(width), "_free").alias("_free"), "_t")
-        )
-        steps.append(state.filter("_t is not null").select(F.col("_key").alias(key), "_t"))
-    opened = steps[0]
-    for one in steps[1:]:
-        opened = opened.unionByName(one)
-    return opened
-
-
-def _openings_by_chunk(times, key, low, high, width, fanout) -> DataFrame:
-    key_field = T.StructField(key, times.schema[key].dataType)
-    longs = [T.StructField(n, T.LongType()) for n in ("_chunk", "_t", "_exit")]
-    node_schema = T.StructType([key_field, *longs])
-    enter_schema = T.StructType([key_field, *longs[:2]])
-    origin, windows = low * width, high - low + 1
-    nodes = _chunk_of(times, origin, width * fanout).select(
-        key, "_chunk", "_t", (F.col("_t") + F.lit(width)).alias("_exit")
-    )
-    levels = [nodes]
-    span = fanout
-    while span < windows:
-        levels.append(_entry_points(levels[-1], key, origin, width, span, fanout, node_schema))
-        span *= fanout
-
-    opened = levels[-1].groupBy(key, "_chunk").applyInArrow(lambda group: _visited(group, None, key), enter_schema)
-    for below in reversed(levels[:-1]):
-        opened = (
-            below.groupBy(key, "_chunk")
-            .cogroup(_chunk_of(opened, origin, width * span // fanout).groupBy(key, "_chunk"))
-            .applyInArrow(lambda group, enter: _visited(group, enter, key), enter_schema)
-        )
-        span //= fanout
-    return opened.select(key, "_t")
-
-
-def _chunk_of(rows: DataFrame, origin: int, length: int) -> DataFrame:
-    chunk = F.floor((F.col("_t") - F.lit(origin)) / F.lit(length)).cast("bigint")
-    return rows.withColumn("_chunk", chunk)
-
-
-def _entry_points(nodes, key, origin, width, span, fanout, schema) -> DataFrame:
-    """Per chunk: the nodes an incoming chain can reach first, each with its last exit."""
-    length = span * width
-
-    def summarize(group: pa.Table) -> pa.Table:
-        times, exits = _nodes(group)
-        chunk = group["_chunk"][0].as_py()
-        reached = last_exits(times, exits)
-        # A chain leaves the chunks before at most one width into this one.
-        n = min(len(times), int(follow(times, np.array([origin + chunk * length + width]))[0]) + 1)
-        columns = [group[key].slice(0, n), np.full(n, chunk // fanout), times[:n], reached[:n]]
-        return pa.table(columns, names=[key, "_chunk", "_t", "_exit"])
-
-    return nodes.groupBy(key, "_chunk").applyInArrow(summarize, schema)
-
-
-def _nodes(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Times in order, each with its exit."""
-    times, exits = group["_t"].to_numpy(), group["_exit"].to_numpy()
-    order = np.argsort(times)
-    return times[order], exits[order]
-
-
-def _visited(group: pa.Table, enter: pa.Table | None, key: str) -> pa.Table:
-    """Nodes of one chunk on the real chain, given where the chain enters it."""
-    columns = [key, "_chunk", "_t"]
-    if enter is not None and not enter.num_rows:
-        return group.select(columns).slice(0, 0)
-    times, exits = _nodes(group)
-    path = chain(times, exits, None if enter is None else enter["_t"][0].as_py())
-    same = group.slice(0, len(path))
-    return pa.table([same[key], same["_chunk"], times[path]], names=columns)
+    ends = times.select(key, (F.col("_t") + width).alias("_m"), F.lit(0).alias("_is_time"), "_t")
+    marks = ends.union(times.select(key, F.col("_t").alias("_m"), F.lit(1), F.lit(None).cast("bigint")))
+    # An end comes before a time of the same moment, which is late enough.
+    placed = checkpointed(spark, marks.sort(key, "_m", "_is_time")).withColumn("_part", F.spark_partition_id())
+    time = F.when(F.col("_is_time") == 1, F.col("_m"))
+    ahead = Window.partitionBy("_part", key).orderBy("_m", "_is_time").rowsBetween(0, Window.unboundedFollowing)
+    inside = placed.withColumn("_inside", F.min(time).over(ahead)).filter("_is_time = 0")
+    # One row per partition of the sort.
+    first = F.min(F.when(F.col("_is_time") == 1, F.struct(F.col(key).alias("key"), F.col("_m").alias("m"))))
+    later = Window.orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
+    heads = placed.groupBy("_part").agg(first.alias("_first")).select("_part", F.first("_first", ignorenulls=True).over(later).alias("_head"))
+    found = inside.join(F.broadcast(heads), "_part")
+    across = F.when(F.col("_head.key").eqNullSafe(F.col(key)) & F.col("_head").isNotNull(), F.col("_head.m"))
+    return found.select(key, "_t", F.coalesce("_inside", across).alias("_next")).filter("_next IS NOT NULL")
+
+
+def _openings(times: DataFrame, key: str, width: int) -> DataFrame:
+    """Event times that open a window: ``(key, _t)``."""
+    spark = times.sparkSession
+    jumps = checkpointed(spark, successors(times, key, width))
+    known = checkpointed(spark, times.groupBy(key).agg(F.min("_t").alias("_t")))
+    while not jumps.isEmpty():
+        on = jumps.select(F.col(key).alias("_key"), F.col("_t").alias("_from"), F.col("_next").alias("_to"))
+        further = known.join(on, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_t") == F.col("_from"))).select(key, F.col("_to").alias("_t"))
+        known = checkpointed(spark, known.union(further))
+        twice = jumps.join(on, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_next") == F.col("_from")))
+        jumps = checkpointed(spark, twice.select(key, "_t", F.col("_to").alias("_next")))
+    return known

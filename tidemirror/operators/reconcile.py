@@ -12,6 +12,7 @@ from tidemirror.operators.children import cascade
 APPLIED = "applied"
 LOAD_FAILED = "skipped_load_failed"
 INCOMPLETE = "skipped_incomplete"
+NO_SWEEP = "skipped_no_sweep"
 NOT_ALLOWED = "skipped_not_allowed"
 EMPTY = "skipped_empty"
 

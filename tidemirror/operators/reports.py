@@ -81,7 +81,7 @@ def run_steps(spark: SparkSession, steps: list[tuple[str, Callable[[], object]]]
         except Exception as error:
             status, message = ERROR, str(error)
         seconds = int(time.monotonic() - began)
-        rows.append((name, at, status, 0, 0, 0, 0, message, seconds, 0, 0, "step"))
+        rows.append((name, at, status, 0, 0, 0, 0, message, seconds, 0, 0, "step", None, None, None))
     return audit_rows(spark, rows, OUTCOME_SCHEMA)
 
 

@@ -17,9 +17,6 @@ KEEP = "KEEP"
 CREATED = "etl_created_at"
 UPDATED = "etl_updated_at"
 
-# Keys of a batch up to this many rows (8 bytes each) are broadcast to the target.
-BROADCAST_ROWS = 1_000_000
-
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The last row per key in ``order``.
@@ -35,12 +32,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
 def one_row_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The batch itself; the job fails when a key occurs twice.
 
-    Counts are combined before the shuffle, so a repeated key cannot fill one task.
+    Only keys are counted, combined before their shuffle, so a repeated key cannot fill
+    one task; the rows are shuffled once, by the keys the merge joins on.
     """
-    rest = [c for c in batch.columns if c not in keys]
-    counted = batch.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.any_value(c).alias(c) for c in rest])
+    counted = batch.groupBy(*keys).agg(F.count("*").alias("_n"))
     unique = F.assert_true(F.col("_n") == 1, "upsert: duplicate key in batch")
-    return counted.filter(unique.isNull()).select(*batch.columns)
+    checked = counted.filter(unique.isNull())
+    # The flag keeps the check in the plan; a null key finds no match and stays.
+    return batch.join(checked, list(keys), "left").filter("coalesce(_n, 1) = 1").select(*batch.columns)
 
 
 def upsert(
@@ -50,10 +49,7 @@ def upsert(
     *,
     order: Sequence[str | Column] | None = None,
     run_ts: str | None = None,
-    batch_rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
     version: str | None = None,
-    buckets: int | None = None,
 ) -> DataFrame:
     """Merge ``batch`` into ``target`` and mark each row with its ``_action``.
 
@@ -63,17 +59,11 @@ def upsert(
     bookkeeping times. ``version`` names a column whose older copies do not replace
     newer ones.
 
-    When the caller counted the batch and it is small, the target is read in place
-    and never shuffled. Otherwise both sides meet in one full outer join, which also
-    needs no shuffle of a target that is bucketed by the key. ``buckets``, the number
-    of the target's buckets, makes the rows leave either plan placed by bucket.
+    Both sides meet in one full outer join. For a published table it gets only the
+    buckets that the batch touches, see ``Warehouse.change``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     batch = latest_per_key(batch, keys, order) if order else one_row_per_key(batch, keys)
-    if batch_rows is not None and batch_rows <= broadcast_rows and version is None:
-        return _upsert_small(target, batch, keys, run_ts, buckets)
-    if buckets:
-        batch = batch.repartition(buckets, *keys)
     return _upsert_join(target, batch, keys, run_ts, version)
 
 
@@ -85,7 +75,9 @@ def _upsert_join(target, batch, keys, run_ts, version):
     if version:
         taken += f" AND NOT coalesce(b.`{version}` < t.`{version}`, false)"
     # Whole rows are chosen column by column; as SQL texts, wide tables plan quickly.
-    values = [f"CASE WHEN {taken} THEN b.`{c}` ELSE t.`{c}` END AS `{c}`" for c in columns]
+    # Columns the batch does not have keep the target's values.
+    known = set(batch.columns)
+    values = [f"CASE WHEN {taken} THEN b.`{c}` ELSE t.`{c}` END AS `{c}`" if c in known else f"t.`{c}`" for c in columns]
     if run_ts:
         now = f"TIMESTAMP_NTZ '{run_ts}'"
         old = CREATED in target.columns
@@ -99,29 +91,6 @@ def _upsert_join(target, batch, keys, run_ts, version):
     return t.join(b, keys, "full_outer").selectExpr(*[f"`{k}`" for k in keys], *values, action)
 
 
-def _upsert_small(target, batch, keys, run_ts, buckets):
-    """Same result as the join, with only the batch's keys sent to the target's tasks."""
-    columns = [c for c in target.columns if c not in keys and c not in (CREATED, UPDATED)]
-    ids = F.broadcast(batch.select(*keys))
-    null_ts = F.lit(None).cast("timestamp_ntz")
-    old = CREATED in target.columns
-    stamped = target if old else target.withColumn(CREATED, null_ts).withColumn(UPDATED, null_ts)
-    kept = stamped.join(ids, keys, "left_anti").withColumn(ACTION, F.lit(KEEP))
-    # At most as many rows as the batch, whose size the caller has checked.
-    matched = stamped.join(ids, keys, "left_semi").select(*keys, CREATED, F.lit(True).alias("_matched"))
-    now = F.lit(run_ts).cast("timestamp_ntz") if run_ts else null_ts
-    created = F.when(F.col("_matched"), F.col(CREATED)).otherwise(now)
-    action = F.when(F.col("_matched"), UPDATE).otherwise(INSERT)
-    changed = batch.join(F.broadcast(matched), keys, "left").select(
-        *keys, *columns, created.alias(CREATED), now.alias(UPDATED), action.alias(ACTION)
-    )
-    if buckets:
-        changed = changed.repartition(buckets, *keys)
-    stamps = [CREATED, UPDATED] if run_ts else []
-    layout = [*keys, *columns, *stamps, ACTION]
-    return kept.select(*layout).unionByName(changed.select(*layout))
-
-
 def action_counts(merged: DataFrame) -> DataFrame:
     """Inserted and updated rows of a merge."""
     return merged.agg(
@@ -138,14 +107,14 @@ def action_metrics() -> list[Column]:
     ]
 
 
-def surrogate_keys(df: DataFrame, order: Sequence[str], start: int = 0, column: str = "id") -> DataFrame:
-    """Number the rows ``start + 1, start + 2, …`` in a total ``order``.
+def surrogate_keys(df: DataFrame, order: Sequence[str | Column] | None, start: int = 0, column: str = "id") -> DataFrame:
+    """Number the rows ``start + 1, start + 2, …``, in a total ``order`` if one is given.
 
-    Rows are range-sorted over all tasks and kept in the shared folder, because the
-    counts per partition and the numbering must see the same partitions. Only one
+    Rows (range-sorted over all tasks for an order) are kept in the shared folder, because
+    the counts per partition and the numbering must see the same partitions. Only one
     count per partition is gathered to shift each partition's own numbering.
     """
-    placed = checkpointed(df.sparkSession, df.sort(*order))
+    placed = checkpointed(df.sparkSession, df.sort(*order) if order else df)
     numbered = placed.withColumn("_part", F.spark_partition_id()).withColumn(
         "_row", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("bigint"), 33)
     )

@@ -62,7 +62,6 @@ class EntitySpec:
     option_of: str | None = None
     children: tuple[ChildSpec, ...] = ()
     cascades: tuple[tuple[str, str], ...] = ()
-    sweep: bool = False
     key: str = "id"
 
     @cached_property
@@ -113,7 +112,6 @@ DEALS = EntitySpec(
     incremental=True,
     strict=True,
     date_field="updated_at",
-    sweep=True,
     defaults={"is_deleted": False, "has_products": False},
     first_of={"contact_id": ("contacts", "id")},
     lookups={
@@ -176,7 +174,6 @@ CONTACTS = EntitySpec(
     needs_view=True,
     incremental=True,
     date_field="updated_at",
-    sweep=True,
     defaults={"is_deleted": False},
     joined=("tags",),
     ddl=_PERSON
@@ -196,7 +193,6 @@ SALES_ACCOUNTS = EntitySpec(
     needs_view=True,
     incremental=True,
     date_field="updated_at",
-    sweep=True,
     defaults={"is_deleted": False},
     ddl="""
         id BIGINT NOT NULL, name VARCHAR(500) NOT NULL, address VARCHAR(500), city VARCHAR(100),
@@ -217,7 +213,6 @@ LEADS = EntitySpec(
     incremental=True,
     enabled=False,
     date_field="updated_at",
-    sweep=True,
     defaults={"is_deleted": False},
     ddl=_PERSON
     + """,
@@ -233,7 +228,6 @@ TASKS = EntitySpec(
     scan=UNTIL_EMPTY,
     incremental=True,
     date_field="updated_at",
-    sweep=True,
     defaults={"is_deleted": False},
     ddl="""
         id BIGINT NOT NULL, title VARCHAR(500), description STRING, due_date TIMESTAMP_NTZ,
@@ -248,7 +242,6 @@ APPOINTMENTS = EntitySpec(
     scan=UNTIL_EMPTY,
     incremental=True,
     date_field="updated_at",
-    sweep=True,
     defaults={"is_deleted": False},
     ddl="""
         id BIGINT NOT NULL, title VARCHAR(500), description STRING, from_date TIMESTAMP_NTZ,
@@ -263,7 +256,6 @@ SALES_ACTIVITIES = EntitySpec(
     scan=UNTIL_EMPTY,
     incremental=True,
     date_field="updated_at",
-    sweep=True,
     defaults={"is_deleted": False},
     ddl="""
         id BIGINT NOT NULL, title VARCHAR(500), description STRING, start_date TIMESTAMP_NTZ,
@@ -280,7 +272,6 @@ PRODUCTS = EntitySpec(
     incremental=True,
     strict=True,
     date_field="updated_at",
-    sweep=True,
     defaults={"is_deleted": False},
     sources={"price": "base_currency_amount"},
     always_null=("currency",),

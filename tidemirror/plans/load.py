@@ -13,27 +13,26 @@ from pyspark.sql import types as T
 from tidemirror.functions import quality as Q
 from tidemirror.functions.normalize import parse_ts
 from tidemirror.operators import control as C
-from tidemirror.operators.align import align, ensure_columns
+from tidemirror.operators import reconcile as R
+from tidemirror.operators.align import align
 from tidemirror.operators.children import replace_children, replace_relations
-from tidemirror.operators.reconcile import APPLIED, reconcile
 from tidemirror.operators.reports import run_steps
-from tidemirror.operators.upsert import ACTION, CREATED, action_metrics, latest_per_key, surrogate_keys, upsert
+from tidemirror.operators.upsert import ACTION, CREATED, action_metrics, surrogate_keys, upsert
 from tidemirror.plans.entities import REGISTRY, ChildSpec, EntitySpec, select_entities, stored_type
-from tidemirror.plans.project import envelope_type, project, project_children, unwrap
-from tidemirror.sources.pages import (
-    active_ids,
-    page_heads,
-    read_pages,
-    view_ends,
-)
-from tidemirror.warehouse import Warehouse
+from tidemirror.plans.project import UNREADABLE, envelope_type, project, project_children, unwrap
+from tidemirror.sources import pages as P
+from tidemirror.warehouse import BUCKET, Pending, Warehouse
 
 AUDIT_TABLE = "etl_control"
 
 
 @dataclass
 class Outcome:
-    """What happened to one entity in one run."""
+    """What happened to one entity in one run.
+
+    ``active`` is the number of ids the sweep found, ``pages`` that of the landed pages,
+    ``unreadable`` that of times that were told but could not be read.
+    """
 
     entity: str
     at: datetime
@@ -47,11 +46,15 @@ class Outcome:
     error: str | None = None
     seconds: int = 0
     reconcile: str | None = None
+    active: int | None = None
+    pages: int = 0
+    unreadable: int = 0
 
     def row(self) -> tuple:
         return (
             self.entity, self.at, self.status, self.extracted, self.inserted, self.updated,
             self.failed, self.error, self.seconds, self.deleted, self.cascade_deleted, "entity",
+            self.active, self.pages, self.reconcile,
         )
 
 
@@ -59,9 +62,10 @@ class Outcome:
 class Job:
     """Inputs of a run.
 
-    ``views`` lists each view entity's view ids in reading order. ``sweep_pages``
-    holds the pages of an id sweep; it defaults to ``pages``, which is right when
-    the pages were landed without a date filter.
+    ``views`` lists each view entity's view ids in reading order. ``sweep_pages`` holds the
+    pages of an id sweep without a date filter; an incremental load deletes nothing without
+    them. A full load needs none: what it reads is all there is. ``deletable`` names the
+    tables that may lose rows.
     """
 
     warehouse: Warehouse
@@ -71,123 +75,141 @@ class Job:
     sweep_pages: DataFrame | None = None
     force_full: bool = False
     steps: list = field(default_factory=list)
+    deletable: set[str] = field(default_factory=lambda: set(REGISTRY))
 
-    @property
-    def version(self) -> str:
-        return self.run_ts.strftime("%Y%m%d_%H%M%S")
 
-
-def ensure_tables(warehouse: Warehouse, version: str = "empty") -> None:
-    """Create what is missing: entity, child and audit tables, and new columns."""
-    for spec in REGISTRY.values():
-        current = warehouse.read_or_none(spec.name)
-        if current is None or set(spec.table_schema.names) - set(current.columns):
-            whole = ensure_columns(warehouse.spark, current, spec.table_schema)
-            warehouse.replace(whole, spec.name, version, spec.key)
+def ensure_tables(warehouse: Warehouse, specs: list[EntitySpec] | None = None) -> None:
+    """Create what is missing: the entities' tables, their child tables, new columns, and the audit table."""
+    for spec in REGISTRY.values() if specs is None else specs:
+        _ensure(warehouse, spec.name, spec.table_schema, spec.key)
         for child in spec.children:
-            if not warehouse.exists(child.table):
-                warehouse.replace(_empty_child(warehouse, child), child.table, version, child.parent_column)
+            _ensure(warehouse, child.table, _child_schema(child), child.parent_column)
     if not warehouse.exists(AUDIT_TABLE):
         warehouse.append(C.audit_rows(warehouse.spark, [], C.AUDIT_SCHEMA), AUDIT_TABLE)
 
 
+def _ensure(warehouse: Warehouse, table: str, schema: T.StructType, key: str) -> None:
+    if warehouse.exists(table):
+        warehouse.widen(table, schema)
+    else:
+        warehouse.replace(warehouse.spark.createDataFrame([], schema), table, key)
+
+
 def run(job: Job, entity: str | None = None) -> DataFrame:
     """Load the chosen entities in order, then run the steps; the outcome rows.
 
-    Every outcome is appended to the audit table. The audit time is the start of the
-    run, so rows that change while it runs are read again next time.
+    Every outcome is appended to the audit table. The audit time is the start of the run, so
+    rows that change while it runs are read again next time. A run that is started again with
+    the same time leaves out the entities that succeeded and tells their outcome as audited.
     """
     spark = job.warehouse.spark
-    ensure_tables(job.warehouse)
     specs = select_entities(entity)
+    ensure_tables(job.warehouse, specs)
     known = spark.createDataFrame([(s.name, s.incremental) for s in specs], "entity_name STRING, incremental BOOLEAN")
-    # One row per selected entity.
-    modes = {r["entity_name"]: r for r in C.load_modes(known, job.warehouse.read(AUDIT_TABLE), job.force_full).collect()}
-    rows = [load_entity(job, spec, modes[spec.name]["watermark"]).row() for spec in specs]
+    audit = job.warehouse.read(AUDIT_TABLE)
+    # One row per selected entity, twice.
+    modes = {r["entity_name"]: r for r in C.load_modes(known, audit, job.force_full).collect()}
+    done_before = audit.filter((F.col("last_execution_date") == F.lit(str(job.run_ts)).cast("timestamp_ntz")) & (F.col("execution_status") == C.SUCCESS))
+    earlier = {r["entity_name"]: r for r in done_before.join(known, "entity_name", "left_semi").dropDuplicates(["entity_name"]).collect()}
+    rows = []
+    for spec in specs:
+        if spec.name not in earlier:
+            rows.append(load_entity(job, spec, modes[spec.name]["mode"], modes[spec.name]["watermark"]).row())
     outcomes = C.audit_rows(spark, rows, C.OUTCOME_SCHEMA)
     if job.steps:
         outcomes = outcomes.unionByName(run_steps(spark, job.steps))
-    job.warehouse.append(outcomes.select(*job.warehouse.read(AUDIT_TABLE).columns), AUDIT_TABLE)
+    if rows or job.steps:
+        job.warehouse.append(outcomes.select(*audit.columns), AUDIT_TABLE)
+    if earlier:
+        told = [(*(r[c] for c in audit.columns), None, None, "entity", None, None, None) for r in earlier.values()]
+        outcomes = outcomes.unionByName(C.audit_rows(spark, told, C.OUTCOME_SCHEMA))
     return outcomes
 
 
-def load_entity(job: Job, spec: EntitySpec, watermark: datetime | None = None) -> Outcome:
+def load_entity(job: Job, spec: EntitySpec, mode: str = C.FULL, watermark: datetime | None = None) -> Outcome:
     """Read, project, upsert, replace children and reconcile one entity.
 
-    An error leaves the published tables as they were and is told in the outcome.
+    All rows are written before the first table is published, so an error while reading or
+    writing leaves every published table as it was; it is told in the outcome. Should the
+    job die between two publications, the next run reads the same changes and repeats them.
     """
     began = time.monotonic()
     done = Outcome(spec.name, job.run_ts)
     try:
-        _load(job, spec, watermark, done)
+        _load(job, spec, mode, watermark, done)
     except Exception as error:
-        done.status, done.error = C.ERROR, str(error)[:4000]
+        done.status, done.error = C.ERROR, str(error)
     done.seconds = int(time.monotonic() - began)
     return done
 
 
-def _load(job: Job, spec: EntitySpec, watermark, done: Outcome) -> None:
-    house, views = job.warehouse, job.views.get(spec.name)
-    pages = _pages_of(job.pages, spec, views)
-    ends = view_ends(page_heads(pages, spec.page_key), spec.scan)
+def _heads(house: Warehouse, pages: DataFrame, spec: EntitySpec, name: str) -> DataFrame:
+    """Heads without bodies, written once; whatever asks about pages reads these."""
+    return house.stage(P.page_heads(pages, spec.page_key), f"{spec.name}-{name}")
+
+
+def _whole(ends: DataFrame, views: list[int] | None) -> bool:
     # One row per configured view of this entity.
     state = ends.agg(F.count("*").alias("views"), F.count_if(~F.col("is_complete")).alias("broken")).first()
-    whole = state["broken"] == 0 and state["views"] >= len(views or [None])
+    return state["broken"] == 0 and state["views"] >= len(views or [None])
 
-    read = unwrap(read_pages(pages, spec.page_key, envelope_type(spec), spec.scan, ends), spec)
-    if spec.date_field and watermark is not None:
-        read = _changed(read, spec, watermark)
+
+def _load(job: Job, spec: EntitySpec, mode: str, watermark, done: Outcome) -> None:
+    house, views = job.warehouse, job.views.get(spec.name)
+    pages = _pages_of(job.pages, spec, views)
+    heads = _heads(house, pages, spec, "heads")
+    done.pages = heads.count()
+    ends = P.view_ends(heads, spec.scan)
+    whole = _whole(ends, views)
+
+    read = unwrap(P.read_pages(pages, spec.page_key, envelope_type(spec), spec.scan, ends), spec)
+    if spec.date_field and mode == C.INCREMENTAL:
+        read = P.since(read, parse_ts(f"rec.`{spec.date_field}`"), watermark, keep_unknown=True)
     read_count = Observation()
     records = house.stage(
-        _last_copies(read, spec, views).observe(read_count, F.count("*").alias("rows")), spec.name, job.version
+        _last_copies(read, spec, views).observe(read_count, F.count("*").alias("rows")), f"{spec.name}-records"
     )
     done.extracted = read_count.get["rows"]
 
     dimensions = {d: house.read_or_none(d) for d, _ in spec.lookups.values()}
     # Written once: the checks, the merge and the reconcile all read these rows.
-    bad_count = Observation()
-    rows = project(records, spec, dimensions).observe(bad_count, F.count_if(F.size(Q.ERRORS) > 0).alias("rows"))
-    checked = house.stage(rows, f"{spec.name}_rows", job.version)
+    seen = Observation()
+    rows = project(records, spec, dimensions).observe(
+        seen, F.count_if(F.size(Q.ERRORS) > 0).alias("bad"), F.coalesce(F.sum(UNREADABLE), F.lit(0)).alias("unreadable")
+    )
+    checked = house.stage(rows, f"{spec.name}-rows")
     if spec.strict:
         Q.require_clean(checked, spec.name)
-    good, _ = Q.split(checked)
-    done.failed = bad_count.get["rows"]
+    good, _ = Q.split(checked.drop(UNREADABLE))
+    done.failed, done.unreadable = seen.get["bad"], seen.get["unreadable"]
     if done.extracted:
-        _merge(job, spec, good, done)
-        for child in spec.children:
-            _replace_child(job, spec, child, records)
+        changes = [_merged(job, spec, good, done), *[_replaced(job, spec, child, records) for child in spec.children]]
+        for change in changes:
+            change.commit()
     if not whole:
         done.status, done.error = C.ERROR, "incomplete pages"
-    _reconcile(job, spec, whole, views, good, done)
-
-
-def _changed(read: DataFrame, spec: EntitySpec, watermark: datetime) -> DataFrame:
-    """Records changed after the watermark, and those that do not say when they changed."""
-    at = parse_ts(f"rec.`{spec.date_field}`")
-    return read.filter(at.isNull() | (at > F.lit(str(watermark)).cast("timestamp_ntz")))
+    _reconcile(job, spec, mode, whole, views, records, done)
 
 
 def _last_copies(read: DataFrame, spec: EntitySpec, views: list[int] | None) -> DataFrame:
     """One record per id, the copy read last; records without id stay, to be told as errors."""
-    place = F.concat_ws("/", "view_id", "page", "pos")
-    keyed = read.withColumn("_order", _view_order(views)).withColumn(
-        "_id", F.coalesce(F.col(f"rec.{spec.key}"), F.concat(F.lit("at "), place))
-    )
-    return latest_per_key(keyed, ["_id"], ["_order", "page", "pos"]).select("rec")
+    place = F.concat_ws("/", "view_id", "page", "pos", "item")
+    keyed = read.withColumn("_id", F.coalesce(F.col(f"rec.{spec.key}"), F.concat(F.lit("at "), place)))
+    return P.dedup_views(keyed, "_id", views, ("page", "pos", "item")).select("rec")
 
 
-def _merge(job: Job, spec: EntitySpec, good: DataFrame, done: Outcome) -> None:
-    house = job.warehouse
-    target = align(house.read(spec.name), spec.table_schema)
-    merged = upsert(
-        target, good, spec.key, run_ts=str(job.run_ts), batch_rows=done.extracted, buckets=house.buckets
-    )
+def _merged(job: Job, spec: EntitySpec, good: DataFrame, done: Outcome) -> Pending:
     counts = Observation()
-    version = house.write_version(
-        merged.observe(counts, *action_metrics()).drop(ACTION), spec.name, job.version, spec.key, placed=True
-    )
-    house.publish(spec.name, version)
-    done.inserted, done.updated = counts.get["inserted"], counts.get["updated"]
+
+    def merge(part: DataFrame, batch: DataFrame) -> DataFrame:
+        target = align(part, spec.table_schema, extra=True)
+        merged = upsert(target, batch, [BUCKET, spec.key], run_ts=str(job.run_ts))
+        return merged.observe(counts, *action_metrics()).drop(ACTION)
+
+    change = job.warehouse.change(spec.name, good, merge)
+    if change.touched:
+        done.inserted, done.updated = counts.get["inserted"], counts.get["updated"]
+    return change
 
 
 def _pages_of(pages: DataFrame, spec: EntitySpec, views: list[int] | None) -> DataFrame:
@@ -195,63 +217,69 @@ def _pages_of(pages: DataFrame, spec: EntitySpec, views: list[int] | None) -> Da
     return mine.filter(F.col("view_id").isin(views)) if views else mine
 
 
-def _view_order(views: list[int] | None):
-    if not views:
-        return F.lit(0)
-    return F.array_position(F.array(*[F.lit(v).cast("bigint") for v in views]), F.col("view_id"))
-
-
-def _replace_child(job: Job, spec: EntitySpec, child: ChildSpec, records: DataFrame) -> None:
+def _replaced(job: Job, spec: EntitySpec, child: ChildSpec, records: DataFrame) -> Pending:
     """Old rows that stay keep their surrogate keys; the batch's rows are numbered after them."""
     house, parent = job.warehouse, child.parent_column
-    old = house.read(child.table)
+    manifest = house.manifest(child.table)
     new = project_children(records, spec, child)
     if child.unique:
         new = new.dropDuplicates(list(child.unique))
-    top = old.agg(F.max(child.surrogate)).first()[0] or 0
-    numbered = surrogate_keys(new, new.columns, start=top, column=child.surrogate)
-    if child.replace == "all":
-        parents = records.select(F.col(f"rec.{spec.key}").cast("bigint").alias(parent))
-        stamped = numbered.withColumn(CREATED, F.lit(str(job.run_ts)).cast("timestamp_ntz"))
-        merged = replace_relations(old, stamped, parents, parent)
-    else:
-        merged = replace_children(old, numbered, parent, run_ts=str(job.run_ts))
-    house.replace(merged.select(*old.columns), child.table, job.version, parent)
+    stamped = new.withColumn(CREATED, F.lit(str(job.run_ts)).cast("timestamp_ntz"))
+    top = manifest.marks.get(child.surrogate, 0)
+    numbered = surrogate_keys(stamped, None, start=top, column=child.surrogate)
+    rows = house.stage(house.placed(manifest, numbered), f"{child.table}-rows")
+    everyone = child.replace == "all"
+    parents = records.select(F.col(f"rec.{spec.key}").cast("bigint").alias(parent)) if everyone else new.select(parent)
 
+    def swap(part: DataFrame, touched: DataFrame) -> DataFrame:
+        if everyone:
+            return replace_relations(part, rows, touched, parent)
+        return replace_children(part, rows, parent, run_ts=str(job.run_ts))
 
-def _reconcile(job: Job, spec: EntitySpec, whole: bool, views, loaded: DataFrame, done: Outcome) -> None:
+    return house.change(child.table, parents.distinct(), swap, {child.surrogate: top + rows.count()})
+
+
+def _reconcile(job: Job, spec: EntitySpec, mode: str, whole: bool, views, records: DataFrame, done: Outcome) -> None:
+    """Delete what the source no longer has: against the ids just read, or those of a sweep."""
     house = job.warehouse
-    if spec.incremental:
-        swept = job.sweep_pages if job.sweep_pages is not None else job.pages
-        active = active_ids(_pages_of(swept, spec, views), spec.page_key, spec.scan, views, spec.needs_view)
+    if mode != C.INCREMENTAL:
+        active = records.select(F.col(f"rec.{spec.key}").cast("bigint").alias(spec.key)).filter(f"{spec.key} IS NOT NULL")
+    elif job.sweep_pages is None:
+        done.reconcile = R.NO_SWEEP
+        return
     else:
-        active = loaded.select(spec.key)
-    active = house.stage(active.select(F.col("id").alias(spec.key)), f"{spec.name}_active", job.version)
-    children = {table: (house.read(table), parent) for table, parent in spec.cascades}
-    result = reconcile(
-        house.read(spec.name), active, spec.key, children=children, failed=done.failed,
-        complete=whole, table=spec.name, allowed=set(REGISTRY),
-    )
-    done.reconcile = result.outcome
-    if result.outcome != APPLIED:
+        swept = _pages_of(job.sweep_pages, spec, views)
+        heads = _heads(house, swept, spec, "sweep")
+        # The load may be whole where the sweep is not, and the other way round.
+        whole = whole and _whole(P.view_ends(heads, spec.scan), views)
+        found = P.active_ids(swept, spec.page_key, spec.scan, views, spec.needs_view, heads)
+        active = house.stage(found.select(F.col("id").alias(spec.key)), f"{spec.name}-active")
+    done.active = active.count()
+    done.reconcile = R.guard(failed=done.failed, complete=whole, active=active, table=spec.name, allowed=job.deletable)
+    if done.reconcile != R.APPLIED:
         return
-    done.deleted = result.deleted.count()
+    # Written once; the table and its children are changed only where these ids lie.
+    gone = house.stage(R.missing_ids(house.read(spec.name), active, spec.key), f"{spec.name}-gone")
+    done.deleted = gone.count()
     if not done.deleted:
         return
-    version = f"{job.version}_reconciled"
-    for table, rows in result.kept_children.items():
-        done.cascade_deleted += result.deleted_children[table].count()
-        house.publish(table, house.write_version(rows, table, version, children[table][1]))
-    house.publish(spec.name, house.write_version(result.kept, spec.name, version, spec.key, placed=True))
+    changes = []
+    for table, parent in spec.cascades:
+        ids = gone.select(F.col(spec.key).alias(parent))
+        done.cascade_deleted += house.read(table).join(ids, parent, "left_semi").count()
+        changes.append(house.change(table, ids, lambda part, ids, parent=parent: part.join(ids.select(parent), parent, "left_anti")))
+    changes.append(house.change(spec.name, gone, lambda part, ids: part.join(ids.select(spec.key), spec.key, "left_anti")))
+    for change in changes:
+        change.commit()
 
 
-def _empty_child(warehouse: Warehouse, child: ChildSpec) -> DataFrame:
+def _child_schema(child: ChildSpec) -> T.StructType:
     fields = [T.StructField(child.surrogate, T.LongType())] if child.surrogate else []
     fields += [T.StructField(f.name, stored_type(f.dataType)) for f in T.StructType.fromDDL(child.ddl)]
     fields.append(T.StructField("etl_created_at", T.TimestampNTZType()))
     if not child.item_column:
         fields.append(T.StructField("etl_updated_at", T.TimestampNTZType()))
-    return warehouse.spark.createDataFrame([], T.StructType(fields))
+    return T.StructType(fields)
 
 
 def utc_now() -> datetime:

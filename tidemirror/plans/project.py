@@ -10,8 +10,11 @@ from tidemirror.functions import normalize as N
 from tidemirror.functions import quality as Q
 from tidemirror.operators.lookup import lookup
 from tidemirror.plans.entities import ChildSpec, EntitySpec, stored_type
+from tidemirror.sources import nested
 
 CUSTOM = "custom_field"
+# How many times of a row were told but could not be read.
+UNREADABLE = "_unreadable"
 
 
 def record_type(spec: EntitySpec) -> str:
@@ -57,14 +60,24 @@ def envelope_type(spec: EntitySpec) -> str:
 
 
 def unwrap(read: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Records out of nested arrays or option lists; other entities pass through."""
+    """Records out of nested arrays or option lists; other entities pass through.
+
+    ``item`` is a record's position inside what holds it. Option lists are found among
+    all fields of a page set, in page order.
+    """
     where = [c for c in read.columns if c != "rec"]
     if spec.nested_in:
-        return read.select(*where, F.explode(F.col("rec")[spec.nested_in[1]]).alias("rec"))
+        items = nested.nested_items(read, F.col("rec")[spec.nested_in[1]], where, "item")
+        return items.withColumnRenamed("_item", "rec")
     if spec.option_of:
         named = read.filter(F.col("rec.name") == spec.option_of)
-        return named.select(*where, F.explode("rec.choices").alias("rec"))
-    return read
+        # Only the first field of the name counts; field definitions are a page or two.
+        first = named.groupBy("entity", "view_id").agg(F.min(F.struct("page", "pos")).alias("_at"))
+        at = first.select(F.col("entity").alias("_e"), F.col("view_id").alias("_v"), "_at")
+        same = (F.col("entity") == F.col("_e")) & (F.col("view_id") == F.col("_v")) & (F.struct("page", "pos") == F.col("_at"))
+        choices = named.join(at, same, "left_semi")
+        return nested.nested_items(choices, F.col("rec.choices"), where, "item").withColumnRenamed("_item", "rec")
+    return read.withColumn("item", F.lit(0))
 
 
 def project(records: DataFrame, spec: EntitySpec, dimensions: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -75,22 +88,27 @@ def project(records: DataFrame, spec: EntitySpec, dimensions: dict[str, DataFram
     columns: list[Column] = []
     raws: list[Column] = []
     rules: list[Q.Rule] = []
+    times: list[str] = []
     for f in spec.declared:
         value, raw = _value(f, spec)
         columns.append(value.cast(stored_type(f.dataType)).alias(f.name))
         if raw is not None and (f.name in spec.joined or isinstance(f.dataType, T.NumericType)):
             raws.append(F.expr(raw).alias(f"_raw_{f.name}"))
+        if raw is not None and isinstance(f.dataType, (T.TimestampNTZType, T.DateType)):
+            raws.append(F.expr(f"coalesce(trim({raw}) <> '', false)").alias(f"_told_{f.name}"))
+            times.append(f.name)
         rules += _rules(f, spec, raw is not None)
     # Rules look at the finished columns, so no value is computed twice.
     rows = records.select(*columns, *raws)
-    rows = rows.select(*spec.declared.names, Q.error_list(rules).alias(Q.ERRORS))
+    lost = " + ".join(["0", *[f"int(_told_{t} AND `{t}` IS NULL)" for t in times]])
+    rows = rows.select(*spec.declared.names, Q.error_list(rules).alias(Q.ERRORS), F.expr(lost).alias(UNREADABLE))
     for column, (dimension, foreign_key) in spec.lookups.items():
         rows = lookup(rows, (dimensions or {}).get(dimension), foreign_key, column)
-    return rows.select(*spec.declared.names, Q.ERRORS)
+    return rows.select(*spec.declared.names, Q.ERRORS, UNREADABLE)
 
 
 def _rules(f: T.StructField, spec: EntitySpec, has_raw: bool) -> list[Q.Rule]:
-    """Rules of one column. Unreadable times become null by design; unreadable numbers are errors."""
+    """Rules of one column. Unreadable times become null and are counted; unreadable numbers are errors."""
     rules = []
     if has_raw and f.name in spec.joined:
         rules.append(Q.no_null_items(f.name, F.col(f"_raw_{f.name}")))
@@ -106,7 +124,7 @@ def _rules(f: T.StructField, spec: EntitySpec, has_raw: bool) -> list[Q.Rule]:
 def project_children(records: DataFrame, spec: EntitySpec, child: ChildSpec) -> DataFrame:
     """Child rows or relation pairs of the batch, keyed by their parent."""
     parent = N.typed(f"rec.`{spec.key}`", "bigint").alias(child.parent_column)
-    items = records.select(parent, F.explode(F.col("rec")[child.array]).alias("_item"))
+    items = nested.nested_items(records, F.col("rec")[child.array], [parent])
     if child.item_column:
         item = N.typed("_item", "bigint").alias(child.item_column)
         return items.select(child.parent_column, item)

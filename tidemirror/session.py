@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Source times carry no zone once loaded; a fixed session zone keeps casts reproducible.
@@ -27,26 +25,15 @@ def build_session(app: str = "tidemirror", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder; on a cluster a
-    missing setting is an error, since a machine-local folder dies with its machine.
-    """
+    """A folder every executor can reach: ``spark.checkpoint.dir``, or one beside the session's tables."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemirror-"))
-    return spark.sparkContext.getCheckpointDir()
-
-
-def checkpointed(spark: SparkSession, df):
+    folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Materialize ``df`` in the shared folder, so later passes read the same rows."""
     shared_dir(spark)
     return df.checkpoint()

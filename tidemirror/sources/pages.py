@@ -137,18 +137,23 @@ def read_pages(
     )
 
 
-def dedup_views(records: DataFrame, key: str, views: list[int]) -> DataFrame:
-    """One record per key: the copy read last, by view order, page and position."""
-    order = F.array_position(F.array(*[F.lit(v).cast("bigint") for v in views]), F.col("view_id"))
+def dedup_views(records: DataFrame, key: str, views: list[int] | None, place: tuple[str, ...] = ("page", "pos")) -> DataFrame:
+    """One record per key: the copy read last, by view order and then by ``place``."""
+    order = F.array_position(F.array(*[F.lit(v).cast("bigint") for v in views]), F.col("view_id")) if views else F.lit(0)
     ranked = records.withColumn("_view_order", order)
-    return latest_per_key(ranked, [key], ["_view_order", "page", "pos"]).drop("_view_order")
+    return latest_per_key(ranked, [key], ["_view_order", *place]).drop("_view_order")
 
 
-def since(df: DataFrame, column: str, watermark) -> DataFrame:
-    """Rows changed strictly after the watermark; all rows when there is none."""
+def since(df: DataFrame, column: str | Column, watermark, keep_unknown: bool = False) -> DataFrame:
+    """Rows changed strictly after the watermark; all rows when there is none.
+
+    ``keep_unknown`` also keeps rows that do not say when they changed.
+    """
     if watermark is None:
         return df
-    return df.filter(F.col(column) > F.lit(watermark).cast("timestamp_ntz"))
+    at = F.col(column) if isinstance(column, str) else column
+    later = at > F.lit(str(watermark)).cast("timestamp_ntz")
+    return df.filter(at.isNull() | later) if keep_unknown else df.filter(later)
 
 
 def active_ids(
@@ -157,16 +162,24 @@ def active_ids(
     rule: str,
     views: list[int] | None = None,
     needs_view: bool = False,
+    heads: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct ids now at the source, all or nothing: ``(entity, id)``.
 
     An entity with an incomplete view, with a configured view that never landed, or
-    that needs views but has none configured yields no ids at all.
+    that needs views but has none configured yields no ids at all. ``heads`` are the
+    pages' heads where they were already read.
     """
     if needs_view and not views:
         pages = pages.filter(F.lit(False))
     wanted = pages.filter(F.col("view_id").isin(views)) if views else pages
-    ends = view_ends(page_heads(wanted, record_key), rule)
+    if heads is None:
+        heads = page_heads(wanted, record_key)
+    elif needs_view and not views:
+        heads = heads.filter(F.lit(False))
+    elif views:
+        heads = heads.filter(F.col("view_id").isin(views))
+    ends = view_ends(heads, rule)
     whole = (
         ends.groupBy("entity")
         .agg(F.count_if("is_complete").alias("complete"), F.count("*").alias("landed"))

@@ -1,22 +1,11 @@
-"""The rate limit on a stream: two numbers of state per key."""
+"""The rate limit on a stream: the batch operator per micro-batch, and two numbers per key in between."""
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-# Executors get this function itself and need no installed package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from pyspark.sql.streaming import StreamingQuery
 
-STATE = "window_start BIGINT, used INT"
-MICROS = 1_000_000
+from tidemirror.operators.ratelimit import OPENED, USED, open_windows, rate_limit
 
 
 def rate_limit_stream(
@@ -25,41 +14,35 @@ def rate_limit_stream(
     ts: str,
     tie: str,
     *,
+    root: str,
     limit: int = 10,
     window_seconds: int = 60,
-) -> DataFrame:
-    """``(key, tie, ts, allowed, remaining)`` per event.
+) -> StreamingQuery:
+    """Write ``events`` with ``allowed`` and ``remaining`` to ``root/out`` until the input is used up.
 
     Events are taken in time order within a micro-batch and in arrival order across
-    micro-batches. A micro-batch's size is the source's trigger limit
-    (``maxFilesPerTrigger`` and the like), which bounds what one key can send at once.
-    """
-    width = window_seconds * MICROS
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    slim = events.select(key, tie, ts, F.timestamp_diff("MICROSECOND", epoch, F.col(ts)).alias("_t"))
-    schema = T.StructType(
-        [
-            slim.schema[key],
-            slim.schema[tie],
-            slim.schema[ts],
-            T.StructField("allowed", T.BooleanType()),
-            T.StructField("remaining", T.IntegerType()),
-        ]
-    )
-
-    def admit(_key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(["_t", tie])
-        start, used = state.get if state.exists else (None, 0)
-        allowed, remaining = [], []
-        for at in rows["_t"].tolist():
-            if start is None or at - start >= width:
-                start, used = at, 0
-            allowed.append(used < limit)
-            used = min(used + 1, limit)
-            remaining.append(limit - used)
-        state.update((start, used))
-        yield rows.drop(columns="_t").assign(allowed=allowed, remaining=remaining)
+    micro-batches; one that is older than its key's open window counts in that window. A
+    key's row of ``root/state`` is dropped once its window is over.
 
-    return slim.groupBy(key).applyInPandasWithState(
-        admit, schema, STATE, "append", GroupStateTimeout.NoTimeout
+    A micro-batch writes its rows and the state after it under its own number, so a replay
+    replaces what it wrote and begins from the same state.
+    """
+    options = {"limit": limit, "window_seconds": window_seconds}
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        carried = spark.read.parquet(f"{root}/state/batch={batch_id - 1}") if batch_id else None
+        carried = carried.select(key, OPENED, USED) if carried is not None else None
+        rate_limit(batch, key, ts, tie, carried=carried, **options).write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+        after = open_windows(batch, key, ts, carried=carried, **options)
+        after.write.mode("overwrite").parquet(f"{root}/state/batch={batch_id}")
+        if batch_id > 1:
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/state/batch={batch_id - 2}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+    return (
+        events.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
     )

@@ -8,8 +8,8 @@ from zlib import crc32
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemirror.operators.upsert import ACTION, upsert
-from tidemirror.warehouse import Warehouse
+from tidemirror.operators.upsert import upsert
+from tidemirror.warehouse import BUCKET, Warehouse
 
 
 def upsert_stream(
@@ -29,21 +29,21 @@ def upsert_stream(
     of ``order`` (for landed pages: read, project, split). The last copy of a key
     wins; ``version`` also keeps an older copy from replacing a newer row.
 
-    A micro-batch's number names the version it writes. When a replayed micro-batch
-    finds its version published it is done; otherwise it starts again from the
-    published one, which is never the path it writes.
+    Only the buckets a micro-batch touches are rewritten. The version it publishes carries
+    its number, so a replayed micro-batch that was published does nothing; one that was not
+    starts again from the published version, in a fresh folder.
     """
-    stream = crc32(checkpoint.encode())
-    columns = warehouse.read(table).columns
+    mark = f"stream-{crc32(checkpoint.encode())}"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        name = f"s{stream}_{batch_id}"
-        if warehouse.current(table) == f"{warehouse.name(table)}__{name}":
+        if warehouse.manifest(table).marks.get(mark, -1) >= batch_id:
             return
         rows = prepare(batch) if prepare else batch
-        base = warehouse.read(table)
-        merged = upsert(base, rows, key, order=order, version=version, buckets=warehouse.buckets)
-        warehouse.replace(merged.drop(ACTION).select(*columns), table, name, key, placed=True)
+
+        def merge(part: DataFrame, changed: DataFrame) -> DataFrame:
+            return upsert(part, changed, [BUCKET, key], order=order, version=version)
+
+        warehouse.change(table, rows, merge, {mark: batch_id}).commit()
 
     return (
         changes.writeStream.foreachBatch(apply)
