@@ -3,12 +3,14 @@
 A document's distinct word shingles are hashed to 64 bits. The leading bits choose one
 of ``BUCKETS`` buckets; a bucket keeps its smallest hash as the number of leading zeros
 and ten bits of mantissa, sixteen bits in all. Runs of registers (bands) that agree make
-two documents candidates. Candidates are first judged by the share of agreeing
+two documents candidates; there, an empty register stands in for the filled one that comes
+first in an order of its own, so a band of a short document says as much as any other. Candidates are first judged by the share of agreeing
 registers, corrected for agreement by chance, then by their full sets.
 
-Documents with the same set are one class, whose smallest id stands for it. Large buckets
-are never expanded into all pairs: every member is compared with the smallest one, and
-after that only members of different components are compared with each other.
+Documents with the same set are one class, whose smallest id stands for it. The documents
+of a band are never expanded into all pairs: every one is compared with the smallest, and
+after that only those of different components are compared with each other, block by block
+inside tasks that pass on nothing but likely links.
 """
 
 from __future__ import annotations
@@ -33,8 +35,12 @@ MANTISSA = 10
 # Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
 # Registers may fall this many standard deviations short of the limit before a pair is dropped unread.
-SLACK = 5.0
+SLACK = 4.0
+# Documents of one band that a task compares with as many others at a time.
+BLOCK = 1024
 _BITS = BUCKETS.bit_length() - 1
+# Row i: the place of every bucket in the order in which an empty bucket i looks for a filled one.
+_ORDER = np.argsort(np.random.default_rng(BUCKETS).random((BUCKETS, BUCKETS)), axis=1).astype(np.uint16)
 
 
 def shingles(column: pa.Array, size: int = SIZE) -> list[np.ndarray]:
@@ -68,6 +74,19 @@ def sketch(hashes: np.ndarray) -> bytes:
     return registers.tobytes()
 
 
+def band_hashes(registers: np.ndarray) -> np.ndarray:
+    """A hash of every band of a sketch that has a filled register, empty ones replaced."""
+    filled = np.flatnonzero(registers)
+    empty = np.flatnonzero(registers == 0)
+    whole = registers.astype(np.uint64)
+    if len(empty):
+        whole[empty] = whole[filled[_ORDER[np.ix_(empty, filled)].argmin(axis=1)]]
+    total = np.arange(1, BUCKETS // ROWS + 1, dtype=np.uint64)
+    for column in whole.reshape(-1, ROWS).T:
+        total = mix(total * np.uint64(0xD6E8FEB86659FD93) + column)
+    return total
+
+
 def features(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Id, set size, a 128-bit hash of the set, and the registers."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -86,48 +105,92 @@ def features(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def bands(reps: DataFrame) -> DataFrame:
-    """One row per band with a filled register: its hash and the document. Empty bands link nothing."""
-    width = 2 * ROWS
-    part = f"substring(sketch, b * {width} + 1, {width})"
-    keys = f"transform(sequence(0, {BUCKETS // ROWS - 1}), b -> if({part} = X'{'00' * width}', null, xxhash64(b, {part})))"
-    return reps.select(F.explode(F.expr(keys)).alias("band"), "rep").where("band IS NOT NULL")
+    """One row per document and band: its hash and the document."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                hashes = [band_hashes(np.frombuffer(s.as_py(), "<u2")) for s in part.column("sketch")]
+                band = pa.array(np.concatenate(hashes).view(np.int64))
+                rep = pa.array(np.repeat(part.column("rep").to_numpy(), BUCKETS // ROWS))
+                yield pa.RecordBatch.from_arrays([band, rep], ["band", "rep"])
+
+    return reps.select("rep", "sketch").mapInArrow(run, "band bigint, rep bigint")
 
 
-def similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated Jaccard similarity of sketches row by row, and the number of filled registers.
+def probable(equal: np.ndarray, filled: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether pairs may be linked, from their equal and filled registers and set sizes.
 
     Of two unlike minima, a register agrees by chance when both fall into the same cell:
-    the same number of leading zeros, and one mantissa of 2 ** MANTISSA.
+    the same number of leading zeros, and one mantissa of 2 ** MANTISSA. The estimate
+    corrected for that varies as a draw without replacement from the union of both sets.
     """
-    filled = np.maximum(((a > 0) | (b > 0)).sum(axis=1), 1)
-    equal = ((a == b) & (a > 0)).sum(axis=1)
     edges = 2.0 ** -np.arange(0, 55)
-    level = lambda n: np.diff(-((1 - edges) ** np.maximum(n[:, None] / BUCKETS, 1e-9)), axis=1) * -1
-    chance = np.abs(level(n_a) * level(n_b)).sum(axis=1) / 2**MANTISSA
-    return np.clip((equal / filled - chance) / (1 - chance), 0, 1), filled
+    level = lambda n: np.diff((1 - edges) ** np.maximum(n[..., None] / BUCKETS, 1e-9))
+    chance = np.abs(level(n_a) * level(n_b)).sum(axis=-1) / 2**MANTISSA
+    limit, filled = PERCENT / 100, np.maximum(filled, 1)
+    found = (equal / filled - chance) / (1 - chance)
+    unseen = np.clip(1 - filled * (1 + limit) / (n_a + n_b), 0, 1)
+    near = found >= limit - SLACK * np.sqrt(limit * (1 - limit) / filled * unseen) - 1 / filled
+    # Sets whose sizes differ too much cannot be linked.
+    return near & (100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b))
 
 
 def likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs whose registers do not rule a link out."""
     left = reps.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
     right = reps.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
-    both = pairs.join(left, "a").join(right, "b")
-    # Sets whose sizes differ too much cannot be linked.
-    both = both.where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)").select("a", "b", "n_a", "n_b", "s_a", "s_b")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
 
     def run(batches):
-        limit = PERCENT / 100
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, BUCKETS) for k in ("s_a", "s_b"))
-            found, filled = similarity(a, b, *(batch.column(k).to_numpy().astype(float) for k in ("n_a", "n_b")))
-            kept = found >= limit - SLACK * np.sqrt(limit * (1 - limit) / filled) - 1 / filled
-            yield batch.select(["a", "b"]).filter(pa.array(kept))
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK):
+                batch = whole.slice(at, BLOCK)
+                a, b = (_registers(batch.column(k)) for k in ("s_a", "s_b"))
+                equal, filled = ((a == b) & (a > 0)).sum(axis=1), ((a > 0) | (b > 0)).sum(axis=1)
+                sizes = (batch.column(k).to_numpy().astype(float) for k in ("n_a", "n_b"))
+                yield batch.select(["a", "b"]).filter(pa.array(probable(equal, filled, *sizes)))
 
     return both.mapInArrow(run, both.select("a", "b").schema)
 
 
+def _registers(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, BUCKETS)
+
+
+def _compared(group: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Likely links between the documents of two blocks of a band, or within one, whose components differ."""
+    rep, component, n = (group.column(k).to_numpy() for k in ("rep", "component", "n_shingles"))
+    block, main = group.column("block").to_numpy(), group.column("main")[0].as_py()
+    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    registers = _registers(group.column("sketch"))
+    stray = component != main
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    out = []
+
+    def compare(x: np.ndarray, y: np.ndarray, twice: bool) -> None:
+        empty_y = (registers[y] == 0).astype(np.float32)
+        for at in range(0, len(x), 32):
+            part = x[at : at + 32]
+            mine = registers[part]
+            equal = ((mine[:, None] == registers[y][None]) & (mine > 0)[:, None]).sum(axis=2)
+            filled = BUCKETS - (mine == 0).astype(np.float32) @ empty_y.T
+            near = probable(equal, filled, n[part].astype(float)[:, None], n[y].astype(float)[None])
+            near &= component[part][:, None] != component[y][None]
+            if twice:
+                near &= ~(stray[y][None] & (part[:, None] >= y[None]))
+            u, v = np.nonzero(near)
+            out.append((rep[part[u]], rep[y[v]]))
+
+    if i == j:
+        compare(left[stray[left]], left, True)
+    else:
+        compare(left[stray[left]], right, False)
+        compare(right[stray[right]], left[~stray[left]], False)
+    return out
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose full sets are similar enough."""
     left = sets.select(F.col("rep").alias("a"), F.col("hashes").alias("s_a"))
@@ -158,21 +221,45 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, with_fields(docs.drop("text").schema, hashes="binary"))
 
 
-def apart(hits: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs of one band in different components.
+def apart(hits: DataFrame, components: DataFrame, reps: DataFrame) -> DataFrame:
+    """Likely links between documents of one band in different components.
 
-    Members outside a band's largest component are compared with all members of other
-    components; two members of the largest one need no comparison.
+    Documents outside a band's largest component are compared with all of other components;
+    two of the largest one need no comparison. A band is cut into blocks, and two blocks of
+    it meet in one task.
     """
     at = hits.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
         "band", "rep", F.coalesce("component", "rep").alias("component")
     )
     sizes = at.groupBy("band", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("band").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
-    at = at.join(mixed.select("band", "main"), "band")
-    others = at.where("component != main").select("band", F.col("rep").alias("x"), F.col("component").alias("cx"))
-    both = others.join(at.select("band", F.col("rep").alias("y"), F.col("component").alias("cy")), "band").where("cx != cy")
-    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    mixed = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("kinds"), F.sum("n").alias("n"))
+    mixed = mixed.where("kinds > 1").select("band", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    at = at.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    met = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "main", "rep", "component")
+    rows = met.join(reps, "rep").select(*met.columns, "n_shingles", "sketch")
+    key = ["band", "i", "j"]
+
+    def run(batches):
+        kept = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([kept, table]) if kept is not None else table
+            keys = np.stack([table.column(k).to_numpy() for k in key])
+            starts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
+            for a, b in zip(starts, starts[1:]):
+                yield from told(table.slice(a, b - a))
+            # The last group may go on in the next batch; it has at most two blocks.
+            kept = table.slice(starts[-1]) if table.num_rows else kept
+        if kept is not None and kept.num_rows:
+            yield from told(kept)
+
+    def told(group):
+        for x, y in _compared(group):
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -195,7 +282,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     near = stored(likely(hits.where("rep != first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct(), reps), "minhash-near")
     # Members that are likely linked to their band's first one are left out of the second comparison ...
-    rest = likely(apart(hits, connected_components(near)).join(near, ["a", "b"], "left_anti"), reps)
+    rest = apart(hits, connected_components(near), reps).join(near, ["a", "b"], "left_anti")
     pairs = stored(near.unionByName(rest), "minhash-pairs")
     wanted = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select("b")).distinct()
     texts = docs.select(F.col(doc_id).cast("bigint").alias("rep"), F.col(text).cast("string").alias("text"))
@@ -203,7 +290,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     links = stored(confirmed(pairs, sets), "minhash-links")
     components = connected_components(links)
     # ... and compared now if their full sets did not confirm it; their sets are at hand.
-    late = stored(likely(apart(hits, components).join(pairs, ["a", "b"], "left_anti"), reps), "minhash-late")
+    late = stored(apart(hits, components, reps).join(pairs, ["a", "b"], "left_anti"), "minhash-late")
     if not late.isEmpty():
         components = connected_components(links.unionByName(confirmed(late, sets)))
 
