@@ -270,6 +270,8 @@ def n_tokens(ids: str = "token_ids") -> Column:
 
 
 def unpack(ids: str = "token_ids") -> Column:
-    """Packed ids as an array of numbers, without Python."""
-    part = f"hex(reverse(substring({ids}, i * 4 + 1, 4)))"
-    return F.when(F.octet_length(ids) > 0, F.expr(f"transform(sequence(0, cast(octet_length({ids}) / 4 as int) - 1), i -> cast(conv({part}, 16, 10) as bigint))")).otherwise(F.array().cast("array<bigint>"))
+    """Packed ids as an array of numbers, without Python; null gives an empty array."""
+    digits = ", ".join(f"substring(h, 8 * i + {at}, 2)" for at in (7, 5, 3, 1))
+    each = f"transform(sequence(0, cast(octet_length({ids}) / 4 as int) - 1), i -> cast(conv(concat({digits}), 16, 10) as bigint))"
+    whole = f"get(transform(array(hex({ids})), h -> {each}), 0)"
+    return F.expr(f"if(octet_length({ids}) > 0, {whole}, cast(array() as array<bigint>))")

@@ -83,12 +83,12 @@ def random_part(piece: bytes, window: int, bits: float) -> tuple[int, int] | Non
     most = (math.log2(window) - bits) * window + 1e-9
     total, first, last = 0.0, -1, -1
     for i, c in enumerate(piece):
-        total += terms[counts[c] + 1] - terms[counts[c]]
-        counts[c] += 1
         if i >= window:
             gone = piece[i - window]
             total += terms[counts[gone] - 1] - terms[counts[gone]]
             counts[gone] -= 1
+        total += terms[counts[c] + 1] - terms[counts[c]]
+        counts[c] += 1
         if i >= window - 1 and total <= most:
             first = i - window + 1 if first < 0 else first
             last = i + 1
