@@ -74,15 +74,19 @@ def sketch(hashes: np.ndarray) -> bytes:
     return registers.tobytes()
 
 
-def band_hashes(registers: np.ndarray) -> np.ndarray:
-    """A hash of every band of a sketch that has a filled register, empty ones replaced."""
-    filled = np.flatnonzero(registers)
-    empty = np.flatnonzero(registers == 0)
-    whole = registers.astype(np.uint64)
+def replaced(registers: np.ndarray) -> np.ndarray:
+    """The registers of a sketch that has a filled one, with others in place of the empty ones."""
+    filled, empty = np.flatnonzero(registers), np.flatnonzero(registers == 0)
+    whole = registers.copy()
     if len(empty):
-        whole[empty] = whole[filled[_ORDER[np.ix_(empty, filled)].argmin(axis=1)]]
+        whole[empty] = registers[filled[_ORDER[np.ix_(empty, filled)].argmin(axis=1)]]
+    return whole
+
+
+def band_hashes(registers: np.ndarray) -> np.ndarray:
+    """A hash of every band of a sketch."""
     total = np.arange(1, BUCKETS // ROWS + 1, dtype=np.uint64)
-    for column in whole.reshape(-1, ROWS).T:
+    for column in replaced(registers).astype(np.uint64).reshape(-1, ROWS).T:
         total = mix(total * np.uint64(0xD6E8FEB86659FD93) + column)
     return total
 
@@ -105,7 +109,7 @@ def features(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def bands(reps: DataFrame) -> DataFrame:
-    """One row per document and band: its hash and the document."""
+    """One row per document and band: its hash, the document, and which of the bands it is."""
 
     def run(batches):
         for batch in batches:
@@ -114,9 +118,10 @@ def bands(reps: DataFrame) -> DataFrame:
                 hashes = [band_hashes(np.frombuffer(s.as_py(), "<u2")) for s in part.column("sketch")]
                 band = pa.array(np.concatenate(hashes).view(np.int64))
                 rep = pa.array(np.repeat(part.column("rep").to_numpy(), BUCKETS // ROWS))
-                yield pa.RecordBatch.from_arrays([band, rep], ["band", "rep"])
+                at_band = pa.array(np.tile(np.arange(BUCKETS // ROWS, dtype=np.int32), part.num_rows))
+                yield pa.RecordBatch.from_arrays([band, rep, at_band], ["band", "rep", "nth"])
 
-    return reps.select("rep", "sketch").mapInArrow(run, "band bigint, rep bigint")
+    return reps.select("rep", "sketch").mapInArrow(run, "band bigint, rep bigint, nth int")
 
 
 def probable(equal: np.ndarray, filled: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -160,15 +165,27 @@ def _registers(column) -> np.ndarray:
 
 
 def _compared(group: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Likely links between the documents of two blocks of a band, or within one, whose components differ."""
+    """Likely links between the documents of two blocks of a band, or within one, whose components differ.
+
+    Two documents that share several bands are told by the first of them only.
+    """
     rep, component, n = (group.column(k).to_numpy() for k in ("rep", "component", "n_shingles"))
     block, main = group.column("block").to_numpy(), group.column("main")[0].as_py()
     i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
     registers = _registers(group.column("sketch"))
-    stray = component != main
+    stray, nth, whole = component != main, group.column("nth")[0].as_py(), {}
     left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
     out = []
 
+    def told(x: np.ndarray, y: np.ndarray) -> None:
+        for k in {*x.tolist(), *y.tolist()} - whole.keys():
+            whole[k] = replaced(registers[k])
+        for at in range(0, len(x), 4096):
+            u, v = x[at : at + 4096], y[at : at + 4096]
+            same = np.stack([whole[k] for k in u]) == np.stack([whole[k] for k in v])
+            first = same.reshape(len(u), -1, ROWS).all(axis=2).argmax(axis=1) == nth
+            out.append((rep[u[first]], rep[v[first]]))
+
     def compare(x: np.ndarray, y: np.ndarray, twice: bool) -> None:
         empty_y = (registers[y] == 0).astype(np.float32)
         for at in range(0, len(x), 32):
@@ -181,7 +198,7 @@ def _compared(group: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
             if twice:
                 near &= ~(stray[y][None] & (part[:, None] >= y[None]))
             u, v = np.nonzero(near)
-            out.append((rep[part[u]], rep[y[v]]))
+            told(part[u], y[v])
 
     if i == j:
         compare(left[stray[left]], left, True)
@@ -229,14 +246,14 @@ def apart(hits: DataFrame, components: DataFrame, reps: DataFrame) -> DataFrame:
     it meet in one task.
     """
     at = hits.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "rep", F.coalesce("component", "rep").alias("component")
+        "band", "nth", "rep", F.coalesce("component", "rep").alias("component")
     )
     sizes = at.groupBy("band", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("kinds"), F.sum("n").alias("n"))
     mixed = mixed.where("kinds > 1").select("band", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     at = at.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "main", "rep", "component")
+    met = met.select("band", "nth", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "main", "rep", "component")
     rows = met.join(reps, "rep").select(*met.columns, "n_shingles", "sketch")
     key = ["band", "i", "j"]
 
