@@ -100,7 +100,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes
     for _ in range(s.epochs):
         for i in order.permutation(len(rows)):
             at, x = rows[i]
-            at, x = np.append(at, s.buckets), np.append(x, 1.0)
+            at, x = np.append(at.astype(np.int64), s.buckets), np.append(x.astype(float), 1.0)
             zi, ni = z[at], n[at]
             w = solved(zi, ni)
             p = softmax(x @ w)
@@ -182,12 +182,13 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: Column | s
                 ["lang", "place", "at", "value"],
             )
 
-    rows = sample.mapInArrow(run, with_fields(sample.select("lang", "place").schema, at="binary", value="binary")).collect()
-    rows.sort(key=lambda r: (r["place"], r["lang"], bytes(r["at"])))
-    languages = sorted({r["lang"] for r in rows})
+    found = sample.mapInArrow(run, with_fields(sample.select("lang", "place").schema, at="binary", value="binary"))
+    # A partition at a time, and as packed as it came: the bounded sample is all the driver holds.
+    rows = sorted((r["place"], r["lang"], bytes(r["at"]), bytes(r["value"])) for r in found.toLocalIterator())
+    languages = sorted({lang for _, lang, _, _ in rows})
     index = {k: i for i, k in enumerate(languages)}
-    x = [(np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["value"], "<f4").astype(float)) for r in rows]
-    y = np.array([index[r["lang"]] for r in rows], int)
+    x = [(np.frombuffer(at, "<u2"), np.frombuffer(value, "<f4")) for _, _, at, value in rows]
+    y = np.array([index[lang] for _, lang, _, _ in rows], int)
     held = np.arange(len(x)) % s.calibration == s.calibration - 1
     weights, bias = train([r for r, h in zip(x, held) if not h], y[~held], max(len(languages), 1), s)
     logits = np.array([weights[a].T @ v + bias for (a, v), h in zip(x, held) if h])

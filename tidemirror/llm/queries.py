@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemirror.llm import bpe, embedding_dedup, language_id, line_dedup, minhash_dedup, mixing, quality_classifier, quality_rules, secret_scan, substring_dedup
+from tidemirror.llm import bpe, embedding_dedup, language_id, line_dedup, minhash_dedup, mixing, oracles, quality_classifier, quality_rules, secret_scan, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,7 +45,7 @@ def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query()
+@query(oracles.RULES)
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Measurements, failed rules and the verdict of the current policy for every document."""
     rows = quality_rules.ledger(documents(spark, sf))
@@ -70,13 +70,13 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query()
+@query(oracles.MINHASH)
 def op5_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return minhash_dedup.near_duplicates(documents(spark, sf))
 
 
-@query()
+@query(oracles.EMBEDDINGS)
 def op8_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """The links and the near-duplicate class of every embedding."""
     return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf}/embeddings.parquet"))
@@ -88,7 +88,7 @@ def op3_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf))
 
 
-@query()
+@query(oracles.LINES)
 def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without later copies of repeated runs of lines."""
     return line_dedup.dedup_lines(documents(spark, sf).select("doc_id", "text"))
