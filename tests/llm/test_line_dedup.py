@@ -89,6 +89,17 @@ def test_odd_documents_and_an_empty_table(spark, odd, none):
     assert D.dedup_lines(none).count() == 0
 
 
+def test_repeated_rows_take_part_once(spark):
+    long = "\n".join(f"line {k} of a hundred" for k in range(100))
+    loose = "\n".join(f"line {k} without an id" for k in range(40))
+    rows = [(1, long), (1, long), (2, "own\n" + long)] + [(None, loose)] * 1000
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)
+    places = D.lines(df.selectExpr("coalesce(doc_id, -1) AS doc", "xxhash64(text) AS row", "text"))
+    assert places.count() == 100 + 101 + 40
+    got = Counter((r["doc_id"], r["text"], r["n_removed"], r["run_lines"]) for r in D.dedup_lines(df).collect())
+    assert got == {(1, long, 0, 0): 2, (2, "own", 100, 64): 1, (None, loose, 0, 0): 1000}
+
+
 def test_no_python_on_the_main_path(spark):
     df = spark.createDataFrame(corpus(6, 10), "doc_id BIGINT, text STRING")
     text = D.dedup_lines(df)._jdf.queryExecution().executedPlan().toString()

@@ -34,7 +34,9 @@ def lines(docs: DataFrame) -> DataFrame:
     found = F.filter(
         F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("pos"), x.alias("line"))), lambda s: s["line"].rlike(NOT_BLANK)
     )
-    return docs.select("doc", "row", F.posexplode(found).alias("seq", "one")).select(
+    # Every place is there once: rows that shared one would be joined with each other in each round.
+    once = docs.select("doc", "row", "text").distinct()
+    return once.select("doc", "row", F.posexplode(found).alias("seq", "one")).select(
         *PLACE,
         F.col("one.pos").alias("pos"),
         F.length("one.line").alias("chars"),
