@@ -53,6 +53,27 @@ def test_cleaned_texts_agree_with_a_plain_search(spark, seed):
         assert (r["text"], r["n_removed"], set(r["first_docs"] or ())) == (text, removed, firsts)
 
 
+def test_planted_passages_go_whole(spark, tmp_path):
+    from tidemirror.llm.queries import QUERIES
+
+    draw, count = random.Random(7), iter(range(10**6))
+    sentence = lambda n: " ".join(f"w{next(count)}" for _ in range(n)) + ". "
+    # Short sentences after long ones, before them and between them, and only two short ones.
+    shapes = [(30, 4), (4, 30), (26, 26, 3), (30, 10, 10, 5), (12, 12), (3, 4), (8, 8, 30, 2), (2, 40, 2), (9, 9, 9, 9)]
+    passages = ["".join(sentence(n) for n in shape) for shape in shapes]
+    rows, own = [], {}
+    for i in range(60):
+        before, after = (" ".join(f"w{next(count)}" for _ in range(draw.randrange(5, 30))) + ".\n" for _ in range(2))
+        rows.append((i, before + passages[i % len(passages)] + after))
+        own[i] = before + after if i >= len(passages) else rows[i][1]
+    # The first of a text is blank, and a short sentence alone is not a run.
+    rows += [(100, "\n one. "), (101, "\n one. ")]
+    own |= dict(rows[-2:])
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op4_substring_dedup"](spark, str(tmp_path))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == own
+
+
 def test_odd_documents_and_an_empty_table(odd, none):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     want = brute_force(rows)

@@ -2,8 +2,9 @@
 
 A sentence ends with its closing marks or its line. A span is a run of ``SPAN`` consecutive
 sentences, or of fewer that already hold ``WORDS`` words, so that a passage of few long
-sentences is found too. All spans are hashed and joined over all documents; sentences that
-any span but the first of its kind covers are removed.
+sentences is found too. With ``every_run``, the spans are all runs of several sentences and
+all single sentences of ``WORDS`` words. All spans are hashed and joined over all documents;
+sentences that any span but the first of its kind covers are removed.
 """
 
 from __future__ import annotations
@@ -52,32 +53,49 @@ def spans(parts: list[str], size: int = SPAN, least: int = WORDS) -> list[tuple[
     return out
 
 
+def every_span(parts: list[str], least: int = WORDS) -> list[tuple[int, int]]:
+    """Every run of two sentences, and every sentence of ``least`` words.
+
+    A longer run is covered by its runs of two, which are repeated and later wherever it is.
+    Sentences without a word, which only begin a text, are in no run.
+    """
+    words = [len(p.split()) for p in parts]
+    out = []
+    for i, n in enumerate(words):
+        if n >= max(least, 1):
+            out.append((i, i + 1))
+        if n and i + 1 < len(words) and words[i + 1]:
+            out.append((i, i + 2))
+    return out
+
+
 def _hashes(parts: list[str]) -> np.ndarray:
     import xxhash
 
     return np.array([xxhash.xxh3_64_intdigest(" ".join(p.split()).encode("utf-8", "surrogatepass")) for p in parts], np.uint64)
 
 
-def _span_rows(text: str | None, size: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _span_rows(text: str | None, size: int, least: int, every_run: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     parts = sentences(text)
-    found = spans(parts, size, least)
+    found = every_span(parts, least) if every_run else spans(parts, size, least)
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
     own = _hashes(parts)
     start, end = np.array(found, np.int32).T
     total = (end - start).astype(np.uint64)
-    for k in range(size):
+    for k in range(int((end - start).max())):
         inside = start + k < end
         total = np.where(inside, mix(total * np.uint64(0xD6E8FEB86659FD93) + own[np.minimum(start + k, len(own) - 1)]), total)
     return total.view(np.int64), start, end
 
 
-def dedup_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SPAN, least: int = WORDS) -> DataFrame:
+def dedup_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SPAN, least: int = WORDS, every_run: bool = False) -> DataFrame:
     """``doc_id``, ``n_sentences``, ``n_removed``, ``first_docs`` and the remaining ``text`` of every document.
 
     The first of equal spans is that of the smallest id (null last), then of the smaller
     text hash, then the earlier one; ``first_docs`` lists the documents that hold the first
-    copies of what was removed. Sentences are compared up to white space. A null text stays
+    copies of what was removed. ``every_run`` takes the spans of ``every_span``, for which
+    ``size`` does not count. Sentences are compared up to white space. A null text stays
     null and an empty one empty. Rows that repeat id and text get the same result; an empty
     table gives an empty result, other columns are ignored.
     """
@@ -88,7 +106,7 @@ def dedup_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
 
     def cut(batches):
         for batch in slices(batches, "text"):
-            got = [_span_rows(t, size, least) for t in batch.column("text").to_pylist()]
+            got = [_span_rows(t, size, least, every_run) for t in batch.column("text").to_pylist()]
             at = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([g[0] for g in got])), batch.column("doc").take(pa.array(at)), batch.column("row").take(pa.array(at)),
