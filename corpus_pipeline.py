@@ -16,6 +16,9 @@ from tidemirror.llm.shared import stored
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # A language that is less likely than this is not accepted.
 SURE = 0.5
+# A repeated line goes by itself if it has so many words, or occurs more often than that.
+LINE_WORDS = 4
+LINE_COPIES = 20
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +30,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs go, and documents of which nothing but blank lines is left."""
-    cleaned = line_dedup.dedup_lines(docs)
+    cleaned = line_dedup.dedup_lines(docs, min_words=LINE_WORDS, max_copies=LINE_COPIES)
     left = (F.col("n_removed") == 0) | F.col("text").rlike(line_dedup.NOT_BLANK)
     return cleaned.where(left).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 

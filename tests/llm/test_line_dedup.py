@@ -100,6 +100,19 @@ def test_repeated_rows_take_part_once(spark):
     assert got == {(1, long, 0, 0): 2, (2, "own", 100, 64): 1, (None, loose, 0, 0): 1000}
 
 
+def test_the_pipeline_counts_words_and_copies_of_single_lines(spark):
+    import corpus_pipeline as P
+
+    # Four words; three words in more than 20 copies, and in fewer; no letter.
+    tails = lambda i: ["Released under MIT terms.", "All rights reserved."] + ["See it below."] * (i < 20) + ["}"]
+    rows = [(i, "\n".join(x for k, t in enumerate(tails(i)) for x in (f"own {i} {k}", t)) + f"\nown {i}", "en", "a", 0) for i in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT").repartition(4)
+    for r in P.remove_repeated_lines(spark, docs, "").collect():
+        mine = dict((i, t) for i, t, *_ in rows)[r["doc_id"]].split("\n")
+        gone = set() if r["doc_id"] == 0 else {"Released under MIT terms.", "All rights reserved."}
+        assert r["text"].split("\n") == [x for x in mine if x not in gone]
+
+
 def test_no_python_on_the_main_path(spark):
     df = spark.createDataFrame(corpus(6, 10), "doc_id BIGINT, text STRING")
     text = D.dedup_lines(df)._jdf.queryExecution().executedPlan().toString()

@@ -8,8 +8,9 @@ each round handles only what still repeats. Suffixes of one rank are an interval
 suffix array whose longest common prefix is at least that long; all but its first place,
 in document order, are later copies.
 
-A run counts when it has ``min_lines`` lines, or a line of ``min_chars`` characters. Every
-line that a later copy of such a run covers is deleted. Only DataFrame functions are used.
+A run counts when it has ``min_lines`` lines, or a line of ``min_chars`` characters. Where
+``min_words`` or ``max_copies`` is given, a line with a letter also counts when it has as
+many words, or when it occurs more often than that. Every line that a later copy of such a run covers is deleted. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ NOT_BLANK = r"[^\x20\x09-\x0D]"
 PLACE = ["doc", "row", "seq"]
 
 
-def lines(docs: DataFrame) -> DataFrame:
+def lines(docs: DataFrame, words: bool = False) -> DataFrame:
     """Every line that is not blank: its document, number among these lines, place, length and 96-bit hash.
 
-    A document is its id with a hash of its text, so rows that repeat both are one.
+    A document is its id with a hash of its text, so rows that repeat both are one. ``words``
+    adds their number, 0 for a line without a letter.
     """
     found = F.filter(
         F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("pos"), x.alias("line"))), lambda s: s["line"].rlike(NOT_BLANK)
@@ -42,15 +44,17 @@ def lines(docs: DataFrame) -> DataFrame:
         F.length("one.line").alias("chars"),
         F.xxhash64("one.line").alias("h"),
         F.hash("one.line").alias("g"),
+        *([F.when(F.col("one.line").rlike(r"\p{L}"), F.size(F.split(F.trim("one.line"), r"\s+"))).otherwise(0).alias("words")] if words else []),
     )
 
 
-def named(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Rows whose ``keys`` occur more than once, with ``rank``, the place of the keys in their order, and the first place.
+def named(rows: DataFrame, keys: list[str], name: str, copies: bool = False) -> DataFrame:
+    """Rows whose ``keys`` occur more than once, with ``rank``, the place of the keys in their order, the first place and, if asked, ``copies``.
 
     Common keys are combined before the shuffle, and the join is one that adaptive execution splits.
     """
-    groups = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min(F.struct(*PLACE)).alias("first")).where("n > 1").drop("n")
+    groups = rows.groupBy(*keys).agg(F.count("*").alias("copies"), F.min(F.struct(*PLACE)).alias("first")).where("copies > 1")
+    groups = groups if copies else groups.drop("copies")
     ranks = surrogate_keys(groups, keys, start=-1, column="new")
     out = rows.join(ranks, keys).drop(*[k for k in keys if k == "rank" or k == "further"])
     return stored(out.withColumnRenamed("new", "rank"), name)
@@ -59,9 +63,11 @@ def named(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 def intervals(rows: DataFrame, rounds: int = 62):
     """Yields, for prefixes of 1, 2, 4 … lines, the suffixes that share theirs with another.
 
-    Columns: the place, ``rank`` and ``first``, the first place of the rank.
+    Columns: the place, ``rank`` and ``first``, the first place of the rank; single lines
+    with ``words`` have that and ``copies`` too.
     """
-    level = named(rows, ["h", "g"], "lines-1").select(*PLACE, "pos", "chars", "rank", "first")
+    more = ["words", "copies"] if "words" in rows.columns else []
+    level = named(rows, ["h", "g"], "lines-1", bool(more)).select(*PLACE, "pos", "chars", *more, "rank", "first")
     for k in range(rounds):
         yield 1 << k, level
         here = level.select(*PLACE, "rank")
@@ -76,14 +82,21 @@ def _later() -> F.Column:
     return F.struct(*PLACE) > F.col("first")
 
 
-def deleted(rows: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+def deleted(
+    rows: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS, min_words: int | None = None, max_copies: int | None = None
+) -> DataFrame:
     """``doc``, ``row``, ``removed`` (places of deleted lines) and ``run_lines``, the longest power of two of repeated lines."""
+    counts = F.col("chars") >= min_chars
+    if min_words is not None:
+        counts |= F.col("words") >= max(min_words, 1)
+    if max_copies is not None:
+        counts |= (F.col("words") > 0) & (F.col("copies") > max_copies)
     marks, depth, ones, whole, last = None, None, None, None, None
     for length, level in intervals(rows):
         copies = level.where(_later())
         if length == 1:
             ones = level.select(*PLACE, "pos")
-            found = copies if min_lines <= 1 else copies.where(F.col("chars") >= min_chars)
+            found = copies if min_lines <= 1 else copies.where(counts)
             marks = found.select(*PLACE)
         if length <= min_lines:
             whole, last = length, level
@@ -103,7 +116,15 @@ def deleted(rows: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CH
     return places.join(depth.groupBy("doc", "row").agg(F.max("run_lines").alias("run_lines")), ["doc", "row"])
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    min_lines: int = MIN_LINES,
+    min_chars: int = MIN_CHARS,
+    min_words: int | None = None,
+    max_copies: int | None = None,
+) -> DataFrame:
     """All columns with ``text`` without its deleted lines, and ``n_lines``, ``n_removed`` and ``run_lines``.
 
     The first copy of a run is that of the smallest id, null ids last. Blank lines are never deleted and
@@ -114,7 +135,9 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     keyed = docs.drop("n_lines", "n_removed", "run_lines").withColumns(
         {"_doc": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1)), "_row": F.xxhash64(F.col(doc_id).cast("bigint"), F.col(text))}
     )
-    gone = deleted(lines(keyed.select(F.col("_doc").alias("doc"), F.col("_row").alias("row"), F.col(text).alias("text"))), min_lines, min_chars)
+    texts = keyed.select(F.col("_doc").alias("doc"), F.col("_row").alias("row"), F.col(text).alias("text"))
+    words = min_words is not None or max_copies is not None
+    gone = deleted(lines(texts, words), min_lines, min_chars, min_words, max_copies)
     gone = gone.select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("removed").alias("_removed"), "run_lines")
     parts = F.split(text, "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "_removed")
