@@ -116,3 +116,16 @@ def test_registers_hold_leading_zeros_and_mantissa():
     assert registers[3] == (15 + 1) << M.MANTISSA and (registers > 0).sum() == 1
     assert not np.frombuffer(M.sketch(np.zeros(0, np.uint64)), "<u2").any()
     assert len(M.shingles(pa.array(["a b c", "a b c d e f", None]))[1]) == 2
+
+
+def test_members_of_the_main_component_meet_strays_alone(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK", 10)
+    hits = spark.createDataFrame([(7, 0, rep) for rep in range(1000)], "band BIGINT, nth INT, rep BIGINT")
+    components = spark.createDataFrame([(rep, 0) for rep in range(985)], "node BIGINT, component BIGINT")
+    rows = M.meetings(hits, components).collect()
+    # 985 in 99 blocks meet the two blocks of 15 strays, which meet all 101.
+    assert len(rows) == 985 * 2 + 15 * 101
+    where = {}
+    for r in rows:
+        where.setdefault(r["rep"], set()).add((r["i"], r["j"]))
+    assert all(where[a] & where[b] for a in range(985, 1000) for b in range(1000))

@@ -238,22 +238,34 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, with_fields(docs.drop("text").schema, hashes="binary"))
 
 
-def apart(hits: DataFrame, components: DataFrame, reps: DataFrame) -> DataFrame:
-    """Likely links between documents of one band in different components.
+def meetings(hits: DataFrame, components: DataFrame) -> DataFrame:
+    """Every document of a band as often as its block meets another, with the two blocks ``i`` and ``j``.
 
-    Documents outside a band's largest component are compared with all of other components;
-    two of the largest one need no comparison. A band is cut into blocks, and two blocks of
-    it meet in one task.
+    The strays of a band, those outside its largest component, have the first blocks and
+    meet all blocks; the others meet the blocks of strays alone.
     """
     at = hits.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
         "band", "nth", "rep", F.coalesce("component", "rep").alias("component")
     )
     sizes = at.groupBy("band", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("kinds"), F.sum("n").alias("n"))
-    mixed = mixed.where("kinds > 1").select("band", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    at = at.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    met = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("band", "nth", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "main", "rep", "component")
+    mixed = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.count("*").alias("kinds"), F.sum("n").alias("n"))
+    at = at.join(mixed.where("kinds > 1").drop("kinds"), "band")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    at = at.withColumns({"strays": blocks(F.col("n") - F.col("n_main")), "mains": blocks(F.col("n_main")), "is_main": F.col("component") == F.col("main")})
+    own = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    at = at.withColumn("block", F.when(F.col("is_main"), F.col("strays") + own(F.col("mains"))).otherwise(own(F.col("strays"))))
+    met = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("strays") + F.when(F.col("is_main"), 0).otherwise(F.col("mains")) - 1)))
+    return met.select("band", "nth", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "main", "rep", "component")
+
+
+def apart(hits: DataFrame, components: DataFrame, reps: DataFrame) -> DataFrame:
+    """Likely links between documents of one band in different components.
+
+    Documents outside a band's largest component are compared with all of other components;
+    two of the largest one need no comparison. A band is cut into blocks, and two blocks of
+    it, of which one holds strays, meet in one task.
+    """
+    met = meetings(hits, components)
     rows = met.join(reps, "rep").select(*met.columns, "n_shingles", "sketch")
     key = ["band", "i", "j"]
 
