@@ -82,3 +82,12 @@ def test_training_follows_the_regularised_leader():
     assert np.allclose(w[0], [-want, want]) and np.allclose(b, [-want, want]) and not w[1].any()
     strict = L.Settings(buckets=2, epochs=1, l1=1.0)
     assert not L.train([(np.array([0]), np.array([1.0]))], np.array([1]), 2, strict)[0].any()
+
+
+def test_rows_without_ids_are_sampled_one_by_one(spark):
+    rows = [(None, f"{w} {w} {i}", lang) for i in range(2000) for w, lang in (("alpha beta", "en"), ("zeta óñ", "es"))]
+    df = spark.createDataFrame([*rows, *[(None, "one text", "en")] * 2000], "doc_id BIGINT, text STRING, lang STRING")
+    model = L.fit(df, settings=L.Settings(sample=200))
+    assert model.languages == ["en", "es"]
+    got = L.predict(spark.createDataFrame([(1, "alpha beta alpha"), (2, "zeta óñ zeta")], "doc_id BIGINT, text STRING"), model)
+    assert {r["doc_id"]: r["lang_pred"] for r in got.collect()} == {1: "en", 2: "es"}

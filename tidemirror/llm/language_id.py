@@ -154,8 +154,9 @@ def document_frequencies(texts: DataFrame, s: Settings) -> tuple[np.ndarray, int
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: Column | str = "doc_id", settings: Settings | None = None) -> Model:
     """Learn from all rows that have a text with a letter and a language.
 
-    ``key`` orders the sample by hash; each language gives as many rows as fit into
-    ``settings.sample``. Without such rows the model knows no language.
+    ``key`` and the text order the sample by hash; each language gives as many rows as fit
+    into ``settings.sample``. Rows that repeat language, key and text are learned from once.
+    Without such rows the model knows no language.
     """
     s = settings or Settings()
     key = F.col(key) if isinstance(key, str) else key
@@ -168,10 +169,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: Column | s
     each = s.sample // max(len(sizes), 1)
     # A hash picks about twice the rows wanted before they are ordered, so no large group is sorted.
     share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, 2 * each / n))) for k, n in sizes.items()]) if sizes else F.lit(0.0)
-    place = F.pmod(F.xxhash64("key", F.lit(s.seed)), F.lit(1 << 40)) / float(1 << 40)
-    picked = usable.where(place < share).withColumn("place", place)
+    place = F.pmod(F.xxhash64("key", "text", F.lit(s.seed)), F.lit(1 << 40)) / float(1 << 40)
+    # Equal rows share a place, so they are combined before the sort.
+    picked = usable.withColumn("place", place).where(F.col("place") < share).select("lang", "place", "text").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))
-    sample = picked.withColumn("rank", rank).where(F.col("rank") <= each).drop("rank", "key")
+    sample = picked.withColumn("rank", rank).where(F.col("rank") <= each).drop("rank")
 
     def run(batches):
         for batch in slices(batches, "text"):
