@@ -74,3 +74,62 @@ RULES = rf"""
                  + 32 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT AS failed FROM k)
     SELECT *, failed & 3 <> 0 AS base_failed, failed & 31 = 0 AS kept FROM f
 """
+
+FILL_MIDDLE = r"""
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+                      sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    k AS (SELECT *, len(units) AS n, [('0x' || h[8 * i + 1:8 * i + 8])::BIGINT for i in range(4)] AS x FROM t),
+    c AS (SELECT *, least(x[1] % (n + 1), x[2] % (n + 1)) AS a, greatest(x[1] % (n + 1), x[2] % (n + 1)) AS b,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR x[3] % 100 >= 90 THEN 'plain'
+                      WHEN x[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k),
+    p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+                 array_to_string(units[b + 1:], '') AS suffix FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM p
+"""
+
+# The remainder of a division by 3 of the CRC-32 of a number's digits.
+_CRC_STEP = "list_reduce([{x}, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))"
+_CRC = f"xor(list_reduce([4294967295::UBIGINT] || [ord(d)::UBIGINT for d in string_split(doc_id::VARCHAR, '')], lambda s, d: {_CRC_STEP.format(x='xor(s, d)')}), 4294967295)"
+
+
+def _told(value: str) -> str:
+    return f"coalesce(octet_length(encode(({value})::VARCHAR)) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_told, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+
+
+# Nodes of every level; a tree ends with the level that has one.
+_TREE = """
+    {name} AS (SELECT tree, 0 AS level, pos, node, count(*) OVER (PARTITION BY tree) AS n FROM {leaves}
+          UNION ALL SELECT tree, level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 7) // 8 FROM {name}
+                    WHERE n > 1 GROUP BY tree, level, pos // 8)
+"""
+
+# A step up: the siblings of a node stand before and after it in its run of eight.
+_BEFORE, _AFTER = "substr(nodes, 1, (pos % 8 * 64)::BIGINT)", "substr(nodes, (pos % 8 * 64 + 65)::BIGINT)"
+_CLIMB = f"up.level + 1, pos // 8, sha256({_BEFORE} || folded || {_AFTER}), proof || {_BEFORE} || {_AFTER}"
+
+MERKLE = f"""
+    WITH RECURSIVE d AS (SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_leaf("text")} AS node, doc_id IS NOT NULL AND {_CRC} % 3 = 0 AS hit,
+              {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS other FROM documents),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, node) - 1 AS pos FROM d),
+    {_TREE.format(name="g", leaves="leaves")},
+    tops AS (SELECT '' AS tree, tree AS name, node, row_number() OVER (ORDER BY tree) - 1 AS pos FROM g WHERE n = 1),
+    {_TREE.format(name="a", leaves="tops")},
+    gr AS (SELECT tree, level, pos // 8 AS run, string_agg(node, '' ORDER BY pos) AS nodes FROM g WHERE n > 1 GROUP BY tree, level, pos // 8),
+    ar AS (SELECT tree, level, pos // 8 AS run, string_agg(node, '' ORDER BY pos) AS nodes FROM a WHERE n > 1 GROUP BY tree, level, pos // 8),
+    up AS (SELECT tree AS own, pos AS spot, 0 AS level, pos, CASE WHEN hit THEN other ELSE node END AS folded, '' AS proof FROM leaves
+           UNION ALL SELECT own, spot, {_CLIMB} FROM up JOIN gr ON gr.tree = own AND gr.level = up.level AND run = pos // 8),
+    half AS (SELECT own, spot, folded, proof FROM up JOIN (SELECT tree, level FROM g WHERE n = 1) e ON e.tree = own AND e.level = up.level),
+    more AS (SELECT own, spot, 0 AS level, tops.pos, folded, proof FROM half JOIN tops ON name = own
+             UNION ALL SELECT own, spot, {_CLIMB.replace("up.", "more.").replace("gr.", "ar.")} FROM more JOIN ar ON ar.level = more.level AND run = pos // 8),
+    whole AS (SELECT own, spot, folded, proof FROM more JOIN (SELECT level FROM a WHERE n = 1) e ON e.level = more.level)
+    SELECT doc_id, leaves.node AS leaf, tops.node AS subroot, a.node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = a.node AS verified
+    FROM whole JOIN leaves ON leaves.tree = own AND leaves.pos = spot JOIN tops ON name = own JOIN a ON a.n = 1
+"""

@@ -3,11 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemirror.llm import bpe, embedding_dedup, language_id, line_dedup, minhash_dedup, mixing, oracles, quality_classifier, quality_rules, secret_scan, substring_dedup
+from tidemirror.llm import (
+    bpe,
+    embedding_dedup,
+    fill_middle,
+    language_id,
+    line_dedup,
+    merkle,
+    minhash_dedup,
+    mixing,
+    oracles,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sharding,
+    substring_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,3 +135,49 @@ def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """Documents sampled towards those labelled good and not toxic."""
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     return quality_classifier.resample(documents(spark, sf), labels.where("quality = 1 AND toxic = 0"))
+
+
+@query()
+def op11_shard(spark: SparkSession, sf: str) -> DataFrame:
+    """The shard of every document and its slot there."""
+    return sharding.assign(documents(spark, sf).select("doc_id", "text"), keep=["doc_id"])
+
+
+@query(oracles.FILL_MIDDLE)
+def op12_fill_middle(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document cut and put together for fill-in-middle, as digests."""
+    made = fill_middle.transform(documents(spark, sf).select("doc_id", "text"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def tampered(field: str) -> Column:
+    """A field after the tampering: texts lose their capital letters."""
+    return F.translate("text", ascii_uppercase, ascii_lowercase) if field == "text" else F.col(field)
+
+
+@query(oracles.MERKLE)
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether its proof still leads a tampered one to the root."""
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    other = F.when(hit, merkle.leaf([tampered(f) for f in FIELDS]))
+    whole = merkle.manifest(documents(spark, sf), fields=FIELDS, carry={"doc_id": F.col("doc_id"), "other": other})
+    rows = merkle.proofs(whole, ["doc_id", "other"])
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(), 256).alias("proof_sha256"),
+        merkle.folded(F.coalesce("other", "leaf")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
