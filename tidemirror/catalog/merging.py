@@ -11,8 +11,8 @@ from tidemirror.operators import reconcile as R
 from tidemirror.operators.children import cascade, replace_children, replace_relations
 from tidemirror.operators.lookup import lookup
 from tidemirror.operators.upsert import ACTION, action_counts, surrogate_keys, upsert
-from tidemirror.session import shared_dir
-from tidemirror.warehouse import BUCKET, Warehouse
+from tidemirror.session import checkpointed, shared_dir
+from tidemirror.warehouse import Layout, Warehouse, slice_of
 
 _TARGET = f"SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{LOADED_UNTIL}'"
 
@@ -62,9 +62,10 @@ def upsert_merge(spark, sf):
     return upsert(target(spark, sf), batch(spark, sf), "o_orderkey")
 
 
-def published(spark, rows, name: str, key: str, buckets: int = 16) -> Warehouse:
+def published(spark, rows, name: str, key: str, slices: int = 16) -> Warehouse:
     """Rows as a published table of a warehouse of its own."""
-    house = Warehouse(spark, f"{shared_dir(spark)}/merge-{uuid4().hex}", "merging", buckets=buckets)
+    mark = uuid4().hex
+    house = Warehouse(spark, f"{shared_dir(spark)}/merge-{mark}", f"merge_{mark}", Layout(slices))
     house.replace(rows, name, key)
     return house
 
@@ -75,12 +76,12 @@ def stamped(rows, at: str = FIRST_TS):
 
 
 def merge_stamped(part, changed):
-    return upsert(part, changed, [BUCKET, "o_orderkey"], run_ts=RUN_TS)
+    return upsert(part, changed, "o_orderkey", run_ts=RUN_TS)
 
 
 @query(_MERGED)
 def upsert_merge_small_batch(spark, sf):
-    """The same merge into a published table, of which only the touched buckets are rewritten."""
+    """The same merge into a published table, of which only the touched slices are rewritten."""
     house = published(spark, stamped(target(spark, sf)), "orders", "o_orderkey")
     house.change("orders", batch(spark, sf), merge_stamped).commit()
     now = F.lit(RUN_TS).cast("timestamp_ntz")
@@ -97,17 +98,18 @@ _FEW = "o_orderkey % 1000 = 7"
     FROM orders
 """)
 def merge_touched_buckets(spark, sf):
-    """A few changed orders: exactly the buckets their keys fall into get a new folder."""
+    """A few changed orders: exactly the slices their keys fall into get new files."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     few = orders.filter(_FEW).withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    house = published(spark, orders, "orders", "o_orderkey", buckets=64)
-    before = house.manifest("orders")
-    house.change("orders", few, lambda part, changed: upsert(part, changed, [BUCKET, "o_orderkey"])).commit()
-    after = house.manifest("orders")
-    rewritten = {b for b in after.folders if after.folders[b] != before.folders.get(b)}
-    buckets = house.placed(after, few).select(BUCKET).distinct().withColumn("touched", F.lit(True))
-    rows = house.placed(after, house.read("orders")).join(F.broadcast(buckets), BUCKET, "left")
-    same = F.coalesce("touched", F.lit(False)) == F.col(BUCKET).isin(*rewritten)
+    house = published(spark, orders, "orders", "o_orderkey", slices=64)
+    files = lambda: house.read("orders").select(slice_of("o_orderkey", 64).alias("slice"), "*", "_metadata.file_path")
+    # One row per file.
+    before = files().select("slice", "file_path").distinct().withColumn("old", F.lit(True))
+    before = F.broadcast(checkpointed(spark, before))
+    house.change("orders", few, lambda part, changed: upsert(part, changed, "o_orderkey")).commit()
+    touched = few.select(slice_of("o_orderkey", 64).alias("slice")).distinct().withColumn("touched", F.lit(True))
+    rows = files().join(before, ["slice", "file_path"], "left").join(F.broadcast(touched), "slice", "left")
+    same = F.coalesce("touched", F.lit(False)) == F.col("old").isNull()
     return rows.select("o_orderkey", "o_totalprice", same.alias("rewritten_if_touched"))
 
 

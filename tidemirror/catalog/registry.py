@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemirror.session import shared_dir
@@ -51,13 +51,15 @@ def land(
     empty_end: bool = False,
     single: bool = False,
     wrap: Callable[[Column], Column] | None = None,
+    dense: bool = False,
 ) -> DataFrame:
     """Rows written as page files and read back, at most 100 records of a unique key range per page.
 
     A null record takes its place but is not served. ``empty_end`` adds the page
     without records that ends a scan whose pages do not say how many there are.
     ``single`` makes every page the only one of a view of its own; ``wrap`` turns the
-    records of a page into what the page lists.
+    records of a page into what the page lists. ``dense`` numbers a view's pages without
+    gaps, as a source does that serves changed rows only.
     """
     spark = rows.sparkSession
     several = isinstance(view, Column)
@@ -67,6 +69,12 @@ def land(
         (F.lit(1) if single else number).alias("page"),
         F.struct(F.col(key).alias("_key"), record.alias("_rec")).alias("_one"),
     )
+    if dense:
+        # One row per page.
+        place = F.row_number().over(Window.partitionBy("view_id").orderBy("page"))
+        pages = placed.select("view_id", "page").distinct().withColumn("_place", place)
+        same = placed["view_id"].eqNullSafe(pages["view_id"]) & (placed["page"] == pages["page"])
+        placed = placed.join(pages, same).select(placed["view_id"], F.col("_place").alias("page"), "_one")
     paged = placed.groupBy("view_id", "page").agg(F.array_sort(F.collect_list("_one")).alias("_all"))
     if several:
         # One row per view: a handful of views is what a source has.

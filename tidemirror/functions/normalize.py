@@ -2,8 +2,7 @@
 
 Each function takes the raw value as a column name or SQL expression, as text (or
 VARIANT where a missing key and an explicit null differ), and gives a column. None
-raises on bad input. Wide projections call these dozens of times, which is why they
-hand Spark one SQL text each instead of a tree of single calls.
+raises on bad input.
 """
 
 from __future__ import annotations
@@ -39,6 +38,9 @@ _HALF_DAY, _DAY = " h:mm[:ss] a", "[ H:mm[:ss]]"
 _WEEKDAY = "^ *(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,? +"
 _ZONE = "(:[0-9]{2})(?:[.,][0-9]+)? *(?:Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2})? *$"
 
+# The commonest of them, read with one fixed format: "Tue, 05 Mar 2024 10:11:12 GMT".
+_MAIL = "^ *(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun), ([0-9]{2} [A-Za-z]{3} [0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2}) *(?:Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2})? *$"
+
 # A full date, then a time; sub-seconds and the offset fall outside the group, so
 # they are dropped without a conversion. A bare cast would complete "2024" or "2024-03".
 _ISO = (
@@ -49,41 +51,41 @@ _ISO = (
 
 def parse_ts(raw: str) -> Column:
     """Lenient timestamp: offset dropped unconverted, sub-seconds cut, range checked."""
-    return F.expr(_ts(raw))
+    return F.expr(ts_sql(raw))
 
 
 def parse_date(raw: str) -> Column:
-    return F.expr(f"CAST({_ts(raw)} AS DATE)")
+    return F.expr(date_sql(raw))
 
 
 def to_bit(raw: str) -> Column:
     """Null stays null, a true text is true, anything else is false."""
-    return F.expr(_bit(raw))
+    return F.expr(bit_sql(raw))
 
 
 def truthy_bit(value: str) -> Column:
     """VARIANT to bit: missing, null, false, zero and empty are false, the rest true."""
-    return F.expr(f"""coalesce(to_json({value}) NOT IN ('null', 'false', '0', '""', '[]', '{{}}'), false)""")
+    return F.expr(truthy_sql(value))
 
 
 def default_if_missing(value: str, default: bool, sql_type: str = "boolean") -> Column:
     """VARIANT to typed value: the default for a missing key, null for an explicit null."""
-    typed_value = f"try_variant_get({value}, '$', '{sql_type}')"
-    return F.expr(f"CASE WHEN {value} IS NULL THEN CAST('{default}' AS {sql_type}) ELSE {typed_value} END")
+    return F.expr(default_sql(value, default, sql_type))
 
 
 def join_list(items: str, separator: str = ",") -> Column:
     """Text of a list; a null or empty list gives an empty text."""
-    return F.expr(f"concat_ws('{separator}', {items})")
+    return F.expr(joined_sql(items, separator))
 
 
 def first_element(items: str, field: str) -> Column:
     """One field of a list's first struct, null for a missing or empty list."""
-    return F.expr(_first(items, field))
+    return F.expr(first_sql(items, field))
 
 
-def first_typed(items: str, field: str, sql_type: str) -> Column:
-    return typed(_first(items, field), sql_type)
+def typed(raw: str, sql_type: str) -> Column:
+    """Text to ``sql_type``; null where it cannot be read."""
+    return F.expr(typed_sql(raw, sql_type))
 
 
 def flatten_json_fields(raw: str, fields: dict[str, str]) -> list[Column]:
@@ -93,28 +95,32 @@ def flatten_json_fields(raw: str, fields: dict[str, str]) -> list[Column]:
     texts, which keeps the spelling of numbers and booleans.
     """
     found = f"from_json({raw}, 'map<string,string>')"
-    return [typed(f"{found}['{name}']", kind).alias(name) for name, kind in fields.items()]
+    return [F.expr(typed_sql(f"{found}['{name}']", kind)).alias(name) for name, kind in fields.items()]
 
 
-def typed(raw: str, sql_type: str) -> Column:
+# The same as SQL texts. A wide projection is one list of them, which plans much faster
+# than a tree of single calls.
+
+
+def typed_sql(raw: str, sql_type: str) -> str:
     """Text to ``sql_type`` by the rules above; null where it cannot be read."""
     kind = sql_type.lower()
     if kind in ("bit", "boolean"):
-        return to_bit(raw)
+        return bit_sql(raw)
     if kind == "timestamp_ntz":
-        return parse_ts(raw)
+        return ts_sql(raw)
     if kind == "date":
-        return parse_date(raw)
+        return date_sql(raw)
     if kind == "string":
-        return F.expr(raw)
+        return raw
     if kind in ("bigint", "int"):
         # A JSON number such as 5.0 is no integer text; its fraction is cut.
         cut = f"try_cast(try_cast({raw} AS DECIMAL(38,6)) AS {kind})"
-        return F.expr(f"coalesce(try_cast({raw} AS {kind}), {cut})")
-    return F.expr(f"try_cast({raw} AS {sql_type})")
+        return f"coalesce(try_cast({raw} AS {kind}), {cut})"
+    return f"try_cast({raw} AS {sql_type})"
 
 
-def _ts(raw: str) -> str:
+def ts_sql(raw: str) -> str:
     iso = f"try_cast(regexp_extract({raw}, '{_ISO}', 1) AS TIMESTAMP_NTZ)"
     plain = f"trim(regexp_replace(regexp_replace(r, '{_WEEKDAY}', ''), '{_ZONE}', '$1'))"
     date = " ".join(f"WHEN p RLIKE '{shape}' THEN '{form}'" for shape, form in OTHER_DATES)
@@ -124,15 +130,34 @@ def _ts(raw: str) -> str:
     # which a row of many times would otherwise make too long to compile.
     read = f"CAST(try_to_timestamp(p, {form}) AS TIMESTAMP_NTZ)"
     other = f"get(transform(transform(array({raw}), r -> {plain}), p -> {read}), 0)"
-    found = f"coalesce({iso}, {other})"
+    mail = f"CAST(try_to_timestamp(nullif(regexp_extract({raw}, '{_MAIL}', 1), ''), 'dd MMM yyyy HH:mm:ss') AS TIMESTAMP_NTZ)"
+    found = f"coalesce({iso}, {mail}, {other})"
     low, high = f"TIMESTAMP_NTZ '{MIN_TIMESTAMP}'", f"TIMESTAMP_NTZ '{MAX_TIMESTAMP}'"
-    return f"CASE WHEN {found} BETWEEN {low} AND {high} THEN {found} END"
+    # A list of one text again: it is read once, whatever is asked of it.
+    return f"get(filter(array({found}), t -> t BETWEEN {low} AND {high}), 0)"
+
+
+def date_sql(raw: str) -> str:
+    return f"CAST({ts_sql(raw)} AS DATE)"
 
 
-def _bit(raw: str) -> str:
+def bit_sql(raw: str) -> str:
     texts = ", ".join(f"'{text}'" for text in TRUE_TEXTS)
     return f"CASE WHEN {raw} IS NOT NULL THEN lower({raw}) IN ({texts}) END"
 
 
-def _first(items: str, field: str) -> str:
+def truthy_sql(value: str) -> str:
+    return f"""coalesce(to_json({value}) NOT IN ('null', 'false', '0', '""', '[]', '{{}}'), false)"""
+
+
+def default_sql(value: str, default: bool, sql_type: str = "boolean") -> str:
+    typed_value = f"try_variant_get({value}, '$', '{sql_type}')"
+    return f"CASE WHEN {value} IS NULL THEN CAST('{default}' AS {sql_type}) ELSE {typed_value} END"
+
+
+def joined_sql(items: str, separator: str = ",") -> str:
+    return f"concat_ws('{separator}', {items})"
+
+
+def first_sql(items: str, field: str) -> str:
     return f"get({items}, 0).`{field}`"

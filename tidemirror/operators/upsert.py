@@ -60,7 +60,7 @@ def upsert(
     newer ones.
 
     Both sides meet in one full outer join. For a published table it gets only the
-    buckets that the batch touches, see ``Warehouse.change``.
+    slices that the batch touches, see ``Warehouse.change``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     batch = latest_per_key(batch, keys, order) if order else one_row_per_key(batch, keys)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -19,11 +20,15 @@ from tidemirror.operators.children import replace_children, replace_relations
 from tidemirror.operators.reports import run_steps
 from tidemirror.operators.upsert import ACTION, CREATED, action_metrics, surrogate_keys, upsert
 from tidemirror.plans.entities import REGISTRY, ChildSpec, EntitySpec, select_entities, stored_type
-from tidemirror.plans.project import UNREADABLE, envelope_type, project, project_children, unwrap
+from tidemirror.plans.project import RECORD, UNREADABLE, envelope_type, project, project_children, record_type, unwrap
 from tidemirror.sources import pages as P
-from tidemirror.warehouse import BUCKET, Pending, Warehouse
+from tidemirror.warehouse import Pending, Warehouse
 
 AUDIT_TABLE = "etl_control"
+QUARANTINE_TABLE = "etl_quarantine"
+QUARANTINE_SCHEMA = "entity_name STRING, rejected_at TIMESTAMP_NTZ, reasons ARRAY<STRING>, record STRING"
+# The table property that holds the highest surrogate key given so far.
+TOP = "mirror.top"
 
 
 @dataclass
@@ -79,20 +84,13 @@ class Job:
 
 
 def ensure_tables(warehouse: Warehouse, specs: list[EntitySpec] | None = None) -> None:
-    """Create what is missing: the entities' tables, their child tables, new columns, and the audit table."""
+    """Create what is missing: the entities' tables, their child tables, new columns, the audit and the quarantine table."""
     for spec in REGISTRY.values() if specs is None else specs:
-        _ensure(warehouse, spec.name, spec.table_schema, spec.key)
+        warehouse.create(spec.name, spec.table_schema, spec.key)
         for child in spec.children:
-            _ensure(warehouse, child.table, _child_schema(child), child.parent_column)
-    if not warehouse.exists(AUDIT_TABLE):
-        warehouse.append(C.audit_rows(warehouse.spark, [], C.AUDIT_SCHEMA), AUDIT_TABLE)
-
-
-def _ensure(warehouse: Warehouse, table: str, schema: T.StructType, key: str) -> None:
-    if warehouse.exists(table):
-        warehouse.widen(table, schema)
-    else:
-        warehouse.replace(warehouse.spark.createDataFrame([], schema), table, key)
+            warehouse.create(child.table, _child_schema(child), child.parent_column)
+    warehouse.create(AUDIT_TABLE, T.StructType.fromDDL(C.AUDIT_SCHEMA))
+    warehouse.create(QUARANTINE_TABLE, T.StructType.fromDDL(QUARANTINE_SCHEMA))
 
 
 def run(job: Job, entity: str | None = None) -> DataFrame:
@@ -129,9 +127,9 @@ def run(job: Job, entity: str | None = None) -> DataFrame:
 def load_entity(job: Job, spec: EntitySpec, mode: str = C.FULL, watermark: datetime | None = None) -> Outcome:
     """Read, project, upsert, replace children and reconcile one entity.
 
-    All rows are written before the first table is published, so an error while reading or
-    writing leaves every published table as it was; it is told in the outcome. Should the
-    job die between two publications, the next run reads the same changes and repeats them.
+    All rows are read, projected and checked before the first table changes, so an error there
+    leaves every table as it was; it is told in the outcome. Should the job die between two
+    tables, the next run reads the same changes and repeats them.
     """
     began = time.monotonic()
     done = Outcome(spec.name, job.run_ts)
@@ -143,9 +141,11 @@ def load_entity(job: Job, spec: EntitySpec, mode: str = C.FULL, watermark: datet
     return done
 
 
-def _heads(house: Warehouse, pages: DataFrame, spec: EntitySpec, name: str) -> DataFrame:
-    """Heads without bodies, written once; whatever asks about pages reads these."""
-    return house.stage(P.page_heads(pages, spec.page_key), f"{spec.name}-{name}")
+def _heads(house: Warehouse, pages: DataFrame, spec: EntitySpec, name: str) -> tuple[DataFrame, int]:
+    """Heads without bodies, written once, and their number; whatever asks about pages reads these."""
+    count = Observation()
+    heads = house.stage(P.page_heads(pages, spec.page_key).observe(count, F.count("*").alias("pages")), f"{spec.name}-{name}")
+    return heads, count.get["pages"]
 
 
 def _whole(ends: DataFrame, views: list[int] | None) -> bool:
@@ -157,40 +157,65 @@ def _whole(ends: DataFrame, views: list[int] | None) -> bool:
 def _load(job: Job, spec: EntitySpec, mode: str, watermark, done: Outcome) -> None:
     house, views = job.warehouse, job.views.get(spec.name)
     pages = _pages_of(job.pages, spec, views)
-    heads = _heads(house, pages, spec, "heads")
-    done.pages = heads.count()
+    heads, done.pages = _heads(house, pages, spec, "heads")
     ends = P.view_ends(heads, spec.scan)
     whole = _whole(ends, views)
 
     read = unwrap(P.read_pages(pages, spec.page_key, envelope_type(spec), spec.scan, ends), spec)
     if spec.date_field and mode == C.INCREMENTAL:
         read = P.since(read, parse_ts(f"rec.`{spec.date_field}`"), watermark, keep_unknown=True)
-    read_count = Observation()
-    records = house.stage(
-        _last_copies(read, spec, views).observe(read_count, F.count("*").alias("rows")), f"{spec.name}-records"
-    )
-    done.extracted = read_count.get["rows"]
+    # Written once: pages are parsed for this alone.
+    records = house.stage(_last_copies(read, spec, views), f"{spec.name}-records")
 
     dimensions = {d: house.read_or_none(d) for d, _ in spec.lookups.values()}
     # Written once: the checks, the merge and the reconcile all read these rows.
     seen = Observation()
     rows = project(records, spec, dimensions).observe(
-        seen, F.count_if(F.size(Q.ERRORS) > 0).alias("bad"), F.coalesce(F.sum(UNREADABLE), F.lit(0)).alias("unreadable")
+        seen,
+        F.count("*").alias("rows"),
+        F.count_if(F.size(Q.ERRORS) > 0).alias("bad"),
+        F.coalesce(F.sum(UNREADABLE), F.lit(0)).alias("unreadable"),
+        F.first(F.when(F.size(Q.ERRORS) > 0, F.col(Q.ERRORS)), ignorenulls=True).alias("example"),
     )
     checked = house.stage(rows, f"{spec.name}-rows")
-    if spec.strict:
-        Q.require_clean(checked, spec.name)
-    good, _ = Q.split(checked.drop(UNREADABLE))
-    done.failed, done.unreadable = seen.get["bad"], seen.get["unreadable"]
+    counted = seen.get
+    done.extracted, done.failed, done.unreadable = counted["rows"], counted["bad"], counted["unreadable"]
+    if done.failed:
+        _set_aside(job, spec, checked)
+        if spec.strict:
+            raise Q.RejectedBatch(f"{spec.name}: bad rows in a strict batch, first errors {counted['example']}")
+    good, _ = Q.split(checked.drop(UNREADABLE, RECORD))
     if done.extracted:
-        changes = [_merged(job, spec, good, done), *[_replaced(job, spec, child, records) for child in spec.children]]
+        counts = Observation()
+        merged = house.change(spec.name, good, partial(_merge, job, spec, counts))
+        changes = [merged, *[_replaced(job, spec, child, records) for child in spec.children]]
         for change in changes:
             change.commit()
+        if merged.touched:
+            done.inserted, done.updated = counts.get["inserted"], counts.get["updated"]
     if not whole:
         done.status, done.error = C.ERROR, "incomplete pages"
     _reconcile(job, spec, mode, whole, views, records, done)
 
 
+def _set_aside(job: Job, spec: EntitySpec, checked: DataFrame) -> None:
+    """Rejected records with their reasons, for ``quarantined`` to read again."""
+    bad = checked.filter(F.size(Q.ERRORS) > 0)
+    told = bad.select(F.lit(spec.name).alias("entity_name"), F.lit(str(job.run_ts)).cast("timestamp_ntz").alias("rejected_at"), F.col(Q.ERRORS).alias("reasons"), F.col(RECORD).alias("record"))
+    job.warehouse.append(told, QUARANTINE_TABLE)
+
+
+def quarantined(warehouse: Warehouse, spec: EntitySpec, since: datetime | None = None) -> DataFrame:
+    """Rejected records of an entity as ``project`` takes them, with ``rejected_at`` and ``reasons``.
+
+    Landed again as a page, mended ones are loaded like all others.
+    """
+    kept = warehouse.read(QUARANTINE_TABLE).filter(F.col("entity_name") == spec.name)
+    if since:
+        kept = kept.filter(F.col("rejected_at") >= F.lit(str(since)).cast("timestamp_ntz"))
+    return kept.select(F.from_json("record", record_type(spec)).alias("rec"), "rejected_at", "reasons")
+
+
 def _last_copies(read: DataFrame, spec: EntitySpec, views: list[int] | None) -> DataFrame:
     """One record per id, the copy read last; records without id stay, to be told as errors."""
     place = F.concat_ws("/", "view_id", "page", "pos", "item")
@@ -198,18 +223,10 @@ def _last_copies(read: DataFrame, spec: EntitySpec, views: list[int] | None) ->
     return P.dedup_views(keyed, "_id", views, ("page", "pos", "item")).select("rec")
 
 
-def _merged(job: Job, spec: EntitySpec, good: DataFrame, done: Outcome) -> Pending:
-    counts = Observation()
-
-    def merge(part: DataFrame, batch: DataFrame) -> DataFrame:
-        target = align(part, spec.table_schema, extra=True)
-        merged = upsert(target, batch, [BUCKET, spec.key], run_ts=str(job.run_ts))
-        return merged.observe(counts, *action_metrics()).drop(ACTION)
-
-    change = job.warehouse.change(spec.name, good, merge)
-    if change.touched:
-        done.inserted, done.updated = counts.get["inserted"], counts.get["updated"]
-    return change
+def _merge(job: Job, spec: EntitySpec, counts: Observation, part: DataFrame, batch: DataFrame) -> DataFrame:
+    target = align(part, spec.table_schema, extra=True)
+    merged = upsert(target, batch, spec.key, run_ts=str(job.run_ts))
+    return merged.observe(counts, *action_metrics()).drop(ACTION)
 
 
 def _pages_of(pages: DataFrame, spec: EntitySpec, views: list[int] | None) -> DataFrame:
@@ -220,23 +237,26 @@ def _pages_of(pages: DataFrame, spec: EntitySpec, views: list[int] | None) -> Da
 def _replaced(job: Job, spec: EntitySpec, child: ChildSpec, records: DataFrame) -> Pending:
     """Old rows that stay keep their surrogate keys; the batch's rows are numbered after them."""
     house, parent = job.warehouse, child.parent_column
-    manifest = house.manifest(child.table)
     new = project_children(records, spec, child)
     if child.unique:
         new = new.dropDuplicates(list(child.unique))
     stamped = new.withColumn(CREATED, F.lit(str(job.run_ts)).cast("timestamp_ntz"))
-    top = manifest.marks.get(child.surrogate, 0)
-    numbered = surrogate_keys(stamped, None, start=top, column=child.surrogate)
-    rows = house.stage(house.placed(manifest, numbered), f"{child.table}-rows")
+    top = int(house.marks(child.table).get(TOP, 0))
+    count = Observation()
+    numbered = surrogate_keys(stamped, None, start=top, column=child.surrogate).observe(count, F.count("*").alias("rows"))
+    rows = house.stage(numbered, f"{child.table}-rows")
+    # Taken before the rows are published: a number is never given twice.
+    house.mark(child.table, **{TOP: top + count.get["rows"]})
     everyone = child.replace == "all"
-    parents = records.select(F.col(f"rec.{spec.key}").cast("bigint").alias(parent)) if everyone else new.select(parent)
+    parents = records.select(F.col(f"rec.{spec.key}").cast("bigint").alias(parent)) if everyone else rows.select(parent)
 
     def swap(part: DataFrame, touched: DataFrame) -> DataFrame:
+        new = house.spread(rows, child.table)
         if everyone:
-            return replace_relations(part, rows, touched, parent)
-        return replace_children(part, rows, parent, run_ts=str(job.run_ts))
+            return replace_relations(part, new, touched, parent)
+        return replace_children(part, new, parent, run_ts=str(job.run_ts))
 
-    return house.change(child.table, parents.distinct(), swap, {child.surrogate: top + rows.count()})
+    return house.change(child.table, parents.distinct(), swap)
 
 
 def _reconcile(job: Job, spec: EntitySpec, mode: str, whole: bool, views, records: DataFrame, done: Outcome) -> None:
@@ -249,7 +269,7 @@ def _reconcile(job: Job, spec: EntitySpec, mode: str, whole: bool, views, record
         return
     else:
         swept = _pages_of(job.sweep_pages, spec, views)
-        heads = _heads(house, swept, spec, "sweep")
+        heads, _ = _heads(house, swept, spec, "sweep")
         # The load may be whole where the sweep is not, and the other way round.
         whole = whole and _whole(P.view_ends(heads, spec.scan), views)
         found = P.active_ids(swept, spec.page_key, spec.scan, views, spec.needs_view, heads)
@@ -267,8 +287,8 @@ def _reconcile(job: Job, spec: EntitySpec, mode: str, whole: bool, views, record
     for table, parent in spec.cascades:
         ids = gone.select(F.col(spec.key).alias(parent))
         done.cascade_deleted += house.read(table).join(ids, parent, "left_semi").count()
-        changes.append(house.change(table, ids, lambda part, ids, parent=parent: part.join(ids.select(parent), parent, "left_anti")))
-    changes.append(house.change(spec.name, gone, lambda part, ids: part.join(ids.select(spec.key), spec.key, "left_anti")))
+        changes.append(house.change(table, ids, lambda part, ids, parent=parent: part.join(ids, parent, "left_anti")))
+    changes.append(house.change(spec.name, gone, lambda part, ids: part.join(ids, spec.key, "left_anti")))
     for change in changes:
         change.commit()
 

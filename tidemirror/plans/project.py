@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,8 @@ from tidemirror.sources import nested
 CUSTOM = "custom_field"
 # How many times of a row were told but could not be read.
 UNREADABLE = "_unreadable"
+# The record of a row that breaks a rule, as JSON; null for other rows.
+RECORD = "_record"
 
 
 def record_type(spec: EntitySpec) -> str:
@@ -81,39 +83,40 @@ def unwrap(read: DataFrame, spec: EntitySpec) -> DataFrame:
 
 
 def project(records: DataFrame, spec: EntitySpec, dimensions: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Typed rows with their list of broken rules.
+    """Typed rows with their list of broken rules, and the record of those that break one.
 
     ``records`` has the record as struct column ``rec``; its other columns are dropped.
     """
-    columns: list[Column] = []
-    raws: list[Column] = []
+    columns: list[str] = []
+    raws: list[str] = []
     rules: list[Q.Rule] = []
     times: list[str] = []
     for f in spec.declared:
         value, raw = _value(f, spec)
-        columns.append(value.cast(stored_type(f.dataType)).alias(f.name))
+        columns.append(f"CAST({value} AS {stored_type(f.dataType).simpleString()}) AS `{f.name}`")
         if raw is not None and (f.name in spec.joined or isinstance(f.dataType, T.NumericType)):
-            raws.append(F.expr(raw).alias(f"_raw_{f.name}"))
+            raws.append(f"{raw} AS `_raw_{f.name}`")
         if raw is not None and isinstance(f.dataType, (T.TimestampNTZType, T.DateType)):
-            raws.append(F.expr(f"coalesce(trim({raw}) <> '', false)").alias(f"_told_{f.name}"))
+            raws.append(f"coalesce(trim({raw}) <> '', false) AS `_told_{f.name}`")
             times.append(f.name)
         rules += _rules(f, spec, raw is not None)
+    names = [f"`{n}`" for n in spec.declared.names]
     # Rules look at the finished columns, so no value is computed twice.
-    rows = records.select(*columns, *raws)
-    lost = " + ".join(["0", *[f"int(_told_{t} AND `{t}` IS NULL)" for t in times]])
-    rows = rows.select(*spec.declared.names, Q.error_list(rules).alias(Q.ERRORS), F.expr(lost).alias(UNREADABLE))
+    rows = records.selectExpr(*columns, *raws, f"rec AS {RECORD}")
+    lost = " + ".join(["0", *[f"int(`_told_{t}` AND `{t}` IS NULL)" for t in times]])
+    rows = rows.selectExpr(*names, f"{Q.errors_sql(rules)} AS {Q.ERRORS}", f"{lost} AS {UNREADABLE}", RECORD)
     for column, (dimension, foreign_key) in spec.lookups.items():
         rows = lookup(rows, (dimensions or {}).get(dimension), foreign_key, column)
-    return rows.select(*spec.declared.names, Q.ERRORS, UNREADABLE)
+    return rows.selectExpr(*names, Q.ERRORS, UNREADABLE, f"CASE WHEN size({Q.ERRORS}) > 0 THEN to_json({RECORD}) END AS {RECORD}")
 
 
 def _rules(f: T.StructField, spec: EntitySpec, has_raw: bool) -> list[Q.Rule]:
     """Rules of one column. Unreadable times become null and are counted; unreadable numbers are errors."""
     rules = []
     if has_raw and f.name in spec.joined:
-        rules.append(Q.no_null_items(f.name, F.col(f"_raw_{f.name}")))
+        rules.append(Q.no_null_items(f.name, f"`_raw_{f.name}`"))
     if has_raw and isinstance(f.dataType, T.NumericType):
-        rules.append(Q.readable(f.name, F.col(f"_raw_{f.name}"), F.col(f.name)))
+        rules.append(Q.readable(f.name, f"`_raw_{f.name}`", f"`{f.name}`"))
     if not f.nullable:
         rules.append(Q.required(f.name))
     if isinstance(f.dataType, T.VarcharType) and f.name not in spec.lookups:
@@ -123,39 +126,39 @@ def _rules(f: T.StructField, spec: EntitySpec, has_raw: bool) -> list[Q.Rule]:
 
 def project_children(records: DataFrame, spec: EntitySpec, child: ChildSpec) -> DataFrame:
     """Child rows or relation pairs of the batch, keyed by their parent."""
-    parent = N.typed(f"rec.`{spec.key}`", "bigint").alias(child.parent_column)
+    parent = F.expr(N.typed_sql(f"rec.`{spec.key}`", "bigint")).alias(child.parent_column)
     items = nested.nested_items(records, F.col("rec")[child.array], [parent])
     if child.item_column:
-        item = N.typed("_item", "bigint").alias(child.item_column)
-        return items.select(child.parent_column, item)
+        return items.selectExpr(child.parent_column, f"{N.typed_sql('_item', 'bigint')} AS {child.item_column}")
     columns = []
     for f in _child_fields(child):
         if f.name == child.parent_column:
-            columns.append(F.col(f.name))
+            columns.append(f"`{f.name}`")
             continue
         raw = f"_item.`{child.sources.get(f.name, f.name)}`"
-        columns.append(N.typed(raw, stored_type(f.dataType).simpleString()).alias(f.name))
-    return items.select(*columns)
+        columns.append(f"{N.typed_sql(raw, stored_type(f.dataType).simpleString())} AS `{f.name}`")
+    return items.selectExpr(*columns)
 
 
 def _child_fields(child: ChildSpec) -> T.StructType:
     return T.StructType.fromDDL(child.ddl)
 
 
-def _value(f: T.StructField, spec: EntitySpec) -> tuple[Column, str | None]:
-    """A column's value and the SQL of the raw value it was read from, if any."""
+def _value(f: T.StructField, spec: EntitySpec) -> tuple[str, str | None]:
+    """SQL of a column's value and of the raw value it was read from, if any."""
     name = f.name
     kind = stored_type(f.dataType).simpleString()
     if name in spec.lookups or name in spec.always_null:
-        return F.lit(None), None
+        return "NULL", None
     if name in spec.first_of:
         array, item_field = spec.first_of[name]
-        return N.first_typed(f"rec.`{array}`", item_field, kind), f"get(rec.`{array}`, 0).`{item_field}`"
+        raw = N.first_sql(f"rec.`{array}`", item_field)
+        return N.typed_sql(raw, kind), raw
     raw = f"rec.{CUSTOM}['{name}']" if name.startswith("cf_") else f"rec.`{spec.sources.get(name, name)}`"
     if name in spec.defaults:
-        return N.default_if_missing(raw, spec.defaults[name], kind), None
+        return N.default_sql(raw, spec.defaults[name], kind), None
     if name in spec.truthy:
-        return N.truthy_bit(raw), None
+        return N.truthy_sql(raw), None
     if name in spec.joined:
-        return N.join_list(raw), raw
-    return N.typed(raw, kind), raw
+        return N.joined_sql(raw), raw
+    return N.typed_sql(raw, kind), raw

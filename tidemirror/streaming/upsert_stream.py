@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemirror.operators.upsert import upsert
-from tidemirror.warehouse import BUCKET, Warehouse
+from tidemirror.warehouse import Warehouse
 
 
 def upsert_stream(
@@ -29,21 +29,22 @@ def upsert_stream(
     of ``order`` (for landed pages: read, project, split). The last copy of a key
     wins; ``version`` also keeps an older copy from replacing a newer row.
 
-    Only the buckets a micro-batch touches are rewritten. The version it publishes carries
-    its number, so a replayed micro-batch that was published does nothing; one that was not
-    starts again from the published version, in a fresh folder.
+    Only the slices a micro-batch touches are rewritten. The table's properties tell the last
+    micro-batch that was merged, so a replayed one does nothing; should the job die before that
+    is told, the replay merges the same rows again, which changes nothing either.
     """
-    mark = f"stream-{crc32(checkpoint.encode())}"
+    mark = f"mirror.stream-{crc32(checkpoint.encode())}"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if warehouse.manifest(table).marks.get(mark, -1) >= batch_id:
+        if int(warehouse.marks(table).get(mark, -1)) >= batch_id:
             return
-        rows = prepare(batch) if prepare else batch
+        rows = warehouse.stage(prepare(batch) if prepare else batch, f"{table}-batch")
 
         def merge(part: DataFrame, changed: DataFrame) -> DataFrame:
-            return upsert(part, changed, [BUCKET, key], order=order, version=version)
+            return upsert(part, changed, key, order=order, version=version)
 
-        warehouse.change(table, rows, merge, {mark: batch_id}).commit()
+        warehouse.change(table, rows, merge).commit()
+        warehouse.mark(table, **{mark: batch_id})
 
     return (
         changes.writeStream.foreachBatch(apply)

@@ -1,133 +1,104 @@
-"""Published tables: rows in bucket folders, and manifests that say which folders count.
+"""Published tables, laid out so that Spark reads and writes only what a change touches.
 
-A row belongs to bucket ``pmod(xxhash64(key), buckets)``. Every write goes to a folder of
-its own, named by a fresh id, so nothing is ever written to a path that is being read or
-was ever published. A version is one small file that maps each bucket to its folder;
-renaming it into place is the commit. A change reads and writes only the buckets its keys
-fall into and takes over all other folders, so its cost follows the batch, not the table.
+A keyed table is a catalog table, partitioned by ``SLICE``, a hash of its key, and bucketed by
+the key inside. A change reads the slices its keys fall into, as pruned partitions. As the
+buckets are those of a shuffle by the key, a merge exchanges the batch and not the table. The
+new rows replace these slices by a dynamic partition overwrite, so its cost follows the batch.
 
-A failed or repeated attempt leaves folders that no manifest names; ``expire`` removes
-them with the versions that are no longer wanted.
+One job writes a table at a time. Tables lie under ``root`` as Parquet folders; a session that
+has another catalog finds them again by ``create``.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET = "_bucket"
+SLICE = "_slice"
+_KEY, _SLICES, _BUCKETS = "mirror.key", "mirror.slices", "mirror.buckets"
 
 
 @dataclass(frozen=True)
-class Manifest:
-    """One version of a table. ``folders`` maps a bucket to the folders that hold its rows."""
+class Layout:
+    """``slices`` are what a change reads and writes, ``buckets`` the files of each and the tasks of a merge."""
 
-    version: int
-    columns: str
-    key: str | None
-    buckets: int
-    folders: dict[int, list[str]]
-    marks: dict[str, int] = field(default_factory=dict)
-
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self.columns))
-
-    def text(self) -> str:
-        return json.dumps({**self.__dict__, "folders": {str(b): f for b, f in self.folders.items()}})
-
-    @classmethod
-    def of(cls, text: str) -> Manifest:
-        raw = json.loads(text)
-        return cls(**{**raw, "folders": {int(b): f for b, f in raw["folders"].items()}})
+    slices: int = 4
+    buckets: int = 8
 
 
 @dataclass
 class Warehouse:
-    """Tables under ``root``; ``buckets`` is the number that new tables get, or give ``sizes`` one by one."""
+    """Tables of ``database`` under ``root``; new ones get ``layout``, or that of ``sizes`` by name."""
 
     spark: SparkSession
     root: str
     database: str = "mirror"
-    buckets: int = 8
-    sizes: dict[str, int] = field(default_factory=dict)
+    layout: Layout = Layout()
+    sizes: dict[str, Layout] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        jvm = self.spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        self._io = jvm.org.apache.commons.io.IOUtils
-
-    # -- versions ---------------------------------------------------------
-
-    def versions(self, table: str) -> list[int]:
-        folder = self._path(f"{self.root}/{table}/versions")
-        if not self._fs.exists(folder):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
-
-    def manifest(self, table: str, version: int | None = None) -> Manifest | None:
-        known = self.versions(table)
-        if not known:
-            return None
-        stream = self._fs.open(self._path(self._version_path(table, known[-1] if version is None else version)))
-        try:
-            return Manifest.of(self._io.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def commit(self, table: str, manifest: Manifest) -> int:
-        """Publish the next version. Of two writers that began from the same one, the second fails."""
-        target = self._path(self._version_path(table, manifest.version))
-        draft = self._path(f"{self.root}/{table}/versions/draft-{uuid4().hex}")
-        stream = self._fs.create(draft, False)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
+
+    def name(self, table: str) -> str:
+        """The table's name in SQL texts."""
+        return f"`{self.database}`.`{table}`"
+
+    # -- definitions ------------------------------------------------------
+
+    def exists(self, table: str) -> bool:
+        return self.spark.catalog.tableExists(self.name(table))
+
+    def create(self, table: str, schema: T.StructType, key: str | None = None) -> None:
+        """The table, if it is missing, or the columns that it lacks; older rows have nulls there. No row is written."""
+        if self.exists(table):
+            added = [f for f in schema if f.name not in self.spark.table(self.name(table)).columns]
+            if added:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({_ddl(added)})")
+            return
+        size = self.sizes.get(table, self.layout)
+        # Rows of a slice replace the slice whatever the session's setting, which by default empties the table.
+        place = "USING parquet OPTIONS (partitionOverwriteMode 'dynamic')"
+        if key is None:
+            self.spark.sql(f"CREATE TABLE {self.name(table)} ({_ddl(schema)}) {place} LOCATION '{self.root}/{table}'")
+            return
+        self.spark.sql(
+            f"CREATE TABLE {self.name(table)} ({_ddl(schema)}, {SLICE} INT) {place} PARTITIONED BY ({SLICE})"
+            f" CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {size.buckets} BUCKETS LOCATION '{self.root}/{table}'"
+            f" TBLPROPERTIES ('{_KEY}' = '{key}', '{_SLICES}' = '{size.slices}', '{_BUCKETS}' = '{size.buckets}')"
+        )
         try:
-            stream.write(bytearray(manifest.text().encode()))
-        finally:
-            stream.close()
-        # A rename onto an existing file must fail, which not every file system does by itself.
-        if self._fs.exists(target) or not self._fs.rename(draft, target):
-            self._fs.delete(draft, False)
-            raise RuntimeError(f"{table}: version {manifest.version} was published by another writer")
-        return manifest.version
-
-    def _version_path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/versions/{version:012d}.json"
+            # What a session with another catalog wrote there.
+            self.spark.sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
+        except Py4JJavaError as error:
+            # A new table has no folder yet.
+            if "FileNotFoundException" not in str(error.java_exception):
+                raise
+
+    def marks(self, table: str) -> dict[str, str]:
+        """The table's properties."""
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()}
+
+    def mark(self, table: str, **values: str | int) -> None:
+        told = ", ".join(f"'{k}' = '{v}'" for k, v in values.items())
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET TBLPROPERTIES ({told})")
 
     # -- reading ----------------------------------------------------------
 
-    def exists(self, table: str) -> bool:
-        return bool(self.versions(table))
-
-    def read(self, table: str, only: set[int] | None = None, version: int | None = None) -> DataFrame:
-        """The rows of a version, the newest if none is named, or of some of its buckets."""
-        manifest = self.manifest(table, version)
-        if manifest is None:
-            raise LookupError(f"no table {table} under {self.root}")
-        return self.rows(manifest, only)
-
-    def rows(self, manifest: Manifest, only: set[int] | None = None) -> DataFrame:
-        paths = sorted({f for b, fs in manifest.folders.items() if only is None or b in only for f in fs})
-        if not paths:
-            return self.spark.createDataFrame([], manifest.schema)
-        # Columns added later are null in older files.
-        return self.spark.read.schema(manifest.schema).parquet(*paths)
+    def read(self, table: str) -> DataFrame:
+        return self.spark.table(self.name(table)).drop(SLICE)
 
     def read_or_none(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
 
-    def view(self, table: str) -> str:
-        """A temporary view of the newest version for SQL texts; its name."""
-        name = f"{self.database}_{table}"
-        self.read(table).createOrReplaceTempView(name)
-        return name
+    def part(self, table: str, slices: set[int]) -> DataFrame:
+        """The rows of some slices; the others' files are not listed for the scan."""
+        return self.spark.table(self.name(table)).where(F.col(SLICE).isin(sorted(slices))).drop(SLICE)
 
     # -- writing ----------------------------------------------------------
 
@@ -137,117 +108,73 @@ class Warehouse:
         df.write.parquet(path)
         return self.spark.read.parquet(path)
 
-    def write(self, df: DataFrame, table: str, key: str | None, buckets: int, spread: int | None = None) -> dict[int, list[str]]:
-        """Rows as folders by bucket, not yet published; ``spread`` is the number of buckets that occur."""
-        base = f"{self.root}/{table}/data/{uuid4().hex}"
-        if key is None:
-            df.write.parquet(base)
-            return {0: [base]}
-        placed = df if BUCKET in df.columns else df.withColumn(BUCKET, bucket_of(key, buckets))
-        # Brought together by bucket, or every task would write a file for each of them.
-        placed.repartition(spread or buckets, BUCKET).write.partitionBy(BUCKET).parquet(base)
-        # One folder per bucket that got rows.
-        found = [s.getPath().getName() for s in self._fs.listStatus(self._path(base)) if s.isDirectory()]
-        return {int(n.split("=")[1]): [f"{base}/{n}"] for n in found if n.startswith(f"{BUCKET}=")}
-
-    def replace(self, df: DataFrame, table: str, key: str | None = None, marks: dict[str, int] | None = None) -> DataFrame:
-        """A version that holds exactly these rows."""
-        old = self.manifest(table)
-        buckets = old.buckets if old and old.key == key else self.sizes.get(table, self.buckets)
-        folders = self.write(df, table, key, buckets)
-        schema = T.StructType([f for f in df.schema if f.name != BUCKET])
-        new = Manifest(old.version + 1 if old else 1, schema.json(), key, buckets, folders, {**(old.marks if old else {}), **(marks or {})})
-        self.commit(table, new)
+    def append(self, df: DataFrame, table: str) -> None:
+        """Add rows to a table without key, which only grows."""
+        self.create(table, df.schema)
+        self.columns(df, table).write.insertInto(self.name(table))
+
+    def replace(self, df: DataFrame, table: str, key: str) -> DataFrame:
+        """Let the table hold exactly these rows, by key."""
+        self.create(table, df.schema, key)
+        marks = self.marks(table)
+        now = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()
+        touched = {int(r[0].split("=")[1]) for r in now}
+        Pending(self, table, df.repartition(int(marks[_BUCKETS]), key), touched | {-1}, marks).commit()
         return self.read(table)
 
-    def append(self, df: DataFrame, table: str) -> None:
-        """Add rows to a table that only grows."""
-        old = self.manifest(table)
-        schema = old.schema if old else df.schema
-        folder = self.write(df.select(*schema.names) if old else df, table, None, 1)
-        folders = {0: [*(old.folders.get(0, []) if old else []), *folder[0]]}
-        self.commit(table, Manifest(old.version + 1 if old else 1, schema.json(), None, 1, folders, old.marks if old else {}))
-
-    def widen(self, table: str, schema: T.StructType) -> None:
-        """Add columns; no row is written, older files give nulls."""
-        old = self.manifest(table)
-        added = [f for f in schema if f.name not in old.schema.names]
-        if added:
-            columns = T.StructType([*old.schema.fields, *added]).json()
-            self.commit(table, replace(old, version=old.version + 1, columns=columns))
-
-    def change(
-        self, table: str, batch: DataFrame, make: Callable[[DataFrame, DataFrame], DataFrame], marks: dict[str, int] | None = None
-    ) -> Pending:
-        """Rewrite the buckets that the batch's keys fall into.
-
-        ``batch`` has the table's key. ``make`` gets those buckets' rows and the batch, both
-        with the column ``BUCKET``, and returns their new rows with that column. Only the numbers of
-        the touched buckets reach the driver.
-        """
-        old = self.manifest(table)
-        placed = self.stage(self.placed(old, batch), f"{table}-batch")
-        touched = {r[0] for r in placed.select(BUCKET).distinct().collect()}
-        part = self.placed(old, self.rows(old, touched))
-        made = make(part, placed)
-        folders = self.write(made.select(*old.schema.names, BUCKET), table, old.key, old.buckets, len(touched)) if touched else {}
-        kept = {b: f for b, f in old.folders.items() if b not in touched}
-        return Pending(self, table, replace(old, version=old.version + 1, folders={**kept, **folders}, marks={**old.marks, **(marks or {})}), touched)
-
-    @staticmethod
-    def placed(manifest: Manifest, rows: DataFrame) -> DataFrame:
-        """Rows with their bucket; the key is read as the table's type, which the hash depends on."""
-        return rows.withColumn(BUCKET, bucket_of(F.col(manifest.key).cast(manifest.schema[manifest.key].dataType), manifest.buckets))
-
-    # -- retention --------------------------------------------------------
-
-    def expire(self, table: str, keep: int = 2) -> int:
-        """Remove all but the newest ``keep`` versions and the folders none of those names; how many folders.
-
-        Not to be run while a job writes: its folders are not published yet.
+    def change(self, table: str, batch: DataFrame, make: Callable[[DataFrame, DataFrame], DataFrame]) -> Pending:
+        """The rewriting of the slices that the batch's keys fall into.
+
+        ``batch`` has the table's key. ``make`` gets those slices' rows and the batch, and
+        returns their new rows, which are written by ``commit``. Only the numbers of the
+        touched slices reach the driver.
         """
-        known = self.versions(table)
-        kept = [self.manifest(table, v) for v in known[-keep:]]
-        named = {self._path(f).toUri().getPath() for m in kept for fs in m.folders.values() for f in fs}
-        for version in known[:-keep]:
-            self._fs.delete(self._path(self._version_path(table, version)), False)
-        base = self._path(f"{self.root}/{table}/data")
-        removed = 0
-        for attempt in self._fs.listStatus(base) if self._fs.exists(base) else []:
-            whole = attempt.getPath()
-            if whole.toUri().getPath() in named:
-                continue
-            parts = [s.getPath() for s in self._fs.listStatus(whole) if s.isDirectory()]
-            gone = [p for p in parts if p.toUri().getPath() not in named]
-            if len(gone) == len(parts):
-                gone = [whole]
-            for path in gone:
-                self._fs.delete(path, True)
-                removed += 1
-        return removed
-
-    def clear_staging(self) -> None:
-        """Remove all staged batches; not to be run while a job writes."""
-        self._fs.delete(self._path(f"{self.root}/_staging"), True)
+        marks = self.marks(table)
+        kind = self.spark.table(self.name(table)).schema[marks[_KEY]].dataType
+        at = slice_of(F.col(marks[_KEY]).cast(kind), int(marks[_SLICES]))
+        touched = {r[0] for r in batch.select(at).distinct().collect()}
+        return Pending(self, table, make(self.part(table, touched), batch), touched, marks)
+
+    def spread(self, rows: DataFrame, table: str) -> DataFrame:
+        """Rows dealt out as the table's buckets are, so that those added to it fill few files."""
+        marks = self.marks(table)
+        return rows.repartition(int(marks[_BUCKETS]), marks[_KEY])
+
+    def columns(self, rows: DataFrame, table: str, *more: str) -> DataFrame:
+        """Rows with the table's columns in its order, and ``more`` as SQL texts after them."""
+        have = set(rows.columns)
+        fields = [f for f in self.spark.table(self.name(table)).schema if f.name != SLICE]
+        # One text per column: wide tables plan quickly.
+        told = [f"CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields]
+        return rows.selectExpr(*told, *more)
 
 
 @dataclass
 class Pending:
-    """A change whose rows are written and which ``commit`` publishes."""
+    """New rows of the ``touched`` slices, which ``commit`` writes and publishes."""
 
     house: Warehouse
     table: str
-    manifest: Manifest
+    rows: DataFrame
     touched: set[int]
-
-    def rows(self) -> DataFrame:
-        """The table as it will be."""
-        return self.house.rows(self.manifest)
+    marks: dict[str, str]
 
     def commit(self) -> None:
-        if self.touched:
-            self.house.commit(self.table, self.manifest)
+        if not self.touched:
+            return
+        written, name = Observation(), self.house.name(self.table)
+        place = f"CAST(pmod(xxhash64(`{self.marks[_KEY]}`), {self.marks[_SLICES]}) AS INT) AS {SLICE}"
+        placed = self.house.columns(self.rows, self.table, place)
+        # Numbers of slices, of which there are a fixed number.
+        placed.observe(written, F.collect_set(SLICE).alias("slices")).write.insertInto(name, overwrite=True)
+        # A slice that lost its last row has no new files to replace its old ones.
+        for emptied in sorted(self.touched - set(written.get["slices"])):
+            self.house.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({SLICE} = {emptied})")
+
+
+def slice_of(key: str | Column, slices: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(slices)).cast("int")
 
 
-def bucket_of(key: str | Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+def _ddl(fields) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
