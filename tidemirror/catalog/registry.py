@@ -71,11 +71,12 @@ def land(
     )
     if dense:
         # One row per page.
-        place = F.row_number().over(Window.partitionBy("view_id").orderBy("page"))
-        pages = placed.select("view_id", "page").distinct().withColumn("_place", place)
-        same = placed["view_id"].eqNullSafe(pages["view_id"]) & (placed["page"] == pages["page"])
-        placed = placed.join(pages, same).select(placed["view_id"], F.col("_place").alias("page"), "_one")
-    paged = placed.groupBy("view_id", "page").agg(F.array_sort(F.collect_list("_one")).alias("_all"))
+        place = F.row_number().over(Window.partitionBy("_view").orderBy("_old"))
+        heads = placed.select(F.col("view_id").alias("_view"), F.col("page").alias("_old")).distinct().withColumn("_place", place)
+        same = F.col("view_id").eqNullSafe(F.col("_view")) & (F.col("page") == F.col("_old"))
+        placed = placed.join(heads, same).select("view_id", F.col("_place").alias("page"), "_one")
+    by_key = lambda x, y: F.when(x["_key"] < y["_key"], -1).when(x["_key"] > y["_key"], 1).otherwise(0)
+    paged = placed.groupBy("view_id", "page").agg(F.array_sort(F.collect_list("_one"), by_key).alias("_all"))
     if several:
         # One row per view: a handful of views is what a source has.
         totals = placed.groupBy("view_id").agg(F.max("page").alias("total_pages"))
