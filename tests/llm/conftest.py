@@ -19,7 +19,7 @@ ROWS = [
 ]
 # Extra columns named as operators name their own.
 SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING"
-CLASHING = ["size", "row", "doc", "band", "rep", "key", "kept", "n", "score", "failed", "spans", "n_lines", "token_ids", "label", "h", "rank"]
+CLASHING = ["size", "row", "doc", "band", "rep", "key", "kept", "n", "score", "failed", "spans", "n_lines", "token_ids", "label", "h", "rank", "_removed", "_doc", "_row", "_part", "_shift"]
 
 
 @pytest.fixture(scope="session")

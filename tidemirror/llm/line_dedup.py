@@ -1,156 +1,165 @@
-"""Line dedup: repeated runs of lines, by a suffix array over line ids.
+"""Line dedup: maximal repeated runs of lines, by a suffix array over line ids.
 
 All lines but blank ones make one long sequence of line ids, in the order of their
 documents; runs never leave a document. Suffixes are ranked by prefix doubling: the rank
-by 2k lines comes from the ranks by k lines at a place and k lines further on. A suffix
-whose rank is its own has no repeated prefix of that length and takes no further part, so
-each round handles only what still repeats. Suffixes of one rank are an interval of the
-suffix array whose longest common prefix is at least that long; all but its first place,
-in document order, are later copies.
-
-A run counts when it has ``min_lines`` lines, or a line of ``min_chars`` characters. Where
-``min_words`` or ``max_copies`` is given, a line with a letter also counts when it has as
-many words, or when it occurs more often than that. Every line that a later copy of such a run covers is deleted. Only DataFrame functions are used.
+by 2k lines comes from the ranks by k lines at a place and k lines further on. A rank is
+named by the first place that has it, so no round sorts. A suffix whose rank is its own has
+no repeated prefix of that length and takes no further part, so each round handles only what
+still repeats.
+
+Suffixes of one rank are an interval of the suffix array. For every place that is not the
+first of some interval, the rounds are gone through once more, from the longest prefixes
+down, to find its deepest such interval: the longest common prefix with any earlier place,
+which is the maximal run that is a later copy there. Within an interval, the suffixes that
+agree on the next 2^k lines make an interval of their own; all but its first go on in that
+one, the others look for shorter agreement where they are. So every place is in one interval
+at a time, and an interval has one row besides, its first place.
+
+A maximal run counts when its lines have ``min_words`` words together; lines without a letter
+have none. Where ``max_copies`` is given, a single line with a letter that occurs more often
+than that counts too. Every line that a later copy of such a run covers is deleted. Only
+DataFrame functions are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tidemirror.llm.shared import stored
-from tidemirror.operators.upsert import surrogate_keys
+from tidemirror.llm.shared import free_name, stored
 
-MIN_LINES = 2
-MIN_CHARS = 40
+MIN_WORDS = 5
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 PLACE = ["doc", "row", "seq"]
 
 
-def lines(docs: DataFrame, words: bool = False) -> DataFrame:
-    """Every line that is not blank: its document, number among these lines, place, length and 96-bit hash.
+def lines(docs: DataFrame) -> DataFrame:
+    """Every line that is not blank: its document, number among these lines, place, words and 96-bit hash.
 
-    A document is its id with a hash of its text, so rows that repeat both are one. ``words``
-    adds their number, 0 for a line without a letter.
+    A document is its id with a hash of its text, so rows that repeat both have the same places.
     """
     found = F.filter(
         F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("pos"), x.alias("line"))), lambda s: s["line"].rlike(NOT_BLANK)
     )
-    # Every place is there once: rows that shared one would be joined with each other in each round.
-    once = docs.select("doc", "row", "text").distinct()
-    return once.select("doc", "row", F.posexplode(found).alias("seq", "one")).select(
+    return docs.select("doc", "row", F.posexplode(found).alias("seq", "one")).select(
         *PLACE,
         F.col("one.pos").alias("pos"),
-        F.length("one.line").alias("chars"),
+        F.when(F.col("one.line").rlike(r"\p{L}"), F.size(F.split(F.trim("one.line"), r"\s+"))).otherwise(0).alias("words"),
         F.xxhash64("one.line").alias("h"),
         F.hash("one.line").alias("g"),
-        *([F.when(F.col("one.line").rlike(r"\p{L}"), F.size(F.split(F.trim("one.line"), r"\s+"))).otherwise(0).alias("words")] if words else []),
     )
 
 
-def named(rows: DataFrame, keys: list[str], name: str, copies: bool = False) -> DataFrame:
-    """Rows whose ``keys`` occur more than once, with ``rank``, the place of the keys in their order, the first place and, if asked, ``copies``.
+def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` that several places share, with the first of these; common keys are combined before the shuffle."""
+    place = F.struct(*PLACE)
+    return rows.groupBy(*keys).agg(F.min(place).alias("head"), F.max(place).alias("tail")).where("head < tail").drop("tail")
 
-    Common keys are combined before the shuffle, and the join is one that adaptive execution splits.
-    """
-    groups = rows.groupBy(*keys).agg(F.count("*").alias("copies"), F.min(F.struct(*PLACE)).alias("first")).where("copies > 1")
-    groups = groups if copies else groups.drop("copies")
-    ranks = surrogate_keys(groups, keys, start=-1, column="new")
-    out = rows.join(ranks, keys).drop(*[k for k in keys if k == "rank" or k == "further"])
-    return stored(out.withColumnRenamed("new", "rank"), name)
+
+def _kept(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Rows written once, and their number."""
+    count = Observation()
+    out = stored(df.observe(count, F.count("*").alias("rows")), name)
+    return out, count.get["rows"]
 
 
-def intervals(rows: DataFrame, rounds: int = 62):
-    """Yields, for prefixes of 1, 2, 4 … lines, the suffixes that share theirs with another.
+def intervals(rows: DataFrame, rounds: int = 62) -> list[DataFrame]:
+    """For prefixes of 1, 2, 4 … lines the suffixes that share theirs with another: place and ``first``, that of the first of them.
 
-    Columns: the place, ``rank`` and ``first``, the first place of the rank; single lines
-    with ``words`` have that and ``copies`` too.
+    Single lines have ``pos`` and ``words`` too.
+    """
+    single = rows.join(_groups(rows, ["h", "g"]), ["h", "g"]).select(*PLACE, "pos", "words", F.col("head").alias("first"))
+    # Rows that repeat id and text share their places.
+    level, size = _kept(single.dropDuplicates(PLACE), "lines-1")
+    levels = []
+    while size and len(levels) <= rounds:
+        levels.append(level)
+        here = level.select(*PLACE, "first")
+        further = here.select("doc", "row", (F.col("seq") - (1 << (len(levels) - 1))).alias("seq"), F.col("first").alias("further"))
+        # A suffix whose further part is unique, or that ends its document, is unique from here on.
+        both = here.join(further, PLACE)
+        twice = both.join(_groups(both, ["first", "further"]), ["first", "further"])
+        level, size = _kept(twice.select(*PLACE, F.col("head").alias("first")), f"lines-{1 << len(levels)}")
+    return levels
+
+
+def later_runs(levels: list[DataFrame]) -> DataFrame:
+    """``PLACE`` and ``length``: for every place with an earlier copy, the lines that the longest one shares with it."""
+    place = F.struct(*PLACE)
+    runs = None
+    for k in reversed(range(len(levels))):
+        level = levels[k]
+        if runs is not None:
+            # Where the lines after the shared ones agree on 2^k more, a longer interval begins.
+            after = level.select("doc", "row", F.col("seq").alias("_next"), F.col("first").alias("further"))
+            asked = runs.withColumn("_next", F.col("seq") + F.col("length")).join(after, ["doc", "row", "_next"], "left").drop("_next")
+            deeper = _groups(asked.where("further IS NOT NULL"), ["length", "first", "further"])
+            met = asked.join(deeper, ["length", "first", "further"], "left")
+            old = F.struct("length", "first")
+            new = F.struct((F.col("length") + (1 << k)).alias("length"), F.col("head").alias("first"))
+            # The first place of the longer interval stays in the shorter one as well.
+            stays = F.when(F.col("head").isNull(), F.array(old)).when(place > F.col("head"), F.array(new)).otherwise(F.array(old, new))
+            runs = met.select(*PLACE, F.explode(stays).alias("in")).select(*PLACE, "in.*")
+        later = level.where(place > F.col("first")).select(*PLACE, F.lit(1 << k).alias("length"), "first")
+        if runs is not None:
+            later = later.join(runs.where(place > F.col("first")).select(*PLACE), PLACE, "left_anti")
+        heads = later.select("length", "first").distinct().select("first.*", "length", "first")
+        runs = later.unionByName(heads) if runs is None else runs.unionByName(later).unionByName(heads)
+        runs = stored(runs, f"runs-{1 << k}")
+    return runs.where(place > F.col("first")).select(*PLACE, "length")
+
+
+def deleted(rows: DataFrame, min_words: int = MIN_WORDS, max_copies: int | None = None, rounds: int = 62) -> DataFrame:
+    """``doc``, ``row``, ``removed`` (places of deleted lines) and ``run_lines``, the lines of the longest deleted run.
+
+    Runs are followed up to ``2 ** (rounds + 1) - 1`` lines.
     """
-    more = ["words", "copies"] if "words" in rows.columns else []
-    level = named(rows, ["h", "g"], "lines-1", bool(more)).select(*PLACE, "pos", "chars", *more, "rank", "first")
-    for k in range(rounds):
-        yield 1 << k, level
-        here = level.select(*PLACE, "rank")
-        further = here.select("doc", "row", (F.col("seq") - (1 << k)).alias("seq"), F.col("rank").alias("further"))
-        # A suffix with a further part that is unique, or that ends its document, is unique from here on.
-        level = named(here.join(further, PLACE), ["rank", "further"], f"lines-{2 << k}")
-        if level.isEmpty():
-            return
-
-
-def _later() -> F.Column:
-    return F.struct(*PLACE) > F.col("first")
-
-
-def deleted(
-    rows: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS, min_words: int | None = None, max_copies: int | None = None
-) -> DataFrame:
-    """``doc``, ``row``, ``removed`` (places of deleted lines) and ``run_lines``, the longest power of two of repeated lines."""
-    counts = F.col("chars") >= min_chars
-    if min_words is not None:
-        counts |= F.col("words") >= max(min_words, 1)
+    levels = intervals(rows, rounds)
+    if not levels:
+        return rows.select("doc", "row", F.array("pos").alias("removed"), F.col("seq").alias("run_lines")).limit(0)
+    single = levels[0]
+    # A window over the lines of one document. All lines of a run repeat, so they stand side by side here.
+    upto = Window.partitionBy("doc", "row").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = single.withColumn("upto", F.sum("words").over(upto))
+    last = counted.select("doc", "row", F.col("seq").alias("last"), F.col("upto").alias("to"))
+    runs = later_runs(levels).join(counted.select(*PLACE, (F.col("upto") - F.col("words")).alias("from")), PLACE)
+    runs = runs.withColumn("last", F.col("seq") + F.col("length") - 1).join(last, ["doc", "row", "last"])
+    runs = runs.where(F.col("to") - F.col("from") >= min_words).select(*PLACE, "length")
     if max_copies is not None:
-        counts |= (F.col("words") > 0) & (F.col("copies") > max_copies)
-    marks, depth, ones, whole, last = None, None, None, None, None
-    for length, level in intervals(rows):
-        copies = level.where(_later())
-        if length == 1:
-            ones = level.select(*PLACE, "pos")
-            found = copies if min_lines <= 1 else copies.where(counts)
-            marks = found.select(*PLACE)
-        if length <= min_lines:
-            whole, last = length, level
-        depth_here = copies.select("doc", "row", F.lit(length).alias("run_lines"))
-        depth = depth_here if depth is None else depth.unionAll(depth_here)
-    if min_lines > 1 and 2 * whole > min_lines:
-        # Two prefixes that overlap make one of min_lines lines.
-        here, rest = last.select(*PLACE, "rank"), min_lines - whole
-        runs = here.select(*PLACE, "rank", F.lit(0).alias("further"))
-        if rest:
-            ends = here.select("doc", "row", (F.col("seq") - rest).alias("seq"), F.col("rank").alias("further"))
-            runs = here.join(ends, PLACE)
-        first = runs.groupBy("rank", "further").agg(F.min(F.struct(*PLACE)).alias("first"))
-        later = runs.join(first, ["rank", "further"]).where(_later())
-        marks = marks.unionAll(later.select("doc", "row", F.explode(F.sequence("seq", F.col("seq") + (min_lines - 1))).alias("seq")))
-    places = marks.distinct().join(ones, PLACE).groupBy("doc", "row").agg(F.collect_set("pos").alias("removed"))
-    return places.join(depth.groupBy("doc", "row").agg(F.max("run_lines").alias("run_lines")), ["doc", "row"])
-
-
-def dedup_lines(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    min_lines: int = MIN_LINES,
-    min_chars: int = MIN_CHARS,
-    min_words: int | None = None,
-    max_copies: int | None = None,
-) -> DataFrame:
+        often = single.where("words > 0").groupBy("first").count().where(F.col("count") > max_copies).select("first")
+        copies = single.where(F.struct(*PLACE) > F.col("first")).join(often, "first", "left_semi")
+        runs = runs.unionByName(copies.select(*PLACE, F.lit(1).alias("length")))
+    covered = runs.select("doc", "row", "length", F.explode(F.sequence("seq", F.col("seq") + F.col("length") - 1)).alias("seq"))
+    covered = covered.groupBy(*PLACE).agg(F.max("length").alias("length"))
+    places = covered.join(single.select(*PLACE, "pos"), PLACE)
+    return places.groupBy("doc", "row").agg(F.collect_set("pos").alias("removed"), F.max("length").alias("run_lines"))
+
+
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, max_copies: int | None = None, rounds: int = 62) -> DataFrame:
     """All columns with ``text`` without its deleted lines, and ``n_lines``, ``n_removed`` and ``run_lines``.
 
     The first copy of a run is that of the smallest id, null ids last. Blank lines are never deleted and
     do not end a run. A null text stays null, an empty one empty. Rows that repeat id and
     text get the same result. An empty table gives an empty result; columns named as the
-    added ones are replaced.
+    added ones are replaced, all others are kept whatever their names.
     """
-    keyed = docs.drop("n_lines", "n_removed", "run_lines").withColumns(
-        {"_doc": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1)), "_row": F.xxhash64(F.col(doc_id).cast("bigint"), F.col(text))}
-    )
-    texts = keyed.select(F.col("_doc").alias("doc"), F.col("_row").alias("row"), F.col(text).alias("text"))
-    words = min_words is not None or max_copies is not None
-    gone = deleted(lines(texts, words), min_lines, min_chars, min_words, max_copies)
-    gone = gone.select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("removed").alias("_removed"), "run_lines")
+    docs = docs.drop("n_lines", "n_removed", "run_lines")
+    doc, row, removed = (free_name(docs, f"_{c}") for c in ("doc", "row", "removed"))
+    keyed = docs.withColumns({doc: F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1)), row: F.xxhash64(F.col(doc_id).cast("bigint"), F.col(text))})
+    gone = deleted(lines(keyed.select(F.col(doc).alias("doc"), F.col(row).alias("row"), F.col(text).alias("text"))), min_words, max_copies, rounds)
+    gone = gone.select(F.col("doc").alias(doc), F.col("row").alias(row), F.col("removed").alias(removed), "run_lines")
     parts = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "_removed")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), removed)
     cleaned = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
     return (
-        keyed.join(gone, ["_doc", "_row"], "left")
+        keyed.join(gone, [doc, row], "left")
         .withColumns(
             {
                 "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(parts)).cast("bigint"),
-                "n_removed": F.coalesce(F.array_size("_removed"), F.lit(0)).cast("bigint"),
+                "n_removed": F.coalesce(F.array_size(removed), F.lit(0)).cast("bigint"),
                 "run_lines": F.coalesce("run_lines", F.lit(0)).cast("bigint"),
-                text: F.when(F.col("_removed").isNull(), F.col(text)).otherwise(cleaned),
+                text: F.when(F.col(removed).isNull(), F.col(text)).otherwise(cleaned),
             }
         )
-        .drop("_doc", "_row", "_removed")
+        .drop(doc, row, removed)
     )

@@ -40,20 +40,21 @@ EMBEDDINGS = f"""
 LINES = r"""
     WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
     x AS (SELECT doc_id, pos, lines[pos] AS line FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS pos FROM l)),
-    q AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq FROM x WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-    s AS (SELECT doc_id, list(line ORDER BY seq) AS own FROM q GROUP BY doc_id),
-    p AS (SELECT doc_id, n, i, own[i:i + n - 1] AS run
-          FROM (SELECT *, unnest(range(1, len(own) - n + 2)) AS i FROM s, (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096]) AS n))),
-    c AS (SELECT *, min((doc_id, i)) OVER (PARTITION BY n, run) AS first FROM p),
-    later AS (SELECT doc_id, n, i, run FROM c WHERE (doc_id, i) > first),
-    gone AS (SELECT doc_id, i AS seq FROM later WHERE n = 1 AND length(run[1]) >= 40
-             UNION SELECT doc_id, unnest([i, i + 1]) FROM later WHERE n = 2),
+    q AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq,
+                 CASE WHEN regexp_matches(line, '\p{L}') THEN len(regexp_split_to_array(trim(line), '\s+')) ELSE 0 END AS words
+          FROM x WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    pairs AS (SELECT a.doc_id, a.seq, b.doc_id AS other, a.seq - b.seq AS shift FROM q a JOIN q b ON a.line = b.line AND (b.doc_id, b.seq) < (a.doc_id, a.seq)),
+    islands AS (SELECT *, seq - row_number() OVER (PARTITION BY doc_id, other, shift ORDER BY seq) AS island FROM pairs),
+    runs AS (SELECT doc_id, seq, max(last - seq + 1) AS n
+             FROM (SELECT *, max(seq) OVER (PARTITION BY doc_id, other, shift, island) AS last FROM islands) GROUP BY doc_id, seq),
+    counted AS (SELECT r.doc_id, r.seq, any_value(n) AS n, sum(words) AS words FROM runs r JOIN q ON q.doc_id = r.doc_id AND q.seq BETWEEN r.seq AND r.seq + n - 1
+                GROUP BY r.doc_id, r.seq),
+    gone AS (SELECT doc_id, unnest(range(seq, seq + n)) AS seq, n FROM counted WHERE words >= 5),
     left_ AS (SELECT x.doc_id, string_agg(x.line, chr(10) ORDER BY x.pos) AS text, count(*) AS n FROM x LEFT JOIN q USING (doc_id, pos)
               WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = x.doc_id AND g.seq = q.seq) GROUP BY x.doc_id)
     SELECT l.doc_id, CASE WHEN l.text IS NOT NULL THEN coalesce(left_.text, '') END AS text, coalesce(len(lines), 0) AS n_lines,
            coalesce(len(lines), 0) - coalesce(left_.n, 0) AS n_removed,
-           CASE WHEN coalesce(len(lines), 0) > coalesce(left_.n, 0)
-                THEN (SELECT max(n) FROM later WHERE later.doc_id = l.doc_id) ELSE 0 END AS run_lines
+           coalesce((SELECT max(n) FROM gone WHERE gone.doc_id = l.doc_id), 0) AS run_lines
     FROM l LEFT JOIN left_ ON left_.doc_id = l.doc_id
 """
 
