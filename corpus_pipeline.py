@@ -16,7 +16,7 @@ from tidemirror.llm.shared import stored
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # A language that is less likely than this is not accepted.
 SURE = 0.5
-# A repeated line goes by itself if it has so many words, or occurs more often than that.
+# A repeated run of lines goes if it has so many words, a single line also if it occurs more often than that.
 LINE_WORDS = 4
 LINE_COPIES = 20
 
