@@ -1,7 +1,11 @@
 """Held-out accuracy, calibration and edge cases of language identification."""
 
 import math
+import os
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -91,3 +95,57 @@ def test_rows_without_ids_are_sampled_one_by_one(spark):
     assert model.languages == ["en", "es"]
     got = L.predict(spark.createDataFrame([(1, "alpha beta alpha"), (2, "zeta óñ zeta")], "doc_id BIGINT, text STRING"), model)
     assert {r["doc_id"]: r["lang_pred"] for r in got.collect()} == {1: "en", 2: "es"}
+
+
+def test_scores_agree_with_a_plain_recomputation(spark, sf, model):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40)
+
+    def plain(text):
+        points, found = [ord(c) for c in text.lower()], {}
+        for order in range(1, model.settings.orders + 1):
+            for k in range(len(points) - order + 1):
+                gram = 0
+                for point in points[k : k + order]:
+                    gram = (gram * 0x100000001B3 + point) % 2**64
+                bucket = (gram + order) * 0x9E3779B97F4A7C15 % 2**64 >> 50
+                found[bucket] = found.get(bucket, 0) + 1
+        weighted = {b: (1 + math.log(c)) * model.idf[b] for b, c in found.items()}
+        length = math.sqrt(sum(v * v for v in weighted.values()))
+        logits = [model.bias[k] + sum(v / length * model.weights[b][k] for b, v in weighted.items()) for k in range(len(model.languages))]
+        odds = [math.exp((z - max(logits)) / model.temperature) for z in logits]
+        return model.languages[odds.index(max(odds))], max(odds) / sum(odds)
+
+    for r in L.predict(docs, model).collect():
+        if L.has_letter(r["text"]):
+            lang, score = plain(r["text"])
+            assert r["lang_pred"] == lang and abs(r["score"] - score) < 1e-9
+
+
+def test_many_rare_labels_do_not_crowd_out_the_large_ones(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    rare = spark.range(7000).select((F.col("id") + 10_000_000).alias("doc_id"), F.concat(F.lit("rare text "), F.col("id").cast("string")).alias("text"), F.concat(F.lit("x"), F.col("id").cast("string")).alias("lang"))
+    model = L.fit(docs.unionByName(rare), settings=L.Settings(sample=200, languages=8))
+    known = {r["lang"] for r in docs.select("lang").where("lang IS NOT NULL").distinct().collect()}
+    assert known <= set(model.languages) and len(model.languages) == 8
+    got = L.predict(docs, model).collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in got if r["lang"]]) > 0.9
+
+
+OUTSIDE = """
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.warehouse.dir", sys.argv[1]).getOrCreate()
+sys.path.insert(0, sys.argv[2])
+from tidemirror.llm import language_id as L
+docs = spark.createDataFrame([(i, t, l) for i in range(20) for t, l in ((f"the cat and {i}", "en"), (f"le chat et {i}", "fr"))], "doc_id int, text string, lang string")
+found = L.predict(docs, L.fit(docs)).collect()
+print(sum(r["lang"] == r["lang_pred"] for r in found))
+"""
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    (tmp_path / "outside.py").write_text(OUTSIDE)
+    root = Path(L.__file__).resolve().parents[2]
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "outside.py", str(tmp_path / "warehouse"), str(root)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.strip().endswith("40"), done.stderr[-2000:]

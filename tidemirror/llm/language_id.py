@@ -29,11 +29,13 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the rows that weights are learned from, over all languages together."""
+    """``sample`` bounds the rows that weights are learned from, over all languages together, and ``languages``
+    the labels that are learned: those of most rows, since the model has as many weights per bucket."""
 
     buckets: int = 1 << 14
     orders: int = 3
     sample: int = 6000
+    languages: int = 256
     calibration: int = 5
     epochs: int = 3
     alpha: float = 0.5
@@ -156,22 +158,25 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: Column | s
 
     ``key`` and the text order the sample by hash; each language gives as many rows as fit
     into ``settings.sample``. Rows that repeat language, key and text are learned from once.
+    Labels beyond the ``settings.languages`` most frequent ones are not learned.
     Without such rows the model knows no language.
     """
     s = settings or Settings()
     key = F.col(key) if isinstance(key, str) else key
     usable = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"), key.alias("key"))
     usable = usable.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # One row a language.
-    sizes = {r["lang"]: r["n"] for r in docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
+    sizes = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).groupBy(F.col(lang).cast("string").alias("lang")).agg(F.count("*").alias("n"))
+    # At most ``languages`` rows, however many labels a dirty column has.
+    learned = sizes.orderBy(F.desc("n"), "lang").limit(s.languages).collect()
     df, n = document_frequencies(usable, s)
     idf = np.log((1 + n) / (1 + df)) + 1
-    each = s.sample // max(len(sizes), 1)
+    each = max(s.sample // max(len(learned), 1), 1)
     # A hash picks about twice the rows wanted before they are ordered, so no large group is sorted.
-    share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, 2 * each / n))) for k, n in sizes.items()]) if sizes else F.lit(0.0)
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 2 * each / r["n"])) for r in learned], "lang STRING, share DOUBLE")
     place = F.pmod(F.xxhash64("key", "text", F.lit(s.seed)), F.lit(1 << 40)) / float(1 << 40)
+    placed = usable.withColumn("place", place).join(F.broadcast(shares), "lang")
     # Equal rows share a place, so they are combined before the sort.
-    picked = usable.withColumn("place", place).where(F.col("place") < share).select("lang", "place", "text").distinct()
+    picked = placed.where("place < share").select("lang", "place", "text").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))
     sample = picked.withColumn("rank", rank).where(F.col("rank") <= each).drop("rank")
 
@@ -205,11 +210,12 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     rows stay and an empty table gives an empty result.
     """
     docs = docs.drop(lang_pred, score)
-    # buckets x languages numbers, whatever the corpus.
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # buckets x languages numbers, whatever the corpus. As plain arrays, since a broadcast refers to a
+    # class by its module, which executors need not have.
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model) | {"settings": vars(model.settings)})
 
     def run(batches):
-        m = sent.value
+        m = Model(**{**sent.value, "settings": Settings(**sent.value["settings"])})
         for batch in slices(batches, text):
             best, sure = [], []
             for t in batch.column(text).to_pylist():
