@@ -56,8 +56,11 @@ def test_forced_boundaries_change_nothing(ours):
 
 
 def test_kept_pieces_are_bounded(ours, monkeypatch):
-    kept = bpe.Kept(lambda k: k * 2, 3)
-    assert [kept[i] for i in range(10)] == [2 * i for i in range(10)] and len(kept) <= 3
+    kept = bpe.Kept(lambda k: k.encode(), 3 * 210)
+    keys = [f"k{i}" for i in range(10)]
+    assert [kept[k] for k in keys * 2] == [k.encode() for k in keys * 2] and 0 < len(kept) <= 3
+    # A text without spaces is one piece; it is made anew each time.
+    assert kept["x" * 1000] == b"x" * 1000 and "x" * 1000 not in kept
 
 
 def test_documents(spark, odd, none, library):

@@ -34,7 +34,8 @@ SPACE = "\t-\r \x85\xa0  -     　"
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 SPACES = regex.compile(f"[{SPACE}]+")
 NONE, LOW = 1 << 62, (1 << 32) - 1
-KEPT_PIECES, KEPT_WORDS = 400_000, 300_000
+# Bytes that a worker keeps of pieces and words it has met, and the longest one kept.
+KEPT_PIECES, KEPT_WORDS, LONGEST_KEPT = 24 << 20, 24 << 20, 64
 
 
 def byte_letters() -> list[str]:
@@ -45,15 +46,21 @@ def byte_letters() -> list[str]:
 
 
 class Kept(dict):
-    """What ``make`` gave for each key; forgets all once it holds ``most`` of them."""
+    """What ``make`` gave for each key; forgets all once it holds ``most`` bytes, and keeps no long key."""
 
     def __init__(self, make, most: int) -> None:
-        self.make, self.most = make, most
+        self.make, self.most, self.held = make, most, 0
 
     def __missing__(self, key):
-        if len(self) >= self.most:
+        found = self.make(key)
+        if len(key) > LONGEST_KEPT:
+            return found
+        # Two objects and a place in the table; a character has up to four bytes.
+        self.held += 4 * len(key) + len(found) + 200
+        if self.held > self.most:
             self.clear()
-        found = self[key] = self.make(key)
+            self.held = 4 * len(key) + len(found) + 200
+        self[key] = found
         return found
 
 
