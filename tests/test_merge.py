@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tidemirror.operators.reconcile import id_blocks, missing_whole_ids
 from tidemirror.operators import reconcile as R
 from tidemirror.operators.children import cascade, replace_children, replace_relations
 from tidemirror.operators.upsert import ACTION, action_counts, latest_per_key, surrogate_keys, upsert
@@ -155,3 +156,23 @@ def test_cascade_splits_all_children(spark):
     lines = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "deal_id BIGINT, line INT")
     kept, gone = cascade(lines, spark.createDataFrame([(2,), (2,)], "id BIGINT"), "deal_id")
     assert rows(kept) == Counter([(1, 1), (3, 1)]) and rows(gone) == Counter([(2, 1)])
+
+
+def test_id_bitmaps_give_the_missing_ids(spark):
+    ids = [1, 2, 3, 7, 100, 32767, 32768, 32769, 40000, 100000, 0, -1, -5, -32768, -40000, 2**40, 7, None]
+    known = [2, 100, 32768, -5, 7, 9, -32768, 2**40 + 1, None]
+    target, active = (spark.createDataFrame([(i,) for i in x], "id BIGINT") for x in (ids, known))
+    got = [r["id"] for r in missing_whole_ids(target, active).collect()]
+    assert sorted(got) == sorted({i for i in ids if i is not None} - set(known))
+    assert missing_whole_ids(target.limit(0), active).isEmpty()
+    assert sorted(r["id"] for r in missing_whole_ids(target, active.limit(0)).collect()) == sorted(set(ids) - {None})
+
+
+def test_id_bitmaps_shuffle_a_row_per_block(spark):
+    many = spark.range(0, 400_000, 1, 4).selectExpr("id div 2 AS id")
+    blocks = id_blocks(many)
+    assert blocks.count() == 7
+    # Partial bitmaps: no task sends more than its blocks.
+    text = blocks._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_construct_agg" in text
+    assert missing_whole_ids(many, spark.range(150_000)).count() == 50_000

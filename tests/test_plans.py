@@ -13,7 +13,7 @@ from tidemirror.plans.project import project, record_type
 from tidemirror.warehouse import Warehouse
 
 # These run their loads or streams when they are called.
-EAGER = ("rate_limit_stream", "stream_upsert")
+EAGER = ("rate_limit_stream", "rate_limit_stream_restarted", "stream_upsert")
 
 
 def plan(df):

@@ -227,6 +227,15 @@ def reconcile_ids(spark, sf):
     return R.missing_ids(table(spark, sf, "orders"), active, "o_orderkey")
 
 
+@query("""
+    SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
+""")
+def reconcile_id_bitmaps(spark, sf):
+    """The same ids by the difference of two sets of bitmaps."""
+    active = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return R.missing_whole_ids(table(spark, sf, "orders"), active, "o_orderkey")
+
+
 @query("""
     SELECT 'orders' AS table_name, o_orderkey AS id, CAST(NULL AS INTEGER) AS line_number, o_orderstatus = 'F' AS deleted
     FROM orders

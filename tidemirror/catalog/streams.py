@@ -29,6 +29,23 @@ def rate_limit_stream(spark, sf):
     return spark.read.parquet(f"{root}/out").drop("batch")
 
 
+@query(ORACLES["rate_limit_batch"])
+def rate_limit_stream_restarted(spark, sf):
+    """Events that arrive in three parts; windows that a part leaves open are carried into the next run."""
+    root = f"{shared_dir(spark)}/rate-limit-{uuid4().hex}"
+    events = table(spark, sf, "events").select("user_id", "ts", "event_id")
+    ends = ["1970-01-01", "2024-01-10 07:00:30", "2024-01-20 12:30:00", "9999-12-31"]
+    for begin, end in zip(ends, ends[1:], strict=False):
+        at = F.col("ts")
+        part = events.filter((at >= F.lit(begin).cast("timestamp_ntz")) & (at < F.lit(end).cast("timestamp_ntz")))
+        part.write.mode("append").parquet(f"{root}/in")
+        limited(
+            spark.readStream.schema(events.schema).parquet(f"{root}/in"),
+            "user_id", "ts", "event_id", root=root, limit=intake.LIMIT, window_seconds=intake.WINDOW_SECONDS,
+        ).awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch")
+
+
 @query(f"""
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
     FROM ({ORACLES["upsert_merge"]})

@@ -43,7 +43,32 @@ def rate_limit(
     (see ``open_windows``) has the windows that earlier events left open.
     """
     timed = _timed(events, key, ts, carried)
-    placed = _in_windows(timed, key, window_seconds * MICROS)
+    return _allowed(events.columns, timed, _in_windows(timed, key, window_seconds * MICROS), key, tie, limit)
+
+
+def open_windows(
+    events: DataFrame, key: str, ts: str, *, limit: int = 10, window_seconds: int = 60, carried: DataFrame | None = None
+) -> DataFrame:
+    """``key``, ``_opened`` and ``_used`` of every key's last window, leaving out those that are over.
+
+    A window is over when the newest event of all is at least one window length past its
+    opening. Keys of ``carried`` without an event are carried on.
+    """
+    timed = _timed(events, key, ts, carried)
+    return _last_windows(timed, _in_windows(timed, key, window_seconds * MICROS), key, limit, window_seconds * MICROS, carried)
+
+
+def rate_limit_and_windows(
+    events: DataFrame, key: str, ts: str, tie: str, *, limit: int = 10, window_seconds: int = 60, carried: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Both of the above from one placement of the events in their windows."""
+    timed = _timed(events, key, ts, carried)
+    width = window_seconds * MICROS
+    placed = _in_windows(timed, key, width)
+    return _allowed(events.columns, timed, placed, key, tie, limit), _last_windows(timed, placed, key, limit, width, carried)
+
+
+def _allowed(columns: list[str], timed: DataFrame, placed: DataFrame, key: str, tie: str, limit: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(key, "_open").orderBy("_t", "_at", tie))
     first = placed.select(key, "_open", "_t", "_at", tie, OPENED, USED).withColumn("_rank", rank).filter(F.col("_rank") <= limit)
     before = F.when(F.col("_open") == F.col(OPENED), F.col(USED)).otherwise(0)
@@ -53,23 +78,13 @@ def rate_limit(
     )
     same_event = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_at") == F.col("_own")) & (F.col(tie) == F.col("_tie"))
     return timed.join(first, same_event, "left").select(
-        *events.columns,
+        *columns,
         F.col("_rank").isNotNull().alias("allowed"),
         F.coalesce(F.lit(limit) - F.col("_rank"), F.lit(0)).alias("remaining"),
     )
 
 
-def open_windows(
-    events: DataFrame, key: str, ts: str, *, limit: int = 10, window_seconds: int = 60, carried: DataFrame | None = None
-) -> DataFrame:
-    """``key``, ``_opened`` and ``_used`` of every key's last window, leaving out those that are over.
-
-    A window is over when the newest event of all is at least one window length past its
-    opening. Keys of ``carried`` without an event are carried on.
-    """
-    width = window_seconds * MICROS
-    timed = _timed(events, key, ts, carried)
-    placed = _in_windows(timed, key, width)
+def _last_windows(timed: DataFrame, placed: DataFrame, key: str, limit: int, width: int, carried: DataFrame | None) -> DataFrame:
     counted = placed.groupBy(key, "_open").agg(F.count("*").alias("n"), F.max(OPENED).alias(OPENED), F.max(USED).alias(USED))
     used = F.col("n") + F.when(F.col("_open") == F.col(OPENED), F.col(USED)).otherwise(0)
     last = counted.groupBy(key).agg(F.max_by(F.struct(F.col("_open").alias(OPENED), F.least(used, F.lit(limit)).cast("int").alias(USED)), "_open").alias("w"))

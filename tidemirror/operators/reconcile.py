@@ -33,6 +33,36 @@ def missing_ids(target: DataFrame, active: DataFrame, key: str = "id") -> DataFr
     return target.select(key).join(active.select(key), key, "left_anti")
 
 
+def id_blocks(ids: DataFrame, key: str = "id") -> DataFrame:
+    """``block`` and ``ids``: the whole-number ids of each block of 32,768 as one bitmap; null ids are left out.
+
+    Every task makes a bitmap per block it meets, so one row per block and task is shuffled,
+    however many ids there are and however often they repeat.
+    """
+    at = F.col(key).cast("bigint")
+    placed = ids.where(F.col(key).isNotNull()).select(F.shiftright(at, 15).alias("block"), at.bitwiseAND(F.lit(32767)).alias("place"))
+    return placed.groupBy("block").agg(F.bitmap_construct_agg("place").alias("ids"))
+
+
+def missing_whole_ids(target: DataFrame, active: DataFrame, key: str = "id") -> DataFrame:
+    """``missing_ids`` for whole numbers: the difference of two id sets, a row per block instead of one per id.
+
+    Ids come out once each. Where ids lie far apart a bitmap of 4 KB is more than the ids
+    themselves, and ``missing_ids`` is the better way, as it is for texts.
+    """
+    ours, theirs = id_blocks(target, key), id_blocks(active, key).withColumnRenamed("ids", "known")
+    both = ours.join(theirs, "block", "left")
+    bits = "sequence(0, 7)"
+    byte = "cast(conv(hex(substring({0}, i + 1, 1)), 16, 10) as int)"
+    ours_at, theirs_at = byte.format("ids"), f"coalesce({byte.format('known')}, 0)"
+    left = f"transform(sequence(0, octet_length(ids) - 1), i -> {ours_at} & ~{theirs_at})"
+    kept = both.select("block", F.expr(left).alias("left"))
+    # An untouched block goes before its bytes are looked at one by one.
+    kept = kept.where("exists(left, b -> b <> 0)").select("block", F.posexplode("left").alias("byte", "value")).where("value <> 0")
+    found = kept.select("block", "byte", "value", F.explode(F.expr(bits)).alias("bit")).where("value & shiftleft(1, bit) <> 0")
+    return found.select(F.expr("block * 32768 + byte * 8 + bit").alias(key))
+
+
 def guard(
     *,
     failed: int = 0,

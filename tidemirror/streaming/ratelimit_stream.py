@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemirror.operators.ratelimit import OPENED, USED, open_windows, rate_limit
+from tidemirror.operators.ratelimit import OPENED, USED, rate_limit_and_windows
 
 
 def rate_limit_stream(
@@ -33,8 +33,8 @@ def rate_limit_stream(
         spark = batch.sparkSession
         carried = spark.read.parquet(f"{root}/state/batch={batch_id - 1}") if batch_id else None
         carried = carried.select(key, OPENED, USED) if carried is not None else None
-        rate_limit(batch, key, ts, tie, carried=carried, **options).write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
-        after = open_windows(batch, key, ts, carried=carried, **options)
+        rows, after = rate_limit_and_windows(batch, key, ts, tie, carried=carried, **options)
+        rows.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
         after.write.mode("overwrite").parquet(f"{root}/state/batch={batch_id}")
         if batch_id > 1:
             old = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/state/batch={batch_id - 2}")
