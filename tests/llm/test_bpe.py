@@ -56,9 +56,14 @@ def test_forced_boundaries_change_nothing(ours):
 
 
 def test_kept_pieces_are_bounded(ours, monkeypatch):
-    kept = bpe.Kept(lambda k: k.encode(), 3 * 210)
-    keys = [f"k{i}" for i in range(10)]
-    assert [kept[k] for k in keys * 2] == [k.encode() for k in keys * 2] and 0 < len(kept) <= 3
+    made = []
+    kept = bpe.Kept(lambda k: made.append(k) or k.encode(), 6 * 200)
+    keys = [f"k{i}" for i in range(20)]
+    for k in keys:
+        assert kept["common"] == b"common" and kept[k] == k.encode()
+        assert len(kept) <= 3 and len(kept.older) <= 3
+    # What is asked for all the time is made once.
+    assert made.count("common") == 1 and len(made) == 21
     # A text without spaces is one piece; it is made anew each time.
     assert kept["x" * 1000] == b"x" * 1000 and "x" * 1000 not in kept
 

@@ -35,7 +35,7 @@ NOT_SPACE = "\x1c\x1d\x1e\x1f"
 SPACES = regex.compile(f"[{SPACE}]+")
 NONE, LOW = 1 << 62, (1 << 32) - 1
 # Bytes that a worker keeps of pieces and words it has met, and the longest one kept.
-KEPT_PIECES, KEPT_WORDS, LONGEST_KEPT = 24 << 20, 24 << 20, 64
+KEPT_PIECES, KEPT_WORDS, LONGEST_KEPT = 72 << 20, 40 << 20, 64
 
 
 def byte_letters() -> list[str]:
@@ -46,20 +46,27 @@ def byte_letters() -> list[str]:
 
 
 class Kept(dict):
-    """What ``make`` gave for each key; forgets all once it holds ``most`` bytes, and keeps no long key."""
+    """What ``make`` gave for each key, in at most ``most`` bytes; long keys are not kept.
+
+    Half of the bytes are for what was asked for lately, half for what was before; when the
+    first half is full it takes the place of the second, so common keys stay.
+    """
 
     def __init__(self, make, most: int) -> None:
-        self.make, self.most, self.held = make, most, 0
+        self.make, self.half, self.held, self.older = make, most // 2, 0, {}
 
     def __missing__(self, key):
-        found = self.make(key)
-        if len(key) > LONGEST_KEPT:
-            return found
-        # Two objects and a place in the table; a character has up to four bytes.
-        self.held += 4 * len(key) + len(found) + 200
-        if self.held > self.most:
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+            if len(key) > LONGEST_KEPT:
+                return found
+        # Two objects and a place in the table.
+        size = len(key) + len(found) + 190
+        if self.held + size > self.half:
+            self.older, self.held = dict(self), 0
             self.clear()
-            self.held = 4 * len(key) + len(found) + 200
+        self.held += size
         self[key] = found
         return found
 
