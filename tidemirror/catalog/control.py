@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from uuid import uuid4
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemirror.catalog.reading import AUDIT, audit_log
 from tidemirror.catalog.registry import LOADED_UNTIL, RUN_TS, query, table
 from tidemirror.operators import control as C
+from tidemirror.operators import history as H
 from tidemirror.operators import reports as B
 from tidemirror.session import shared_dir
 
@@ -114,6 +117,52 @@ def snapshot_today(spark, sf):
     return history.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
 
 
+# Copies of the orders on some days: known ones only, and those still open change their price on two days.
+SNAPSHOT_DAYS = {"1996-01-01": 0, "1997-01-01": 0, "1997-01-02": 1, "1998-01-01": 1, "1998-01-02": 0, "1999-07-01": 0}
+_PRICE = "CASE WHEN o_orderstatus = 'O' THEN o_totalprice + {more} ELSE o_totalprice END"
+_COPIES = " UNION ALL ".join(
+    f"SELECT DATE '{day}' AS day, o_orderkey, {_PRICE.format(more=more)} AS price FROM orders WHERE o_orderdate < TIMESTAMP '{day}' OR o_orderstatus = 'P'"
+    for day, more in SNAPSHOT_DAYS.items()
+)
+
+
+def _copy(spark, sf, day):
+    known = (F.col("o_orderdate") < F.lit(day).cast("timestamp_ntz")) | (F.col("o_orderstatus") == "P")
+    price = F.expr(_PRICE.format(more=SNAPSHOT_DAYS[day])).alias("price")
+    return table(spark, sf, "orders").filter(known).select("o_orderkey", price)
+
+
+def _as_text(history):
+    return history.select("o_orderkey", "price", *[F.col(c).cast("string").alias(c) for c in H.BOUNDS])
+
+
+@query(f"""
+    WITH copies AS ({_COPIES}),
+    days AS (SELECT day, row_number() OVER (ORDER BY day) AS n, lead(day, 1, DATE '{H.OPEN}') OVER (ORDER BY day) AS next FROM (SELECT DISTINCT day FROM copies)),
+    islands AS (SELECT *, n - row_number() OVER (PARTITION BY o_orderkey, price ORDER BY n) AS island FROM copies JOIN days USING (day))
+    SELECT o_orderkey, price, CAST(min(day) AS VARCHAR) AS valid_from, CAST(max(next) AS VARCHAR) AS valid_to
+    FROM islands GROUP BY o_orderkey, price, island
+""")
+def snapshot_intervals(spark, sf):
+    """A history by intervals, a day at a time: one day comes late, one is run again after a wrong copy."""
+    first, second, third, fourth, late, last = SNAPSHOT_DAYS
+    history = H.begin_history(_copy(spark, sf, first), first)
+    history = H.put_snapshot(history, _copy(spark, sf, second), second)
+    history = H.put_snapshot(history, _copy(spark, sf, last), third)
+    for day in (third, fourth, last):
+        history = H.put_snapshot(history, _copy(spark, sf, day), day)
+    history = H.put_snapshot(history, _copy(spark, sf, late), late, next_day=last)
+    return _as_text(history)
+
+
+@query(f"SELECT CAST(day AS VARCHAR) AS snapshot_date, o_orderkey, price FROM ({_COPIES})")
+def snapshots_from_intervals(spark, sf):
+    """Daily copies turned into intervals and back."""
+    copies = [B.dated(_copy(spark, sf, day), day) for day in SNAPSHOT_DAYS]
+    history = H.from_daily(reduce(DataFrame.unionByName, copies))
+    return H.daily(history, list(SNAPSHOT_DAYS)).withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+
+
 _FACT = """
     SELECT l_orderkey AS deal_id, l_partkey AS product_id, count(*) AS line_count,
            CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity,
