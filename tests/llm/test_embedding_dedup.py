@@ -88,3 +88,27 @@ def test_query_agrees_with_all_pairs(spark, sf):
     rows = [(r["vec_id"], list(r["embedding"]), r["label"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = QUERIES["op8_embedding_dedup"](spark, sf).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == brute_force(rows)
+
+
+def test_query_agrees_with_its_sql_on_planted_copies(spark, sf, tmp_path):
+    import duckdb
+
+    from tidemirror.llm.queries import ORACLES, QUERIES
+
+    draw = np.random.default_rng(5)
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding", "label")
+    rows = [(r["vec_id"], list(r["embedding"]), r["label"]) for r in table.collect()]
+    first, planted = max(i for i, _, _ in rows) + 1, []
+    for n, (_, vector, label) in enumerate(rows[::5]):
+        # Equal, scaled, near and far copies, some of them under another label.
+        v = np.array(vector, float)
+        away = draw.standard_normal(len(v)) * np.linalg.norm(v) / math.sqrt(len(v))
+        for share in (0, 0.1, 0.3, 0.35, 0.45):
+            planted.append((first + len(planted), [float(x) for x in v * (1 + n % 2) + (1 + n % 2) * share * away], label if n % 7 else None))
+    table.unionByName(spark.createDataFrame(planted, table.schema)).write.parquet(f"{tmp_path}/embeddings.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    columns = "vec_id, n_links, component_id, kept"
+    want = set(db.execute(f"SELECT {columns} FROM ({ORACLES['op8_embedding_dedup']})").fetchall())
+    got = {tuple(r) for r in QUERIES["op8_embedding_dedup"](spark, str(tmp_path)).select(*columns.split(", ")).collect()}
+    assert got == want and sum(n > 0 for _, n, _, _ in want) > len(planted) / 3
