@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tidemirror.operators.reconcile import id_blocks, missing_whole_ids
 from tidemirror.operators import reconcile as R
 from tidemirror.operators.children import cascade, replace_children, replace_relations
+from tidemirror.operators import history
+from tidemirror.operators.reports import dated
 from tidemirror.operators.upsert import ACTION, action_counts, latest_per_key, surrogate_keys, upsert
 
 ROW = "id BIGINT, name STRING, n INT"
@@ -105,6 +107,18 @@ def test_surrogate_keys_without_an_order_do_not_sort(spark):
     assert sorted(r["k"] for r in surrogate_keys(df, None, start=7, column="k").collect()) == list(range(8, 1008))
 
 
+def test_columns_named_like_helpers_stay(spark):
+    names = ["_part", "_row", "_shift", "_rank", "_Island", "_first", "_at", "_next"]
+    df = spark.range(20).select("id", *[F.lit(n).alias(n) for n in names])
+    want = {(i, *names) for i in range(20)}
+    numbered = surrogate_keys(df.repartition(3), ["id"], column="k")
+    assert {tuple(r[:-1]) for r in numbered.collect()} == want and numbered.columns == [*df.columns, "k"]
+    assert {tuple(r) for r in latest_per_key(df.unionAll(df), ["id"], ["_row"]).collect()} == want
+    begun = history.begin_history(df, "2024-01-01")
+    assert {tuple(r) for r in history.put_snapshot(begun, df, "2024-01-02").drop(*history.BOUNDS).collect()} == want
+    assert history.from_daily(dated(df, "2024-01-01")).drop(*history.BOUNDS).count() == 20
+
+
 def test_replace_children(spark):
     old = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d")], "deal_id BIGINT, v STRING")
     new = spark.createDataFrame([(1, "z"), (4, "y")], "deal_id BIGINT, v STRING")

@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def spare_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def align(df: DataFrame, schema: T.StructType, extra: bool = False) -> DataFrame:
     """Columns of ``schema`` in its order, missing ones as typed nulls.
 

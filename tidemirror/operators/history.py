@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemirror.operators.align import spare_names
 from tidemirror.operators.reports import SNAPSHOT_DATE
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
@@ -48,25 +49,27 @@ def put_snapshot(history: DataFrame, rows: DataFrame, day: str, next_day: str |
     # Pieces of equal rows that meet become one.
     row = Window.partitionBy(*columns).orderBy(VALID_FROM)
     opens = F.coalesce(F.lag(VALID_TO).over(row) < F.col(VALID_FROM), F.lit(True))
-    island = F.sum("_opens").over(row.rowsBetween(Window.unboundedPreceding, 0))
-    placed = pieces.withColumn("_opens", opens.cast("int")).withColumn("_island", island)
-    merged = placed.groupBy(*columns, "_island").agg(F.min(VALID_FROM).alias(VALID_FROM), F.max(VALID_TO).alias(VALID_TO))
-    return history.where(away).unionByName(merged.drop("_island"))
+    first, group = spare_names(history, "_first", "_island")
+    island = F.sum(first).over(row.rowsBetween(Window.unboundedPreceding, 0))
+    placed = pieces.withColumn(first, opens.cast("int")).withColumn(group, island)
+    merged = placed.groupBy(*columns, group).agg(F.min(VALID_FROM).alias(VALID_FROM), F.max(VALID_TO).alias(VALID_TO))
+    return history.where(away).unionByName(merged.drop(group))
 
 
 def from_daily(copies: DataFrame) -> DataFrame:
     """The history of a table of daily copies, whose days are told by ``snapshot_date``."""
     columns = [c for c in copies.columns if c != SNAPSHOT_DATE]
     # One row per day there ever was.
+    at, following, group = spare_names(copies, "_at", "_next", "_island")
     by_day = Window.orderBy(SNAPSHOT_DATE)
     days = copies.select(SNAPSHOT_DATE).distinct().select(
-        SNAPSHOT_DATE, F.row_number().over(by_day).alias("_at"), F.coalesce(F.lead(SNAPSHOT_DATE).over(by_day), _day(OPEN)).alias("_next")
+        SNAPSHOT_DATE, F.row_number().over(by_day).alias(at), F.coalesce(F.lead(SNAPSHOT_DATE).over(by_day), _day(OPEN)).alias(following)
     )
     placed = copies.distinct().join(F.broadcast(days), SNAPSHOT_DATE)
-    island = F.col("_at") - F.row_number().over(Window.partitionBy(*columns).orderBy("_at"))
-    return placed.withColumn("_island", island).groupBy(*columns, "_island").agg(
-        F.min(SNAPSHOT_DATE).alias(VALID_FROM), F.max("_next").alias(VALID_TO)
-    ).drop("_island")
+    island = F.col(at) - F.row_number().over(Window.partitionBy(*columns).orderBy(at))
+    return placed.withColumn(group, island).groupBy(*columns, group).agg(
+        F.min(SNAPSHOT_DATE).alias(VALID_FROM), F.max(following).alias(VALID_TO)
+    ).drop(group)
 
 
 def snapshot_on(history: DataFrame, day: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemirror.operators.align import spare_names
 from tidemirror.session import checkpointed
 
 ACTION = "_action"
@@ -26,7 +27,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     """
     newest = [(F.col(c) if isinstance(c, str) else c).desc() for c in order]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    (place,) = spare_names(df, "_rank")
+    return df.withColumn(place, rank).filter(F.col(place) == 1).drop(place)
 
 
 def one_row_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -114,16 +116,17 @@ def surrogate_keys(df: DataFrame, order: Sequence[str | Column] | None, start: i
     the counts per partition and the numbering must see the same partitions. Only one
     count per partition is gathered to shift each partition's own numbering.
     """
+    part, row, moved = spare_names(df, "_part", "_row", "_shift")
     placed = checkpointed(df.sparkSession, df.sort(*order) if order else df)
-    numbered = placed.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_row", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("bigint"), 33)
+    numbered = placed.withColumn(part, F.spark_partition_id()).withColumn(
+        row, F.monotonically_increasing_id() - F.shiftleft(F.col(part).cast("bigint"), 33)
     )
-    sizes = numbered.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = numbered.groupBy(part).agg(F.count("*").alias("_n"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition of the sort: at most spark.sql.shuffle.partitions rows.
-    shift = sizes.select(F.col("_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    shift = sizes.select(F.col(part), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(moved))
     return (
-        numbered.join(F.broadcast(shift), "_part")
-        .withColumn(column, F.col("_shift") + F.col("_row") + F.lit(start + 1))
-        .drop("_part", "_row", "_shift")
+        numbered.join(F.broadcast(shift), part)
+        .withColumn(column, F.col(moved) + F.col(row) + F.lit(start + 1))
+        .drop(part, row, moved)
     )
