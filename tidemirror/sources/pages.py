@@ -36,11 +36,12 @@ def landed(spark: SparkSession, path: str, file_format: str = "json") -> DataFra
     return spark.read.schema(PAGE_SCHEMA).format(file_format).load(path)
 
 
-def page_heads(pages: DataFrame, record_key: str) -> DataFrame:
+def page_heads(pages: DataFrame, record_key: str, *more: str) -> DataFrame:
     """Per landed page: whether it is usable, how many records it holds, how many pages there are.
 
     A body that is no JSON object, or an empty object, counts as a failed page. Records
-    are read with a single field, which is all that counting them needs.
+    are read with a single field, which is all that counting them needs. Columns named in
+    ``more`` stay.
     """
     envelope = f"STRUCT<`{record_key}`: ARRAY<{_HEAD}>, meta: STRUCT<total_pages: INT>, _corrupt: STRING>"
     read = pages.withColumn("_env", F.from_json("body", envelope, {"columnNameOfCorruptRecord": "_corrupt"}))
@@ -51,6 +52,7 @@ def page_heads(pages: DataFrame, record_key: str) -> DataFrame:
         F.coalesce(filled, F.lit(False)).alias("ok"),
         F.col("_env.meta.total_pages").alias("total_pages"),
         F.coalesce(F.size(F.col(f"_env.`{record_key}`")), F.lit(0)).alias("n_records"),
+        *more,
     )
 
 
@@ -59,22 +61,26 @@ def _view() -> list[Column]:
     return [F.col("entity"), F.coalesce("view_id", F.lit(0)).alias("view_id")]
 
 
-def view_ends(heads: DataFrame, rule: str) -> DataFrame:
-    """Per view: the page its scan should end at, the last page in an unbroken run
-    from page 1, and whether the run reaches the end.
-
-    Breaks are found by joining each page to its successor on (view, page), which
-    spreads one large view over all tasks where a window per view would not.
-    """
+def end_page(rule: str) -> Column:
+    """The page a scan ends at, as an aggregate over the heads of a view's pages."""
     first_page = F.max(F.when(F.col("ok") & (F.col("page") == 1), F.coalesce("total_pages", F.lit(1))))
     first_empty = F.min(F.when(F.col("ok") & (F.col("n_records") == 0), F.col("page")))
     first_last = F.min(F.when(F.col("ok") & (F.col("page") >= F.coalesce("total_pages", F.lit(1))), F.col("page")))
-    end = {
+    return {
         FIRST_PAGE: F.least(first_page, first_empty),
         EVERY_PAGE: F.least(first_last, first_empty),
         UNTIL_EMPTY: first_empty,
-        SINGLE: F.lit(1),
+        SINGLE: F.min(F.lit(1)),
     }[rule]
+
+
+def view_ends(heads: DataFrame, rule: str) -> DataFrame:
+    """Per view: the page its scan should end at, the last page in an unbroken run
+    from page 1, and whether the run reaches the end.
+
+    Breaks are found by joining each page to its successor on (view, page), which
+    spreads one large view over all tasks where a window per view would not.
+    """
     followed = (
         heads.filter("ok and page > 1")
         .select(*VIEW, (F.col("page") - 1).alias("page"))
@@ -87,7 +93,7 @@ def view_ends(heads: DataFrame, rule: str) -> DataFrame:
         heads.join(followed, [*VIEW, "page"], "left")
         .groupBy(*VIEW)
         .agg(
-            end.alias("end_page"),
+            end_page(rule).alias("end_page"),
             F.min(F.when(stops, F.col("page"))).alias("_run"),
             F.coalesce(F.max(F.col("ok") & (F.col("page") == 1)), F.lit(False)).alias("_starts"),
             F.count_distinct(F.when(F.col("ok"), F.col("page"))).alias("seen_pages"),
