@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemirror.catalog.registry import query, table
+from tidemirror.catalog.registry import land, query, table
 from tidemirror.functions import normalize as N
 from tidemirror.functions import quality as Q
+from tidemirror.functions.sql import register_functions
+from tidemirror.operators import discover as D
 from tidemirror.operators.align import ensure_columns, evolve
+from tidemirror.operators.upsert import ACTION, upsert
 from tidemirror.plans.entities import CONTACTS
-from tidemirror.plans.project import project, record_type
+from tidemirror.plans.project import CUSTOM, project, record_type
+from tidemirror.session import checkpointed
+from tidemirror.sources import pages as P
 
 
 def _by_type(**forms):
@@ -22,7 +27,7 @@ def _by_type(**forms):
     return chosen
 
 
-@query("""
+_PARSED_TIMES = """
     SELECT event_id,
            CASE WHEN value < 1 THEN NULL
                 WHEN event_type = 'click' THEN date_trunc('second', ts)
@@ -30,8 +35,10 @@ def _by_type(**forms):
                 WHEN event_type = 'signup' THEN CAST(date_trunc('day', ts) AS TIMESTAMP)
                 WHEN event_type = 'purchase' THEN date_trunc('minute', ts) END AS at
     FROM events
-""")
-def parse_timestamp(spark, sf):
+"""
+
+
+def told_times(spark, sf):
     """Five spellings of a time; small values land outside the accepted range."""
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     text = _by_type(
@@ -42,8 +49,19 @@ def parse_timestamp(spark, sf):
         error=F.date_format("ts", "yyyy"),
     )
     text = F.when(F.col("value") < 1, F.concat(F.lit("1700"), F.substring(iso, 5, 30))).otherwise(text)
-    told = table(spark, sf, "events").select("event_id", text.alias("raw"))
-    return told.select("event_id", N.parse_ts("raw").alias("at"))
+    return table(spark, sf, "events").select("event_id", text.alias("raw"))
+
+
+@query(_PARSED_TIMES)
+def parse_timestamp(spark, sf):
+    return told_times(spark, sf).select("event_id", N.parse_ts("raw").alias("at"))
+
+
+@query(_PARSED_TIMES)
+def parse_timestamp_sql(spark, sf):
+    """The same in SQL text."""
+    register_functions(spark)
+    return spark.sql("SELECT event_id, parse_ts(raw) AS at FROM {told}", told=told_times(spark, sf))
 
 
 @query("""
@@ -248,3 +266,64 @@ def ensure_table_columns(spark, sf):
         "p_partkey as id", "p_name as name", "p_type as category", "p_retailprice as price", "p_brand as brand"
     )
     return ensure_columns(spark, older, schema)
+
+
+def _told_contacts(spark, sf):
+    """Customers as contacts whose custom fields tell one known name and three that no specification has."""
+    custom = F.struct(
+        F.col("c_mktsegment").alias("cf_rol_del_contacto"),
+        F.col("c_acctbal").alias("cf_balance"),
+        F.when(F.col("c_acctbal") < 0, F.lit(True)).alias("cf_debtor"),
+        F.col("c_nationkey").alias("cf_nation"),
+    )
+    record = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("display_name"), custom.alias(CUSTOM))
+    return land(table(spark, sf, "customer"), "contacts", "contacts", "c_custkey", record, 7)
+
+
+def _read_contacts(spark, sf):
+    kind = f"STRUCT<id: BIGINT, display_name: STRING, {CUSTOM}: VARIANT>"
+    return P.read_pages(_told_contacts(spark, sf), "contacts", kind, P.FIRST_PAGE).select("rec.*")
+
+
+@query("""
+    SELECT 'cf_balance' AS field, 'DOUBLE' AS kind, count(*) AS records, count(*) AS filled FROM customer HAVING count(*) > 0
+    UNION ALL SELECT 'cf_debtor', 'BOOLEAN', count(*), count(*) FROM customer WHERE c_acctbal < 0 HAVING count(*) > 0
+    UNION ALL SELECT 'cf_nation', 'BIGINT', count(*), count(*) FROM customer HAVING count(*) > 0
+""")
+def discover_fields(spark, sf):
+    return D.unknown_fields(_read_contacts(spark, sf), CUSTOM, CONTACTS.declared.names)
+
+
+@query("""
+    SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'old' END AS display_name,
+           CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS cf_balance,
+           CASE WHEN c_custkey % 2 = 0 AND c_acctbal < 0 THEN true END AS cf_debtor,
+           CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END AS cf_nation
+    FROM customer
+""")
+def evolve_by_discovery(spark, sf):
+    """A table widened by the fields of a batch that told changes of every second row."""
+    # Written once: the fields are found in these rows and read from them.
+    records = checkpointed(spark, _read_contacts(spark, sf).filter("id % 2 = 0"))
+    columns = D.new_columns(D.unknown_fields(records, CUSTOM, CONTACTS.declared.names))
+    old = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.lit("old").alias("display_name"))
+    target, batch = evolve(old, D.with_fields(records, CUSTOM, columns, ["id", "display_name"]))
+    return upsert(target, batch, "id").drop(ACTION)
+
+
+@query("""
+    SELECT c_custkey // 100 + 1 AS page, row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY c_custkey) - 1 AS pos,
+           c_custkey AS id, c_acctbal < 0 AS debtor, true AS known
+    FROM customer
+""")
+def page_records_sql(spark, sf):
+    """Records out of landed pages, in SQL text: missing fields are false, or the default."""
+    register_functions(spark)
+    return spark.sql(
+        """
+        SELECT page, pos, CAST(rec:id AS BIGINT) AS id, truthy_bit(rec:custom_field.cf_debtor) AS debtor,
+               bit_or_default(rec:known, true) AS known
+        FROM {pages}, LATERAL page_records(body, 'contacts')
+        """,
+        pages=_told_contacts(spark, sf),
+    )
