@@ -13,6 +13,7 @@ from tidemirror.catalog.registry import LOADED_UNTIL, RUN_TS, query, table
 from tidemirror.operators import control as C
 from tidemirror.operators import history as H
 from tidemirror.operators import reports as B
+from tidemirror.operators import statistics as S
 from tidemirror.session import shared_dir
 
 
@@ -211,3 +212,34 @@ def post_step_audit(spark, sf):
     told = done.join(written[0].unionByName(written[1]), "entity_name", "left")
     has_error = F.col("error_message").isNotNull().cast("int").alias("has_error")
     return told.select("entity_name", "execution_status", has_error, F.coalesce("rows_written", F.lit(0)).alias("rows_written"))
+
+
+@query("""
+    SELECT event_type, count(*) AS rows, count(DISTINCT user_id) AS exact_ids, true AS ids_near, true AS median_near, true AS p95_near
+    FROM events GROUP BY event_type
+""")
+def statistics_over_runs(spark, sf):
+    """Sketches of a run a day, one of them repeated, united; whether the estimates lie within their stated errors.
+
+    The distinct count may be off by four standard errors, a quantile's rank by 2.66 %.
+    """
+    events = table(spark, sf, "events").select("event_type", F.to_date("ts").alias("run"), "user_id", "value")
+    by = ["event_type", "run"]
+    kept = S.scan_statistics(events, by, "user_id", "value")
+    repeated = S.scan_statistics(events.filter("run = DATE '2024-01-10'"), by, "user_id", "value")
+    estimates = S.told(S.united(S.put_statistics(kept, repeated, by), ["event_type"]))
+    # One row per event type.
+    seen = events.join(F.broadcast(estimates.select("event_type", "size_p50", "size_p95")), "event_type")
+    exact = seen.groupBy("event_type").agg(
+        F.count_distinct("user_id").alias("exact_ids"),
+        *[(F.count_if(F.col("value") < F.col(p)) / F.count("value")).alias(f"{p}_below") for p in ("size_p50", "size_p95")],
+        *[(F.count_if(F.col("value") <= F.col(p)) / F.count("value")).alias(f"{p}_upto") for p in ("size_p50", "size_p95")],
+    )
+
+    def near(p, rank):
+        return (F.col(f"{p}_below") <= rank + 0.0266) & (F.col(f"{p}_upto") >= rank - 0.0266)
+
+    off = F.abs(F.col("distinct_ids") - F.col("exact_ids")) <= 4 * 1.04 / 2 ** (S.LG_K / 2) * F.col("exact_ids")
+    return estimates.join(exact, "event_type").select(
+        "event_type", "rows", "exact_ids", off.alias("ids_near"), near("size_p50", 0.5).alias("median_near"), near("size_p95", 0.95).alias("p95_near")
+    )
