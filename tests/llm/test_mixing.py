@@ -86,6 +86,21 @@ def test_rates_solve_the_dual(spark):
         assert math.isclose(words, goals[r["source"][1:]], rel_tol=1e-6)
 
 
+def test_a_source_at_its_cap_takes_no_rounds(spark, monkeypatch):
+    """Its rates are the cap from the start; the rounds, and with them the driver's plans and jobs, are those of the others."""
+    rows = [(i, "w " * (1 + i % 300), "a" if i < 300 else "b") for i in range(600)]
+    cells = M.sizes(frame(spark, rows), "doc_id", "source", "text").groupBy("source", "size").count().withColumnRenamed("count", "n")
+    size = sum(range(1, 301))
+    wanted = spark.createDataFrame([("sa", size, 2.0 * size), ("sb", size, 1.3 * size)], "source STRING, source_size BIGINT, target DOUBLE")
+    calls = []
+    monkeypatch.setattr(M, "checkpointed", lambda spark, df, kept=M.checkpointed: calls.append(1) or kept(spark, df))
+    got = {r["source"]: r for r in M.tilts(cells, wanted, M.Mix()).collect()}
+    rate = lambda s, x: min(2, math.exp(got[s]["tilt"] * x / got[s]["mean"]))
+    assert all(math.isclose(rate("sa", x), 2, rel_tol=1e-9) for x in range(1, 301))
+    assert math.isclose(sum(x * rate("sb", x) for x in range(1, 301)), 1.3 * size, rel_tol=1e-6)
+    assert len(calls) <= 10
+
+
 def test_odd_documents_and_an_empty_table(spark, odd, none):
     got = M.mix_sources(odd)
     assert got.columns == ["doc_id", "size", "source_size", "target", "copies", "taken"]

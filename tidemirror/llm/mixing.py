@@ -80,13 +80,16 @@ def tilts(cells: DataFrame, wanted: DataFrame, mix: Mix) -> DataFrame:
     totals = cells.groupBy("source").agg(F.sum("n").alias("documents"))
     mean = F.col("source_size") / F.col("documents")
     # At the upper bound every rate is at the cap; at the lower one the words are too few.
+    high = mean * math.log(mix.cap)
+    # A source whose target is its cap has its solution there; steps from 0 would only halve their way to it.
+    full = F.col("target") >= F.col("source_size") * mix.cap
     state = wanted.join(totals, "source").select(
         "source",
         "target",
         mean.alias("mean"),
-        F.lit(0.0).alias("tilt"),
+        F.when(full, high).otherwise(0.0).alias("tilt"),
         F.least(mean * F.log(F.col("target") / F.col("source_size")), F.lit(0.0)).alias("low"),
-        (mean * math.log(mix.cap)).alias("high"),
+        high.alias("high"),
         F.lit(False).alias("done"),
     )
     state = checkpointed(spark, state)
@@ -94,14 +97,15 @@ def tilts(cells: DataFrame, wanted: DataFrame, mix: Mix) -> DataFrame:
         rate = _tilted(mix)
         words = F.col("n") * F.col("size") * rate
         free = F.col("tilt") * F.col("size") / F.col("mean") < math.log(mix.cap)
-        sums = cells.join(state, "source").groupBy("source").agg(
+        # The state goes through the sums as their key, so a round is one join and one job.
+        sums = cells.join(state, "source").groupBy(*state.columns).agg(
             F.sum(words).alias("words"), F.sum(F.when(free, words * F.col("size") / F.col("mean")).otherwise(0.0)).alias("slope")
         )
         step = F.col("tilt") - F.try_divide(F.log(F.col("words") / F.col("target")) * F.col("words"), F.col("slope"))
         low = F.when(F.col("words") <= F.col("target"), F.col("tilt")).otherwise(F.col("low"))
         high = F.when(F.col("words") >= F.col("target"), F.col("tilt")).otherwise(F.col("high"))
         met = F.abs(F.col("words") / F.col("target") - 1) <= mix.precision
-        moved = state.join(sums, "source").select("source", "target", "mean", "tilt", "slope", low.alias("low"), high.alias("high"), step.alias("step"), met.alias("done"))
+        moved = sums.select("source", "target", "mean", "tilt", "slope", low.alias("low"), high.alias("high"), step.alias("step"), met.alias("done"))
         inside = (F.col("slope") > 0) & (F.col("step") > F.col("low")) & (F.col("step") < F.col("high"))
         following = F.when(inside, F.col("step")).otherwise((F.col("low") + F.col("high")) / 2)
         moved = moved.withColumn("tilt", F.when(F.col("done"), F.col("tilt")).otherwise(following)).drop("slope", "step")
