@@ -144,3 +144,11 @@ def test_no_python_on_the_main_path(spark):
     df = spark.createDataFrame(corpus(6, 10), "doc_id BIGINT, text STRING")
     text = D.dedup_lines(df)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", text)
+
+
+def test_no_join_of_places_is_a_broadcast(spark):
+    docs = spark.createDataFrame([(i, "one two three four five\nsix seven eight nine ten\nonly " + str(i)) for i in range(4)], "doc_id BIGINT, text STRING")
+    found = D.dedup_lines(docs, max_copies=1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
+    assert sorted(r["n_removed"] for r in found.collect()) == [0, 2, 2, 2]

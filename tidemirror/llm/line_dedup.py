@@ -56,6 +56,12 @@ def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min(place).alias("head"), F.max(place).alias("tail")).where("head < tail").drop("tail")
 
 
+def _merged(df: DataFrame, other: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join of two tables of places. It is never a broadcast: a round has several joins, and small
+    tables would leave the relations of all rounds with the driver at once."""
+    return df.join(other.hint("merge"), on, how)
+
+
 def _kept(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """Rows written once, and their number."""
     count = Observation()
@@ -68,17 +74,17 @@ def intervals(rows: DataFrame, rounds: int = 62) -> list[DataFrame]:
 
     Single lines have ``pos`` and ``words`` too.
     """
-    single = rows.join(_groups(rows, ["h", "g"]), ["h", "g"]).select(*PLACE, "pos", "words", F.col("head").alias("first"))
+    single = _merged(rows, _groups(rows, ["h", "g"]), ["h", "g"]).select(*PLACE, "pos", "words", F.col("head").alias("first"))
     # Rows that repeat id and text share their places.
     level, size = _kept(single.dropDuplicates(PLACE), "lines-1")
     levels = []
     while size and len(levels) <= rounds:
         levels.append(level)
-        here = level.select(*PLACE, "first")
-        further = here.select("doc", "row", (F.col("seq") - (1 << (len(levels) - 1))).alias("seq"), F.col("first").alias("further"))
+        step = 1 << (len(levels) - 1)
+        ahead = Window.partitionBy("doc", "row").orderBy("seq").rangeBetween(step, step)
         # A suffix whose further part is unique, or that ends its document, is unique from here on.
-        both = here.join(further, PLACE)
-        twice = both.join(_groups(both, ["first", "further"]), ["first", "further"])
+        both = level.select(*PLACE, "first", F.first("first").over(ahead).alias("further")).where("further IS NOT NULL")
+        twice = _merged(both, _groups(both, ["first", "further"]), ["first", "further"])
         level, size = _kept(twice.select(*PLACE, F.col("head").alias("first")), f"lines-{1 << len(levels)}")
     return levels
 
@@ -92,9 +98,9 @@ def later_runs(levels: list[DataFrame]) -> DataFrame:
         if runs is not None:
             # Where the lines after the shared ones agree on 2^k more, a longer interval begins.
             after = level.select("doc", "row", F.col("seq").alias("_next"), F.col("first").alias("further"))
-            asked = runs.withColumn("_next", F.col("seq") + F.col("length")).join(after, ["doc", "row", "_next"], "left").drop("_next")
+            asked = _merged(runs.withColumn("_next", F.col("seq") + F.col("length")), after, ["doc", "row", "_next"], "left").drop("_next")
             deeper = _groups(asked.where("further IS NOT NULL"), ["length", "first", "further"])
-            met = asked.join(deeper, ["length", "first", "further"], "left")
+            met = _merged(asked, deeper, ["length", "first", "further"], "left")
             old = F.struct("length", "first")
             new = F.struct((F.col("length") + (1 << k)).alias("length"), F.col("head").alias("first"))
             # The first place of the longer interval stays in the shorter one as well.
@@ -102,7 +108,7 @@ def later_runs(levels: list[DataFrame]) -> DataFrame:
             runs = met.select(*PLACE, F.explode(stays).alias("in")).select(*PLACE, "in.*")
         later = level.where(place > F.col("first")).select(*PLACE, F.lit(1 << k).alias("length"), "first")
         if runs is not None:
-            later = later.join(runs.where(place > F.col("first")).select(*PLACE), PLACE, "left_anti")
+            later = _merged(later, runs.where(place > F.col("first")).select(*PLACE), PLACE, "left_anti")
         heads = later.select("length", "first").distinct().select("first.*", "length", "first")
         runs = later.unionByName(heads) if runs is None else runs.unionByName(later).unionByName(heads)
         runs = stored(runs, f"runs-{1 << k}")
@@ -122,16 +128,16 @@ def deleted(rows: DataFrame, min_words: int = MIN_WORDS, max_copies: int | None
     upto = Window.partitionBy("doc", "row").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = single.withColumn("upto", F.sum("words").over(upto))
     last = counted.select("doc", "row", F.col("seq").alias("last"), F.col("upto").alias("to"))
-    runs = later_runs(levels).join(counted.select(*PLACE, (F.col("upto") - F.col("words")).alias("from")), PLACE)
-    runs = runs.withColumn("last", F.col("seq") + F.col("length") - 1).join(last, ["doc", "row", "last"])
+    runs = _merged(later_runs(levels), counted.select(*PLACE, (F.col("upto") - F.col("words")).alias("from")), PLACE)
+    runs = _merged(runs.withColumn("last", F.col("seq") + F.col("length") - 1), last, ["doc", "row", "last"])
     runs = runs.where(F.col("to") - F.col("from") >= min_words).select(*PLACE, "length")
     if max_copies is not None:
         often = single.where("words > 0").groupBy("first").count().where(F.col("count") > max_copies).select("first")
-        copies = single.where(F.struct(*PLACE) > F.col("first")).join(often, "first", "left_semi")
+        copies = _merged(single.where(F.struct(*PLACE) > F.col("first")), often, ["first"], "left_semi")
         runs = runs.unionByName(copies.select(*PLACE, F.lit(1).alias("length")))
     covered = runs.select("doc", "row", "length", F.explode(F.sequence("seq", F.col("seq") + F.col("length") - 1)).alias("seq"))
     covered = covered.groupBy(*PLACE).agg(F.max("length").alias("length"))
-    places = covered.join(single.select(*PLACE, "pos"), PLACE)
+    places = _merged(covered, single.select(*PLACE, "pos"), PLACE)
     return places.groupBy("doc", "row").agg(F.collect_set("pos").alias("removed"), F.max("length").alias("run_lines"))
 
 
@@ -152,7 +158,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), removed)
     cleaned = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
     return (
-        keyed.join(gone, [doc, row], "left")
+        _merged(keyed, gone, [doc, row], "left")
         .withColumns(
             {
                 "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(parts)).cast("bigint"),

@@ -16,7 +16,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once in the shared folder and read back, so a lost executor costs no earlier stage."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known, so no job reads it from the files.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # A side of more rows than this is never broadcast; it is joined by a shuffle.
