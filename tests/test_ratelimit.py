@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from tidemirror.operators import ratelimit
 from tidemirror.operators.ratelimit import open_windows, rate_limit, successors
 from tidemirror.streaming.ratelimit_stream import rate_limit_stream
 
@@ -127,3 +128,40 @@ def test_stream_agrees_with_batch(spark, tmp_path, files):
     rate_limit_stream(stream, "who", "ts", "id", root=str(tmp_path), limit=2, window_seconds=60).awaitTermination()
     got = {r["id"]: (r["allowed"], r["remaining"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == brute_force(events, 2, 60)
+
+
+def hot_events(n, step_ms):
+    return [(i, "hot", START + timedelta(milliseconds=step_ms * i)) for i in range(n)]
+
+
+def test_a_row_is_looked_at_once_for_its_successor(spark):
+    """No frame is gone through anew for every row; a hot key's rows would be passed as often as they are many."""
+    df = spark.createDataFrame([("k", t) for t in range(10)], "who STRING, _t BIGINT")
+    assert "unboundedfollowing" not in successors(df, "who", 3)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rounds_join_ways_into_blocks_and_not_every_time(spark, monkeypatch):
+    """What the rounds keep does not grow with the times inside the blocks."""
+    kept = []
+
+    def counted(session, df):
+        out = checkpointed(session, df)
+        kept.append(out.count())
+        return out
+
+    checkpointed = ratelimit.checkpointed
+    monkeypatch.setattr(ratelimit, "checkpointed", counted)
+    events = hot_events(6000, 137)
+    assert run(spark, events, limit=3, window_seconds=2) == brute_force(events, 3, 2)
+    # An event's time and the end of its window are sorted once.
+    assert sum(kept) < 3 * len(events)
+
+
+@pytest.mark.parametrize("block", [1, 4, 64])
+@pytest.mark.parametrize("step_ms", [100, 900, 7000])
+def test_chains_through_many_blocks_agree_with_the_loop(spark, monkeypatch, block, step_ms):
+    """Windows inside a block, as long as one, and over several."""
+    monkeypatch.setattr(ratelimit, "BLOCK", block)
+    draw = random.Random(block)
+    hot = [(i, draw.choice(["hot", "hot", "warm", None]), ts + timedelta(microseconds=draw.randrange(2_000_000))) for i, _, ts in hot_events(300, step_ms)]
+    assert run(spark, hot, limit=2, window_seconds=6) == brute_force(hot, 2, 6)

@@ -6,10 +6,11 @@ after that opens the next. In each window the first ``limit`` events are allowed
 Whether an event opens a window depends on all earlier events of its key, yet no task
 ever sees a key as a whole, and the work does not depend on how many windows there are:
 one sort over all keys gives every event time its successor, the first time that is at
-least one window length later. From each key's first time the successors are followed by
-doubling: a round joins the jumps with themselves, so that they reach twice as far, and
-adds where the openings known so far jump to. The rounds are as many as the binary digits
-of the longest chain.
+least one window length later. A key's sorted times are cut into blocks. Inside a block
+the successors are followed as places in an array; between blocks only the times a chain
+can come in by are left, and these are followed by doubling: a round joins the jumps with
+themselves, so that they reach twice as far, and adds where the openings known so far jump
+to. The rounds are as many as the binary digits of the blocks of the longest chain.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from tidemirror.session import checkpointed
 
 MICROS = 1_000_000
 OPENED, USED = "_opened", "_used"
+# Times of a key that are followed at once, as one array.
+BLOCK = 4096
 
 
 def micros(ts: str | Column) -> Column:
@@ -131,27 +134,66 @@ def successors(times: DataFrame, key: str, width: int) -> DataFrame:
     a moment's successor is the next time of its key; for the last ones of a partition it is
     the first time of the partitions after it, of which one row each is looked at.
     """
+    return _followed(times, key, width).select(key, "_t", "_next")
+
+
+def _followed(times: DataFrame, key: str, width: int) -> DataFrame:
+    """``successors`` with their partition ``_part`` and ``_block``: the times of a key's block follow each other."""
     spark = times.sparkSession
     ends = times.select(key, (F.col("_t") + width).alias("_m"), F.lit(0).alias("_is_time"), "_t")
     marks = ends.union(times.select(key, F.col("_t").alias("_m"), F.lit(1), F.lit(None).cast("bigint")))
     # An end comes before a time of the same moment, which is late enough.
     placed = checkpointed(spark, marks.sort(key, "_m", "_is_time")).withColumn("_part", F.spark_partition_id())
     time = F.when(F.col("_is_time") == 1, F.col("_m"))
-    ahead = Window.partitionBy("_part", key).orderBy("_m", "_is_time").rowsBetween(0, Window.unboundedFollowing)
-    inside = placed.withColumn("_inside", F.min(time).over(ahead)).filter("_is_time = 0")
+    # From the last mark back, as a frame that only grows is one step a row.
+    ahead = Window.partitionBy("_part", key).orderBy(F.desc("_m"), F.desc("_is_time")).rowsBetween(Window.unboundedPreceding, 0)
+    inside = placed.withColumns({"_inside": F.min(time).over(ahead), "_ends": F.count_if(F.col("_is_time") == 0).over(ahead)}).filter("_is_time = 0")
     # One row per partition of the sort.
     first = F.min(F.when(F.col("_is_time") == 1, F.struct(F.col(key).alias("key"), F.col("_m").alias("m"))))
-    later = Window.orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
-    heads = placed.groupBy("_part").agg(first.alias("_first")).select("_part", F.first("_first", ignorenulls=True).over(later).alias("_head"))
+    later = Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    heads = placed.groupBy("_part").agg(first.alias("_first")).select("_part", F.last("_first", ignorenulls=True).over(later).alias("_head"))
     found = inside.join(F.broadcast(heads), "_part")
     across = F.when(F.col("_head.key").eqNullSafe(F.col(key)) & F.col("_head").isNotNull(), F.col("_head.m"))
-    return found.select(key, "_t", F.coalesce("_inside", across).alias("_next")).filter("_next IS NOT NULL")
+    block = F.expr(f"int((_ends - 1) div {BLOCK})").alias("_block")
+    return found.select(key, "_t", F.coalesce("_inside", across).alias("_next"), "_part", block).filter("_next IS NOT NULL")
+
+
+def _blocks(times: DataFrame, key: str, width: int) -> DataFrame:
+    """One row per block: ``_part``, ``_block`` and ``_rows``, its times with their successor and ``n``, the place of it.
+
+    Places count from 0; a successor outside the block has the place after the last.
+    """
+    near = Window.partitionBy("_part", key, "_block").orderBy("_t").rangeBetween(Window.unboundedPreceding, width - 1)
+    placed = _followed(times, key, width).filter("_t IS NOT NULL").withColumn("_n", F.count("*").over(near).cast("int"))
+    row = F.struct(F.col("_t").alias("t"), F.col("_n").alias("n"), F.col("_next").alias("next"))
+    return placed.groupBy("_part", key, "_block").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+
+
+# A round for each binary digit of the number of times, each round with jumps twice as far.
+_DIGITS = "sequence(1, length(bin(size(_rows))))"
+# The place where a chain leaves the block, for each place it may come in.
+_LAST = f"""
+    aggregate({_DIGITS}, transform(_rows, (r, i) -> if(r.n < size(_rows), r.n, i)), (far, _) -> transform(far, i -> get(far, i)))
+"""
+# The places of the chain that comes in at ``_at``, which is the first of them.
+_CHAIN = f"""
+    aggregate({_DIGITS}, struct(transform(_rows, r -> r.n) AS far, array(_at) AS chain),
+        (done, _) -> struct(
+            transform(done.far, i -> coalesce(get(done.far, i), i)) AS far,
+            concat(done.chain, filter(transform(done.chain, i -> get(done.far, i)), i -> i < size(_rows))) AS chain),
+        done -> done.chain)
+"""
 
 
 def _openings(times: DataFrame, key: str, width: int) -> DataFrame:
     """Event times that open a window: ``(key, _t)``."""
     spark = times.sparkSession
-    jumps = checkpointed(spark, successors(times, key, width))
+    blocks = checkpointed(spark, _blocks(times, key, width))
+    # A chain comes from a time before the block, so not later than by the successor of the block's first time.
+    ways = F.expr("transform(slice(_last, 1, _rows[0].n + 1), (last, i) -> struct(i AS at, get(_rows, i).t AS t, get(_rows, last).next AS next))")
+    ins = blocks.withColumn("_last", F.expr(_LAST)).select("_part", key, "_block", F.inline(ways).alias("_at", "_t", "_next"))
+    ins = checkpointed(spark, ins)
+    jumps = ins.select(key, "_t", "_next")
     known = checkpointed(spark, times.groupBy(key).agg(F.min("_t").alias("_t")))
     while not jumps.isEmpty():
         on = jumps.select(F.col(key).alias("_key"), F.col("_t").alias("_from"), F.col("_next").alias("_to"))
@@ -159,4 +201,11 @@ def _openings(times: DataFrame, key: str, width: int) -> DataFrame:
         known = checkpointed(spark, known.union(further))
         twice = jumps.join(on, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_next") == F.col("_from")))
         jumps = checkpointed(spark, twice.select(key, "_t", F.col("_to").alias("_next")))
-    return known
+    # Where the chain comes into each block, and from there its other times in it.
+    met = known.select(F.col(key).alias("_key"), F.col("_t").alias("_own"))
+    came = ins.join(met, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_t") == F.col("_own")), "left_semi")
+    came = came.select(F.col("_part").alias("_p"), F.col(key).alias("_key"), F.col("_block").alias("_b"), "_at")
+    same_block = (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_key")) & (F.col("_block") == F.col("_b"))
+    chains = blocks.join(came, same_block).withColumn("_chain", F.expr(_CHAIN))
+    others = F.expr("transform(slice(_chain, 2, size(_chain)), i -> get(_rows, i).t)")
+    return known.union(chains.select(key, F.explode(others).alias("_t")))
