@@ -4,6 +4,7 @@ import json
 from datetime import datetime
 from uuid import uuid4
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from tidemirror.operators.upsert import upsert
 from tidemirror.plans import load as L
 from tidemirror.plans.entities import REGISTRY, select_entities
 from tidemirror.plans.load import AUDIT_TABLE, Job, ensure_tables, load_entity, run
+from tidemirror.session import long_rows
 from tidemirror.sources.pages import PAGE_SCHEMA
 from tidemirror.warehouse import SLICE, Layout, Pending, Warehouse, slice_of
 
@@ -334,3 +336,42 @@ def test_keys_are_read_as_the_table_s_type(spark, house):
     house.replace(spark.range(50), "t", "id")
     house.change("t", spark.range(50).selectExpr("cast(id as int) as id"), lambda part, ids: part.join(ids, "id", "left_anti")).commit()
     assert house.read("t").isEmpty()
+
+
+BATCH = "spark.sql.parquet.columnarReaderBatchSize"
+
+
+def test_pages_are_read_few_rows_at_a_time(spark, house, monkeypatch):
+    """Bodies are hundreds of KB; the reader's usual 4,096 rows of them do not fit an executor."""
+    seen, stage, usual = {}, Warehouse.stage, spark.conf.get(BATCH)
+
+    def staged(self, df, name):
+        seen[name] = int(spark.conf.get(BATCH))
+        return stage(self, df, name)
+
+    monkeypatch.setattr(Warehouse, "stage", staged)
+    for day in (10, 20):
+        outcomes(run(job(spark, house, source([deal(1, f"2024-01-{day - 1}T00:00:00Z")]), day, sweep=True), "deals"))
+    reading = {name: seen.pop(name) for name in ("deals-heads", "deals-records", "deals-sweep", "deals-active")}
+    assert max(reading.values()) <= 64, reading
+    assert set(seen.values()) == {int(usual)} and spark.conf.get(BATCH) == usual
+
+
+def test_the_reader_is_as_before_after_an_error(spark):
+    usual = spark.conf.get(BATCH)
+    with pytest.raises(ZeroDivisionError), long_rows(spark):
+        assert int(spark.conf.get(BATCH)) < int(usual)
+        1 / 0  # noqa: B018
+    assert spark.conf.get(BATCH) == usual
+
+
+def test_a_writer_gives_up_dictionaries_of_unlike_texts_early(spark, house, tmp_path):
+    """A hundred columns with a dictionary of 1 MB each, several times that as objects, are too much for a task."""
+    rows = spark.range(20_000).selectExpr("id", "concat('a text of its own ', id) AS name").coalesce(1)
+    house.stage(rows, "unlike")
+    house.create("unlike", rows.schema)
+    house.append(rows, "unlike")
+    files = [*(tmp_path / "house").rglob("part-*.parquet")]
+    assert len(files) == 2
+    for file in files:
+        assert "RLE_DICTIONARY" not in pq.ParquetFile(file).metadata.row_group(0).column(1).encodings, file
