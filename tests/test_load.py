@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
+from tidemirror.catalog import registry
 from tidemirror.operators import control as C
 from tidemirror.operators import reconcile as R
 from tidemirror.operators.upsert import upsert
@@ -375,3 +376,21 @@ def test_a_writer_gives_up_dictionaries_of_unlike_texts_early(spark, house, tmp_
     assert len(files) == 2
     for file in files:
         assert "RLE_DICTIONARY" not in pq.ParquetFile(file).metadata.row_group(0).column(1).encodings, file
+
+
+def test_long_pages_are_written_in_groups_that_several_tasks_read(spark, tmp_path, monkeypatch):
+    text = "array_join(transform(sequence(1, 64), i -> sha2(concat(id, ':', i), 256)), '')"
+    rows = spark.range(12_000).withColumn("text", F.expr(text)).coalesce(1)
+    written = []
+    monkeypatch.setattr(registry, "landed", lambda spark, path, kind: written.append(path))
+    monkeypatch.setattr(registry, "shared_dir", lambda spark: str(tmp_path))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        registry.land(rows, "texts", "texts", "id", F.struct("id", "text"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    files = [pq.ParquetFile(f).metadata for f in tmp_path.rglob("part-*.parquet")]
+    assert sum(f.num_rows for f in files) == 120
+    # Two files' worth of tasks at least for what is 50 MB in one file.
+    assert sum(f.num_row_groups for f in files) > len(files)
